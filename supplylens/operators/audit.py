@@ -317,15 +317,20 @@ def reconciliation_snapshot(
         F.count_if(F.col("QuantityReconciliationFlag") == "Quantity aligned").alias("_qa"),
         F.count_if(F.col("DollarReconciliationFlag") == "Dollars aligned").alias("_da"),
     )
-    supplier = performance.agg(
-        F.sum(money("TotalPurchaseDollars")).cast("double").alias("procurement_spend"),
-        F.sum(money("TotalPurchaseQuantity")).cast("double").alias("purchase_quantity"),
-    )
-    vendors = performance.groupBy("VendorNumber").agg(F.count(F.lit(1)).alias("n")).agg(
-        F.count("VendorNumber").alias("supplier_count")
+    suppliers = (
+        performance.groupBy("VendorNumber")
+        .agg(
+            F.sum(money("TotalPurchaseDollars")).alias("d"),
+            F.sum(money("TotalPurchaseQuantity")).alias("q"),
+        )
+        .agg(
+            F.sum("d").cast("double").alias("procurement_spend"),
+            F.sum("q").cast("double").alias("purchase_quantity"),
+            F.count("VendorNumber").alias("supplier_count"),
+        )
     )
     lines = purchases.agg(F.count(F.lit(1)).alias("purchase_transaction_records_validated"))
-    row = with_scalars(with_scalars(with_scalars(po, supplier), vendors), lines)
+    row = with_scalars(with_scalars(po, suppliers), lines)
     row = with_scalars(row, portfolio_lead_times(orders))
 
     def share(part: str, whole: str) -> Column:

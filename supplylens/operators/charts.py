@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import AGING_LABELS, money
-from ..functions.frames import with_scalars
 from .leadtime import DAYS
 from .orders import INVOICE_ONLY, MATCHED, PURCHASE_ONLY
 
@@ -132,23 +131,30 @@ def as_metric_rows(one_row: DataFrame) -> DataFrame:
 
 
 def po_key_metrics(orders: DataFrame) -> DataFrame:
-    """Counts of vendor-PO keys. Orders are unique per key, except keys with a NULL part.
-
-    Purchase-side keys are the distinct ones; they are counted per key before the total.
-    """
+    """Counts of vendor-PO keys: one pass, counted per key before the totals."""
     status = F.col("PurchaseOrderMatchStatus")
-    keys = orders.where(F.col("PurchaseQuantity").isNotNull()).groupBy(
-        "VendorNumber", "PONumber"
-    ).agg(F.count(F.lit(1)).alias("n"))
-    sides = orders.agg(
-        F.count(DAYS).alias("ObservedLeadTimeOrders"),
-        F.count(F.lit(1)).alias("ReconciliationKeysFullOuter"),
-        F.count_if(status == MATCHED).alias("MatchedPOKeys"),
-        F.count_if(status == PURCHASE_ONLY).alias("PurchaseOnlyKeys"),
-        F.count_if(status == INVOICE_ONLY).alias("InvoiceOnlyKeys"),
+    keys = orders.groupBy("VendorNumber", "PONumber").agg(
+        F.count("PurchaseQuantity").alias("bought"),
+        F.count(DAYS).alias("observed"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(status == MATCHED).alias("matched"),
+        F.count_if(status == PURCHASE_ONLY).alias("purchase_only"),
+        F.count_if(status == INVOICE_ONLY).alias("invoice_only"),
+    )
+
+    def total(column: str):
+        return F.coalesce(F.sum(column), F.lit(0))
+
+    return as_metric_rows(
+        keys.agg(
+            F.count_if(F.col("bought") > 0).alias("PurchaseSidePOKeys"),
+            total("observed").alias("ObservedLeadTimeOrders"),
+            total("n").alias("ReconciliationKeysFullOuter"),
+            total("matched").alias("MatchedPOKeys"),
+            total("purchase_only").alias("PurchaseOnlyKeys"),
+            total("invoice_only").alias("InvoiceOnlyKeys"),
+        )
     )
-    both = with_scalars(keys.agg(F.count(F.lit(1)).alias("PurchaseSidePOKeys")), sides)
-    return as_metric_rows(both)
 
 
 def _inventory_totals(inventory: DataFrame, by: str) -> DataFrame:

@@ -94,13 +94,8 @@ def brand_lead_times(purchases: DataFrame, orders: DataFrame) -> DataFrame:
 
     The orders are joined once per brand line; the order count is of distinct PO numbers.
     """
-    lines = (
-        purchases.groupBy(
-            "VendorNumber", "PONumber", "Brand", trim_spaces("Description").alias("d")
-        )
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .groupBy("VendorNumber", "PONumber", "Brand")
-        .agg(F.max("d").alias("Description"))
+    lines = purchases.groupBy("VendorNumber", "PONumber", "Brand").agg(
+        F.max(trim_spaces("Description")).alias("Description")
     )
     observed = orders.where(F.col(DAYS).isNotNull()).select("VendorNumber", "PONumber", DAYS)
     joined = merge_inner(lines, observed, ["VendorNumber", "PONumber"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.exprs import (
@@ -13,7 +14,6 @@ from ..functions.exprs import (
     ratio,
     trim_spaces,
 )
-from ..functions.frames import with_scalars
 
 KEYS = ["VendorNumber", "PONumber"]
 
@@ -205,8 +205,8 @@ def po_cycle_aging(orders: DataFrame) -> DataFrame:
         F.coalesce(F.sum(money("PurchaseDollars")).cast("double"), F.lit(0.0)).alias("PurchaseSpend"),
         (F.sum("ObservedLeadTimeDays") / F.count("ObservedLeadTimeDays")).alias("AverageLeadTimeDays"),
     )
-    total = buckets.agg(F.sum("POCount").alias("_all"))
-    return with_scalars(buckets, total).select(
+    everything = W.partitionBy(F.lit(0))  # over the handful of bucket rows
+    return buckets.withColumn("_all", F.sum("POCount").over(everything)).select(
         "POCycleAgingBucket",
         "POCount",
         "PurchaseSpend",

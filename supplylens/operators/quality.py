@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import money, within
+from ..functions.frames import with_scalars
 
 
 class DataQualityError(ValueError):
@@ -50,34 +51,38 @@ def summary_reconciliation(summary: DataFrame, purchases: DataFrame, sales: Data
 
     A measure without any raw value (NULL total) counts as reconciled.
     """
-    raw = purchases.agg(
-        F.sum(money("Dollars")).cast("double").alias("pd"),
-        F.sum("Quantity").cast("double").alias("pq"),
+    measures = {
+        "TotalPurchaseDollars": "_pd",
+        "TotalPurchaseQuantity": "_pq",
+        "TotalSalesDollars": "_sd",
+        "TotalSalesQuantity": "_sq",
+    }
+    bought = purchases.agg(
+        F.sum(money("Dollars")).cast("double").alias("_pd"),
+        F.sum("Quantity").cast("double").alias("_pq"),
     )
     sold = sales.agg(
-        F.sum(money("SalesDollars")).cast("double").alias("sd"),
-        F.sum("SalesQuantity").cast("double").alias("sq"),
+        F.sum(money("SalesDollars")).cast("double").alias("_sd"),
+        F.sum("SalesQuantity").cast("double").alias("_sq"),
     )
-    measures = {
-        "TotalPurchaseDollars": raw.select("pd").scalar(),
-        "TotalPurchaseQuantity": raw.select("pq").scalar(),
-        "TotalSalesDollars": sold.select("sd").scalar(),
-        "TotalSalesQuantity": sold.select("sq").scalar(),
-    }
     totals = summary.agg(
         *[F.coalesce(F.sum(money(m)).cast("double"), F.lit(0.0)).alias(m) for m in measures]
     )
     rows = F.array(
         *[
             F.struct(
-                F.lit(m).alias("Measure"), F.col(m).alias("SummaryTotal"), t.alias("RawTotal")
+                F.lit(m).alias("Measure"),
+                F.col(m).alias("SummaryTotal"),
+                F.col(raw).alias("RawTotal"),
             )
-            for m, t in measures.items()
+            for m, raw in measures.items()
         ]
     )
-    return totals.select(F.explode(rows).alias("r")).select("r.*").withColumn(
-        "Reconciles",
-        F.coalesce(within("SummaryTotal", "RawTotal", 0.01), F.lit(True)),
+    return (
+        with_scalars(with_scalars(totals, bought), sold)
+        .select(F.explode(rows).alias("r"))
+        .select("r.*")
+        .withColumn("Reconciles", F.coalesce(within("SummaryTotal", "RawTotal", 0.01), F.lit(True)))
     )
 
 

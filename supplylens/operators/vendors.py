@@ -59,13 +59,12 @@ def spend_shares(totals: DataFrame) -> DataFrame:
     )
 
 
-def spend_rank(totals: DataFrame) -> DataFrame:
-    """Competition rank by spend, largest first."""
-    ranks = value_ranks(totals, ["TotalPurchaseDollars"]).select(
+def spend_ranks(totals: DataFrame) -> DataFrame:
+    """Competition rank of every spend that occurs, the largest first."""
+    return value_ranks(totals, ["TotalPurchaseDollars"]).select(
         F.col("value").alias("TotalPurchaseDollars"),
         (F.col("total") - F.col("below") - F.col("ties") + 1).alias("VendorSpendRank"),
     )
-    return totals.join(ranks, "TotalPurchaseDollars", "left")
 
 
 def cumulative_share(shared: DataFrame) -> DataFrame:
@@ -111,8 +110,9 @@ PERFORMANCE_COLUMNS = (
 
 def vendor_performance(summary: DataFrame) -> DataFrame:
     """One row per vendor number and name; two spellings of a vendor are two rows."""
-    shared = spend_shares(hold(vendor_totals(summary), "vendor_totals"))
-    ranked = cumulative_share(spend_rank(shared))
+    totals = hold(vendor_totals(summary), "vendor_totals")
+    shared = cumulative_share(spend_shares(totals))
+    ranked = shared.join(spend_ranks(totals), "TotalPurchaseDollars", "left")
     stocked = merge_left(ranked, eligible_inventory(summary), NAME_KEYS)
     return stocked.withColumn(
         "EligibleInventoryTurnover", ratio("EligibleSalesUnits", "EligibleAverageInventoryUnits")

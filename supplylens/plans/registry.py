@@ -233,10 +233,10 @@ _table("LowTurnoverVendor", "turn", ("AvgStockTurnOver",), query="low_turnover_v
 _table("BrandPerformance", "brand_perf", ("AvgProfitMargin",), query="brand_performance")
 _add(
     "vendor_spend_rank",
-    lambda m: vendors.spend_rank(vendors.vendor_totals(m.held("vendor_sales_summary"))).select(
-        "VendorNumber", "VendorName", "TotalPurchaseDollars", "VendorSpendRank"
+    lambda m: vendors.spend_ranks(
+        hold(vendors.vendor_totals(m.table("vendor_sales_summary")), "vendor_totals")
     ),
-    "SELECT VendorNumber, VendorName, TotalPurchaseDollars, VendorSpendRank FROM vend",
+    "SELECT DISTINCT TotalPurchaseDollars, VendorSpendRank FROM vend",
 )
 _add(
     "eligible_inventory",
