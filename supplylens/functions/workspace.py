@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +38,13 @@ def hold(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hold_together(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Hold several independent frames at once, so that their jobs share the free slots."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        held = {label: pool.submit(hold, df, label) for label, df in frames.items()}
+        return {label: done.result() for label, done in held.items()}
+
+
 def release(spark: SparkSession) -> None:
     """Delete every intermediate of this application."""
     app = spark.sparkContext.applicationId

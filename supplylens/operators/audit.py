@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import money, within
 from ..functions.frames import with_scalars
-from ..functions.workspace import hold
+from ..functions.workspace import hold_together
 from .leadtime import DAYS, portfolio_lead_times
 from .quality import DataQualityError, duplicate_counts
 
@@ -157,10 +157,16 @@ def audit(
     end: DataFrame,
 ) -> DataFrame:
     """Row, key, money and coverage metrics of all six tables plus five checks, as one row."""
-    bought = hold(purchase_pairs(purchases), "purchase_pairs")
-    sold = hold(sales_pairs(sales), "sales_pairs")
-    orders = hold(order_dates(purchases), "order_dates")
-    positions = hold(position_coverage(begin, end), "positions")
+    held = hold_together(
+        {
+            "purchase_pairs": purchase_pairs(purchases),
+            "sales_pairs": sales_pairs(sales),
+            "order_dates": order_dates(purchases),
+            "positions": position_coverage(begin, end),
+        }
+    )
+    bought, sold = held["purchase_pairs"], held["sales_pairs"]
+    orders, positions = held["order_dates"], held["positions"]
 
     combined = combined_pairs(bought, sold).agg(
         _dollars("PurchaseDollars").alias("_cpd"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import money, ratio, single_value, strip_whitespace, trim_spaces
 from ..functions.frames import aggregate_with_labels
-from ..functions.workspace import hold
+from ..functions.workspace import hold_together
 
 PURCHASE_COLUMNS = (
     "VendorNumber", "Brand", "VendorName", "Description", "Quantity", "Dollars",
@@ -147,8 +147,13 @@ def vendor_sales_summary(
     added once each. Vendor money and brand facts are each collected into one table so
     that the large side is joined once by vendor and once by brand.
     """
-    p = hold(purchase_summary(purchases), "purchase_summary")
-    s = hold(sales_summary(sales).withColumnRenamed("VendorNo", "VendorNumber"), "sales_summary")
+    sides = hold_together(
+        {
+            "purchase_summary": purchase_summary(purchases),
+            "sales_summary": sales_summary(sales).withColumnRenamed("VendorNo", "VendorNumber"),
+        }
+    )
+    p, s = sides["purchase_summary"], sides["sales_summary"]
     whole = F.col("VendorNumber").isNotNull() & F.col("Brand").isNotNull()
     bought, sold = p.where(whole), s.where(whole)
 
