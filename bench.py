@@ -27,7 +27,7 @@ HEADLINE = (
 )
 
 
-def session(scratch: str) -> SparkSession:
+def session() -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -41,8 +41,6 @@ def session(scratch: str) -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        spark.conf.set("spark.checkpoint.dir", f"{scratch}/shared")
     return spark
 
 
@@ -56,7 +54,7 @@ def write_extracts(spark: SparkSession, folder: str, out: str) -> None:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     scratch = tempfile.mkdtemp(prefix="bench-")
-    spark = session(scratch)
+    spark = session()
     times: dict[str, float] = {}
 
     def timed(name: str, run) -> None:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import holds, money, sample_variance, trim_spaces
 from ..functions.frames import merge_inner, with_scalars
+from ..functions.workspace import hold
 
 DETAIL_COLUMNS = (
     "VendorNumber", "VendorName", "PONumber", "PODate", "LastReceivingDate",
@@ -98,16 +99,24 @@ def brand_lead_times(purchases: DataFrame, orders: DataFrame) -> DataFrame:
         F.max(trim_spaces("Description")).alias("Description")
     )
     observed = orders.where(F.col(DAYS).isNotNull()).select("VendorNumber", "PONumber", DAYS)
-    joined = merge_inner(lines, observed, ["VendorNumber", "PONumber"])
+    joined = hold(
+        merge_inner(lines, observed, ["VendorNumber", "PONumber"]), "brand_orders"
+    )
     keys = ["Brand", "Description"]
-    days = F.col(DAYS).cast("long")
-    n, total, squares = F.count(days), F.sum(days), F.sum(days * days)
-    variance = sample_variance(n, total, squares)
-    return joined.groupBy(*keys).agg(
-        F.count_distinct("PONumber").alias("ObservedLeadTimeOrderCount"),
-        F.try_divide(total.cast("double"), n.cast("double")).alias("AverageLeadTimeDays"),
-        F.percentile(DAYS, 0.5).alias("MedianLeadTimeDays"),
+    m = _moments()
+    variance = sample_variance(m["_n"], m["_s"], m["_q"])
+    days = joined.groupBy(*keys, DAYS).agg(F.count(F.lit(1)).alias("n"))
+    stats = days.groupBy(*keys).agg(
+        F.try_divide(m["_s"].cast("double"), m["_n"].cast("double")).alias("AverageLeadTimeDays"),
+        F.percentile(DAYS, 0.5, F.col("n")).alias("MedianLeadTimeDays"),
         F.sqrt(variance).alias("LeadTimeStdDevDays"),
         variance.alias("LeadTimeVarianceDays"),
+    )
+    counts = joined.groupBy(*keys).agg(
+        F.count_distinct("PONumber").alias("ObservedLeadTimeOrderCount"),
         F.count_distinct("VendorNumber").alias("PurchasingVendorCount"),
     )
+    return merge_inner(stats, counts, keys).select(
+        *keys, "ObservedLeadTimeOrderCount", "AverageLeadTimeDays", "MedianLeadTimeDays",
+        "LeadTimeStdDevDays", "LeadTimeVarianceDays", "PurchasingVendorCount",
+    )

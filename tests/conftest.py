@@ -23,8 +23,6 @@ def make_session() -> SparkSession:
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="warehouse-"))
     )
     spark = builder.getOrCreate()
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="checkpoint-"))
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
