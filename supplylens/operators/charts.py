@@ -9,6 +9,7 @@ from ..functions.exprs import AGING_LABELS, money
 from .leadtime import DAYS
 from .orders import INVOICE_ONLY, MATCHED, PURCHASE_ONLY
 
+# Columns of the top-supplier table.
 TOP_SUPPLIER_COLUMNS = (
     "VendorNumber", "VendorName", "TotalPurchaseDollars", "TotalPurchaseQuantity",
     "PurchaseContributionPct", "MedianLeadTimeDays", "AverageLeadTimeDays", "LeadTimeStdDevDays",

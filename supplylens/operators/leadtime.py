@@ -14,6 +14,7 @@ from ..functions.exprs import holds, money, sample_variance, trim_spaces
 from ..functions.frames import merge_inner, with_scalars
 from ..functions.workspace import hold
 
+# Columns of the lead-time fact.
 DETAIL_COLUMNS = (
     "VendorNumber", "VendorName", "PONumber", "PODate", "LastReceivingDate",
     "ObservedLeadTimeDays", "PurchaseDollars", "POCycleAgingBucket",

@@ -20,6 +20,7 @@ COUNTED_FLAGS = (
 ATTENTION_STATUSES = ("Underperforming", "Watchlist")
 PRIORITIZE, MONITOR, MAINTAIN = "Prioritize procurement review", "Monitor", "Maintain"
 
+# Columns taken over from the scorecard, and the output order.
 CARRIED_COLUMNS = (
     "VendorNumber", "VendorName", "TotalPurchaseDollars", "PurchaseContributionPct",
     "MedianLeadTimeDays", "LeadTimeStdDevDays", "LeadTimeVarianceDays", "InvoiceMatchRatePct",

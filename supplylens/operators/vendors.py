@@ -96,6 +96,7 @@ def eligible_inventory(summary: DataFrame) -> DataFrame:
     )
 
 
+# Output order of the vendor performance table.
 PERFORMANCE_COLUMNS = (
     "VendorNumber", "VendorName", "TotalPurchaseQuantity", "CostCoveredPurchaseQuantity",
     "TotalPurchaseDollars", "TotalSalesQuantity", "TotalSalesDollars", "CostCoveredSalesDollars",
