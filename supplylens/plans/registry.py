@@ -682,12 +682,12 @@ _add(
 )
 _add(
     "source_columns",
-    lambda m: catalog.list_columns(_t(m, "begin_inventory"), "begin_inventory"),
-    "SELECT * FROM (VALUES "
-    + ", ".join(
-        f"('begin_inventory', '{c}', '{t}')" for c, t in SOURCE_COLUMNS["begin_inventory"].items()
-    )
-    + ") t(TableName, ColumnName, DataType)",
+    lambda m: eda.null_profile(_t(m, "begin_inventory")),
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS ColumnName, '{t}' AS DataType, count(*) AS NonNullCount, "
+        "CAST(0 AS BIGINT) AS NullCount FROM stock0"
+        for c, t in SOURCE_COLUMNS["begin_inventory"].items()
+    ),
 )
 _add(
     "raw_purchases",

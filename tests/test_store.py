@@ -102,6 +102,8 @@ def test_exports_skip_absent_tables(spark, tmp_path):
     assert store.register_views() == ["dim_store"] and "dim_store" in catalog.list_tables(spark)
     assert catalog.run_query(spark, "SELECT count(*) AS n FROM dim_store").first().n == 3
     assert catalog.preview(spark.table("dim_store"), 2).count() == 2
+    listed = [tuple(r) for r in catalog.list_columns(store.table("dim_store"), "dim_store").collect()]
+    assert listed == [("dim_store", "Store", "bigint"), ("dim_store", "City", "string")]
 
 
 def test_report_is_one_json_document(spark, tmp_path):
