@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, quality_rules
+from . import chat, exact_dedup, packing, piece_codec, quality_rules
+from .vocabularies import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,6 +32,13 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+@_query()
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(
+        _documents(spark, folder), vocabulary("word_bpe_49k.json"), give={"ids_crc32": F.crc32("ids")}
+    )
+
+
 @_query()
 def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.reply_order(spark.read.parquet(f"{folder}/conversations.parquet"))
@@ -48,6 +57,17 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("text_digest", "text_sha256")
 
 
+@_query()
+def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    coded = piece_codec.encode_and_decode(_documents(spark, folder), vocabulary("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), ","), "UTF-8"), 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
 

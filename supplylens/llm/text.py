@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACE = np.zeros(256, dtype=bool)
@@ -96,9 +97,31 @@ def shingles(raw: bytes, size: int) -> np.ndarray:
     return np.unique(window_hashes(words, size))
 
 
-def batches(column_names: list[str], schema: pa.Schema, chunks: Iterator[list]) -> Iterator[pa.RecordBatch]:
-    """Record batches from lists of columns."""
-    for chunk in chunks:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x, type=schema.field(n).type) for n, x in zip(column_names, chunk, strict=True)], schema=schema
-        )
+def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``most`` bytes of text each, or a single longer row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // most
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [batch.num_rows]])
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        if hi > lo:
+            yield batch.slice(int(lo), int(hi - lo))
+
+
+def coded(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """A row's strings as numbers: row offsets, a number for each string, and the distinct strings."""
+    offsets = lists.offsets.to_numpy()
+    words = lists.flatten().dictionary_encode()
+    return offsets - offsets[0], words.indices.to_numpy(zero_copy_only=False), words.dictionary
+
+
+def gathered(codes: np.ndarray, values: list[bytes], kind: str = "<u4") -> tuple[np.ndarray, np.ndarray]:
+    """The values of all codes in a row, as one array, and where each code's part begins (and the end)."""
+    width = np.dtype(kind).itemsize
+    sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // width
+    flat = np.frombuffer(b"".join(values), dtype=kind)
+    begins = np.cumsum(sizes) - sizes
+    ends = np.zeros(len(codes) + 1, dtype=np.int64)
+    np.cumsum(sizes[codes], out=ends[1:])
+    shift = np.repeat(begins[codes] - ends[:-1], sizes[codes])
+    shift += np.arange(len(shift))
+    return flat[shift], ends
