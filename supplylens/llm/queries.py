@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, packing, piece_codec, quality_rules
+from . import chat, exact_dedup, language, licenses, packing, piece_codec, quality_rules
 from .vocabularies import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,32 @@ def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query()
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    held_out = (language.id_remainder("doc_id", 4) == 2).alias("held_out")
+    model = language.train(docs.where(~held_out))
+    return model.annotate(docs, "doc_id", "text", held_out)
+
+
+@_query()
+def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan_licenses(_documents(spark, folder))
+    base = F.filter("hits", lambda h: h["kind"] == "base")
+    return found.withColumn("base", base).select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.start").alias("first_word"),
+        F.array_max("base.start").alias("last_word"),
+        F.array_join(F.sort_array(F.array_distinct("base.label")), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+        F.array_join("expressions", "; ").alias("expressions"),
+        "permissive",
+    )
+
+
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
 
