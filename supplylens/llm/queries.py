@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, language, licenses, packing, piece_codec, quality_rules
+from . import chat, exact_dedup, language, licenses, near_join, packing, piece_codec, quality_rules
 from .vocabularies import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,11 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("text_digest", "text_sha256")
 
 
+@_query()
+def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return near_join.near_components(_documents(spark, folder), size=3, num=9, den=10)
+
+
 @_query()
 def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     coded = piece_codec.encode_and_decode(_documents(spark, folder), vocabulary("piece_bpe_32k.model"))
