@@ -39,14 +39,13 @@ def _repeated_words(docs: DataFrame) -> DataFrame:
     docs = docs.withColumn("_any", F.size(F.array_distinct("_hashes")) < F.size("_hashes"))
     pairs = F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     docs = docs.withColumn("_sorted", F.when(F.col("_any"), F.sort_array(pairs)))
-    docs = docs.withColumn("_sorted_h", F.col("_sorted.h"))
     docs = docs.withColumn(
         "_at",
         F.filter(
             F.transform(
                 "_sorted",
                 lambda x, k: F.when(
-                    x["h"].eqNullSafe(F.get("_sorted_h", k - 1)) | x["h"].eqNullSafe(F.get("_sorted_h", k + 1)), x["i"]
+                    x["h"].eqNullSafe(F.get("_sorted", k - 1)["h"]) | x["h"].eqNullSafe(F.get("_sorted", k + 1)["h"]), x["i"]
                 ),
             ),
             lambda i: i.isNotNull(),
