@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, language, licenses, near_join, packing, piece_codec, quality_rules
+from . import chat, exact_dedup, language, licenses, near_join, packing, piece_codec, quality_rules, suffix_dedup
 from .vocabularies import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,18 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return model.annotate(docs, "doc_id", "text", held_out)
 
 
+@_query()
+def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.repeated_passages(_documents(spark, folder))
+    rows = found.select("doc_id", F.explode("passages").alias("p"))
+    return rows.select(
+        "doc_id",
+        F.col("p.start").cast("long").alias("start_word"),
+        (F.col("p.end") - F.col("p.start")).cast("long").alias("n_words"),
+        F.col("p.keeper").alias("first_doc_id"),
+    )
+
+
 @_query()
 def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.scan_licenses(_documents(spark, folder))

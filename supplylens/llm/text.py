@@ -87,6 +87,14 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix((sums[size:] - sums[:-size]) * _power(_INVERSE, len(words))[:n])
 
 
+def span_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Fingerprint of words[start:end] for each pair; equal spans of words have equal ones."""
+    sums = np.zeros(len(words) + 1, dtype=np.uint64)
+    np.cumsum(words * _power(_BASE, len(words)), out=sums[1:])
+    spread = (sums[ends] - sums[starts]) * _power(_INVERSE, len(words) + 1)[starts]
+    return mix(spread + (ends - starts).astype(np.uint64))
+
+
 def shingles(raw: bytes, size: int) -> np.ndarray:
     """Sorted distinct shingle fingerprints; a text of fewer words is one shingle of all of them."""
     words = word_hashes(raw)
