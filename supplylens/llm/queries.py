@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, language, licenses, near_join, packing, piece_codec, quality_rules, suffix_dedup
+from . import chat, exact_dedup, language, licenses, lm_score, near_join, packing, piece_codec, quality_rules, suffix_dedup
 from .vocabularies import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,13 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return model.annotate(docs, "doc_id", "text", held_out)
 
 
+@_query()
+def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = language.id_remainder("doc_id", 5) == 1
+    docs = _documents(spark, folder).select("doc_id", "text", (~held_out).alias("train"))
+    return lm_score.score(docs, "train").withColumn("held_out", held_out)
+
+
 @_query()
 def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = suffix_dedup.repeated_passages(_documents(spark, folder))

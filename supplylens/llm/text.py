@@ -61,7 +61,11 @@ def word_hashes(raw: bytes) -> np.ndarray:
     if not raw:
         return np.empty(0, dtype=np.uint64)
     raw = raw.translate(LOWER)
-    starts, ends = word_bounds(raw)
+    return hashes_at(raw, *word_bounds(raw))
+
+
+def hashes_at(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Fingerprints of raw[start:end]."""
     if not len(starts):
         return np.empty(0, dtype=np.uint64)
     values = _VALUE[np.frombuffer(raw, dtype=np.uint8)]
