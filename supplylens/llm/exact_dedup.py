@@ -34,20 +34,8 @@ def sha256(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
-def exact_duplicates(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    digest: Callable[[Column], Column] = sha256,
-    salts: int = 16,
-) -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, text_digest.
-
-    The largest id of a group stays. Null text counts as empty, and empty texts are equal to each
-    other. Rows that repeat an id with the same text: each is counted in group_size and exactly one
-    of them is kept. A null id is smaller than any other; a group of null ids keeps one of them.
-    Other columns, whatever their names, are ignored. An empty table gives no rows.
-    """
+def _groups(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column], salts: int) -> DataFrame:
+    """(_id, _digest, _copies, _keep, _size) for each id and text; _copies: how many rows these are."""
     rows = docs.select(F.col(id_col).alias("_id"), normalised(F.col(text_col)).alias("_text"))
     rows = rows.withColumn("_digest", digest(F.col("_text")))
 
@@ -63,19 +51,35 @@ def exact_duplicates(
     )
     clashing = winners.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_digest")
 
+    columns = ["_id", "_digest", "_copies", "_keep", "_size"]
     members = rows.groupBy("_id", "_digest").agg(F.count(F.lit(1)).alias("_copies"))
     if clashing.isEmpty():
-        found = members.join(winners, "_digest")
-    else:
-        by_digest = members.join(clashing, "_digest", "left_anti").join(winners, "_digest")
-        doubtful = rows.join(clashing, "_digest", "left_semi")
-        texts = doubtful.groupBy("_digest", "_text").agg(F.max("_id").alias("_keep"), F.count(F.lit(1)).alias("_size"))
-        by_text = (
-            doubtful.groupBy("_id", "_digest", "_text").agg(F.count(F.lit(1)).alias("_copies"))
-            .join(texts, ["_digest", "_text"])
-        )
-        columns = ["_id", "_digest", "_copies", "_keep", "_size"]
-        found = by_digest.select(columns).unionByName(by_text.select(columns))
+        return members.join(winners, "_digest").select(columns)
+    by_digest = members.join(clashing, "_digest", "left_anti").join(winners, "_digest")
+    doubtful = rows.join(clashing, "_digest", "left_semi")
+    texts = doubtful.groupBy("_digest", "_text").agg(F.max("_id").alias("_keep"), F.count(F.lit(1)).alias("_size"))
+    by_text = (
+        doubtful.groupBy("_id", "_digest", "_text").agg(F.count(F.lit(1)).alias("_copies"))
+        .join(texts, ["_digest", "_text"])
+    )
+    return by_digest.select(columns).unionByName(by_text.select(columns))
+
+
+def exact_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    digest: Callable[[Column], Column] = sha256,
+    salts: int = 16,
+) -> DataFrame:
+    """One row per input row: id, keep_id, group_size, kept, text_digest.
+
+    The largest id of a group stays. Null text counts as empty, and empty texts are equal to each
+    other. Rows that repeat an id with the same text: each is counted in group_size and exactly one
+    of them is kept. A null id is smaller than any other; a group of null ids keeps one of them.
+    Other columns, whatever their names, are ignored. An empty table gives no rows.
+    """
+    found = _groups(docs, id_col, text_col, digest, salts)
     return found.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(
         F.col("_id").alias(id_col),
         F.col("_keep").alias("keep_id"),
@@ -86,7 +90,19 @@ def exact_duplicates(
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns; one row for each kept id."""
-    stay = exact_duplicates(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_stay")).distinct()
-    kept = docs.join(stay, docs[id_col].eqNullSafe(stay["_stay"]), "left_semi")
-    return kept.dropDuplicates([id_col])
+    """The rows of ``docs`` that stay, all columns: one row of each group of equal texts."""
+    found = hold(_groups(docs, id_col, text_col, sha256, 16), "groups")
+    stays = F.col("_id").eqNullSafe(F.col("_keep"))
+    gone = found.where(~stays).select("_id", "_digest")
+    again = found.where(stays & (F.col("_copies") > 1)).select("_id", "_digest")
+    marked = docs.withColumn("_own_digest", sha256(normalised(F.col(text_col))))
+
+    def same(side: DataFrame) -> Column:
+        return marked[id_col].eqNullSafe(side["_id"]) & (marked["_own_digest"] == side["_digest"])
+
+    left = gone.unionByName(again)
+    rest = marked.join(left, same(left), "left_anti")
+    if not again.isEmpty():  # rows that repeat both id and text
+        one = marked.join(again, same(again), "left_semi").dropDuplicates([id_col, "_own_digest"])
+        rest = rest.unionByName(one)
+    return rest.drop("_own_digest")

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shipping import ship
 from .text import slices
@@ -148,27 +149,29 @@ class LanguageModel:
         best = int(p.argmax())
         return self.labels[best], float(p[best])
 
-    def annotate(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *keep: Column) -> DataFrame:
-        """One row per input row: id, the columns in ``keep``, lang_pred, score.
+    def annotate(self, docs: DataFrame, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+        """``docs`` with two more columns, the predicted label and its calibrated probability.
 
         Null text, and text without a letter, is ``und`` with score 0. Repeated rows each give a
-        row; other columns are ignored; an empty table gives no rows.
+        row; other columns pass through, whatever their names, but must not be called as ``names``;
+        an empty table gives no rows.
         """
         ship(docs.sparkSession)
-        rows = docs.select(F.col(id_col).alias(id_col), *keep, F.col(text_col).alias("_text"))
-        schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes if n != "_text")
+        at = docs.columns.index(text_col)
+        schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
 
         def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in table:
-                found = [self.predict(t) for t in batch.column("_text").to_pylist()]
-                own = [n for n in batch.schema.names if n != "_text"]
+                found = [self.predict(t) for t in batch.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(n) for n in own]
-                    + [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-                    names=[*own, "lang_pred", "score"],
+                    [
+                        *batch.columns, pa.array([x[0] for x in found], pa.string()),
+                        pa.array([x[1] for x in found], pa.float64()),
+                    ],
+                    names=[*batch.schema.names, *names],
                 )
 
-        return rows.mapInArrow(run, f"{schema}, lang_pred string, score double")
+        return docs.mapInArrow(run, schema)
 
 
 def id_remainder(id_col: str, divisor: int) -> Column:
@@ -218,3 +221,14 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
     fitted = drawn.coalesce(1).mapInArrow(run, "w binary, heat double").first()
     weights = np.frombuffer(fitted["w"], dtype="<f4").reshape(DIM + 1, len(labels))
     return LanguageModel(labels, idf, weights, fitted["heat"])
+
+
+def keep_identified(docs: DataFrame, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows whose language the model names with a probability of at least ``least``, all columns.
+
+    It learns from the labelled rows as the query does. Without any labelled row, no language can be
+    named and no row stays.
+    """
+    model = train(docs.where(id_remainder("doc_id", 4) != 2), text_col)
+    judged = model.annotate(docs, text_col, ("_predicted", "_probability"))
+    return judged.where((F.col("_predicted") != UNKNOWN) & (F.col("_probability") >= least)).select(docs.columns)

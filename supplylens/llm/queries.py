@@ -76,9 +76,9 @@ def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 @_query()
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _documents(spark, folder)
-    held_out = (language.id_remainder("doc_id", 4) == 2).alias("held_out")
+    held_out = language.id_remainder("doc_id", 4) == 2
     model = language.train(docs.where(~held_out))
-    return model.annotate(docs, "doc_id", "text", held_out)
+    return model.annotate(docs.select("doc_id", held_out.alias("held_out"), "text")).drop("text")
 
 
 @_query()
