@@ -19,14 +19,13 @@ from .workspace import hold
 
 _HASH_SPACE = 1 << 30
 _PER_RANGE = 16
-_MOST_RANGES = 8192
+ROWS_PER_RANGE = 500_000  # what one task sorts; the number of ranges follows from the rows
 
 
-def range_count(df: DataFrame) -> int:
-    """Number of ranges: the session's shuffle width, as a power of two."""
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def range_count(rows: int) -> int:
+    """Number of ranges for so many rows, as a power of two."""
     ranges = 2
-    while ranges < min(width, _MOST_RANGES):
+    while ranges * ROWS_PER_RANGE < rows:
         ranges *= 2
     return ranges
 
@@ -34,14 +33,15 @@ def range_count(df: DataFrame) -> int:
 def with_range(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Add ``_key`` (the order as a struct) and ``_range``, ascending with the key.
 
-    ``order`` should be unique per row; equal keys always share a range.
+    Equal keys always share a range; the sample holds each of them once, however often it
+    occurs.
     """
-    ranges = range_count(df)
+    rows = df.count()
+    ranges = range_count(rows)
     keyed = df.withColumn("_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
     keys = keyed.select("_key")
-    rows = F.greatest(keys.agg(F.count(F.lit(1)).alias("n")).scalar(), F.lit(1))
-    chance = F.lit(float(_HASH_SPACE * _PER_RANGE * ranges)) / rows
-    sample = keys.where(F.pmod(F.xxhash64("_key"), F.lit(_HASH_SPACE)) < chance)
+    chance = float(_HASH_SPACE * _PER_RANGE * ranges) / max(rows, 1)
+    sample = keys.where(F.pmod(F.xxhash64("_key"), F.lit(_HASH_SPACE)) < chance).distinct()
     cuts = (
         sample.agg(F.array_sort(F.collect_list("_key")).alias("s"))
         .select(
@@ -188,6 +188,25 @@ def quantiles(df: DataFrame, probes: Mapping[str, tuple[str, float]]) -> DataFra
     )
 
 
+HOT_SHARE = 1000
+
+
+def with_ranks(rows: DataFrame, ranks: DataFrame) -> DataFrame:
+    """Rows (metric, value, ...) with their ``value_ranks``; every row finds its value.
+
+    A value that more than one in ``HOT_SHARE`` rows of its metric has is looked up in a
+    broadcast table, of at most that many values per metric. Only the others are shuffled, so no
+    value, however frequent, lands in one task.
+    """
+    hot = ranks.where(F.col("ties") * HOT_SHARE > F.col("total"))
+    names = [c for c in ranks.columns if c not in ("metric", "value")]
+    looked = rows.join(F.broadcast(hot), ["metric", "value"], "left")
+    cold = looked.where(F.col("ties").isNull()).drop(*names).join(
+        ranks.where(F.col("ties") * HOT_SHARE <= F.col("total")), ["metric", "value"]
+    )
+    return looked.where(F.col("ties").isNotNull()).unionByName(cold)
+
+
 def percent_ranks(
     df: DataFrame, keys: Sequence[str], directions: Mapping[str, bool]
 ) -> DataFrame:
@@ -198,7 +217,7 @@ def percent_ranks(
     """
     ranks = value_ranks(df, list(directions))
     share = (F.col("below") + (F.col("ties") + 1) / F.lit(2.0)) / F.col("total")
-    ranked = long_form(df, list(directions), keys).join(ranks, ["metric", "value"])
+    ranked = with_ranks(long_form(df, list(directions), keys), hold(ranks, "ranks"))
     return ranked.groupBy(*keys).agg(
         *[
             F.max(

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import FINE, money, trim_spaces
-from ..functions.frames import merge_left
 
 MONTHLY_COLUMNS = (
     "VendorNumber", "VendorName", "Brand", "Description", "PODate", "PONumber", "Quantity",
@@ -16,29 +15,39 @@ MONTHLY_COLUMNS = (
 )
 
 
-def _greatest_labels(purchases: DataFrame, keys: list, labels: dict) -> DataFrame:
-    """Greatest text label per key, over the distinct spellings only."""
-    spelled = purchases.select(*keys, *[c.alias(n) for n, c in labels.items()]).distinct()
-    names = [k if isinstance(k, str) else "SpendMonth" for k in keys]
-    return spelled.groupBy(*names).agg(*[F.max(n).alias(n) for n in labels])
-
-
 def dim_supplier(purchases: DataFrame) -> DataFrame:
     """Suppliers with distinct brand and order counts and their totals.
 
-    The greatest name is taken apart from the counts: MAX over text would turn the whole
-    aggregate of the raw lines into a sort.
+    One pass reduces the lines to (vendor, brand, order, spelling); both counts start from that
+    shuffle, each by its own grouping, so nothing is expanded and no raw line is sorted.
     """
-    counts = purchases.groupBy("VendorNumber").agg(
-        F.count_distinct("Brand").alias("BrandCount"),
-        F.count_distinct("PONumber").alias("PurchaseOrderCount"),
-        F.sum("Quantity").cast("double").alias("PurchaseQuantity"),
-        F.sum(money("Dollars")).cast("double").alias("PurchaseSpend"),
+    lines = purchases.groupBy(
+        "VendorNumber", "Brand", "PONumber", trim_spaces("VendorName").alias("VendorName")
+    ).agg(F.sum("Quantity").alias("q"), F.sum(money("Dollars")).alias("d"))
+    orders = (
+        lines.groupBy("VendorNumber", "PONumber", "VendorName")
+        .agg(F.sum("q").alias("q"), F.sum("d").alias("d"))
+        .groupBy("VendorNumber", "PONumber")
+        .agg(F.max("VendorName").alias("VendorName"), F.sum("q").alias("q"), F.sum("d").alias("d"))
+        .groupBy("VendorNumber")
+        .agg(
+            F.max("VendorName").alias("VendorName"), F.sum("q").alias("q"), F.sum("d").alias("d"),
+            F.count("PONumber").alias("PurchaseOrderCount"),
+        )
+    )
+    brands = (
+        lines.groupBy("VendorNumber", "Brand")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("VendorNumber")
+        .agg(F.count("Brand").alias("BrandCount"))
     )
-    names = _greatest_labels(purchases, ["VendorNumber"], {"VendorName": trim_spaces("VendorName")})
-    return merge_left(counts, names, ["VendorNumber"]).select(
-        "VendorNumber", "VendorName", "BrandCount", "PurchaseOrderCount", "PurchaseQuantity",
-        "PurchaseSpend",
+    both = orders.unionByName(brands, allowMissingColumns=True)
+    return both.groupBy("VendorNumber").agg(
+        F.max("VendorName").alias("VendorName"),
+        F.max("BrandCount").alias("BrandCount"),
+        F.max("PurchaseOrderCount").alias("PurchaseOrderCount"),
+        F.max("q").cast("double").alias("PurchaseQuantity"),
+        F.max("d").cast("double").alias("PurchaseSpend"),
     )
 
 
@@ -69,7 +78,9 @@ def dim_store(begin: DataFrame, end: DataFrame, purchases: DataFrame) -> DataFra
         places.groupBy("Store", trim_spaces("City").alias("City"))
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("Store")
-        .agg(F.max("City").alias("City"))
+        .agg(F.max("City").alias("City"), F.sum("n").alias("n"))
+        .where("n > 0")  # always so; without a use the inner grouping would be optimised away
+        .drop("n")
     )
 
 
@@ -108,28 +119,26 @@ def dim_date(bounds: DataFrame) -> DataFrame:
 def procurement_monthly(purchases: DataFrame) -> DataFrame:
     """Spend per vendor, brand and month of order; the price is an unweighted mean."""
     dated = purchases.where(F.col("PODate").isNotNull())
-    month = F.trunc("PODate", "MM").alias("SpendMonth")
     keys = ["VendorNumber", "Brand", "SpendMonth"]
-    orders = dated.groupBy("VendorNumber", "Brand", month, "PONumber").agg(
+    orders = dated.groupBy(
+        "VendorNumber", "Brand", F.trunc("PODate", "MM").alias("SpendMonth"), "PONumber",
+        trim_spaces("VendorName").alias("VendorName"), trim_spaces("Description").alias("Description"),
+    ).agg(
         F.sum("Quantity").alias("q"),
         F.sum(money("Dollars")).alias("d"),
         F.sum(F.col("PurchasePrice").cast(FINE)).alias("p"),
         F.count("PurchasePrice").alias("n"),
     )
-    totals = orders.groupBy(*keys).agg(
-        F.count("PONumber").alias("PurchaseOrderCount"),
+    return orders.groupBy(*keys).agg(
+        F.max("VendorName").alias("VendorName"),
+        F.max("Description").alias("Description"),
+        F.count_distinct("PONumber").alias("PurchaseOrderCount"),
         F.sum("q").cast("double").alias("PurchaseQuantity"),
         F.sum("d").cast("double").alias("PurchaseSpend"),
         F.try_divide(F.sum("p").cast("double"), F.sum("n").cast("double")).alias(
             "AveragePurchasePrice"
         ),
-    )
-    names = _greatest_labels(
-        dated,
-        ["VendorNumber", "Brand", month],
-        {"VendorName": trim_spaces("VendorName"), "Description": trim_spaces("Description")},
-    )
-    return merge_left(totals, names, keys).select(
+    ).select(
         "VendorNumber", "VendorName", "Brand", "Description", "SpendMonth", "PurchaseOrderCount",
         "PurchaseQuantity", "PurchaseSpend", "AveragePurchasePrice",
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import holds, money, sample_variance, trim_spaces
-from ..functions.frames import merge_inner, with_scalars
+from ..functions.frames import aggregate_with_labels, merge_inner, with_scalars
 from ..functions.workspace import hold
 
 # Columns of the lead-time fact.
@@ -91,14 +91,25 @@ def supplier_lead_times(detail: DataFrame) -> DataFrame:
     )
 
 
+def _distinct(df: DataFrame, keys: list[str], column: str, name: str) -> DataFrame:
+    """Distinct values per key, by two groupings instead of an expanded row per count."""
+    return df.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("n")).groupBy(*keys).agg(
+        F.count(column).alias(name)
+    )
+
+
 def brand_lead_times(purchases: DataFrame, orders: DataFrame) -> DataFrame:
     """Lead times per brand over its distinct vendor-PO pairs.
 
     The orders are joined once per brand line; the order count is of distinct PO numbers.
     """
-    lines = purchases.groupBy("VendorNumber", "PONumber", "Brand").agg(
-        F.max(trim_spaces("Description")).alias("Description")
-    )
+    lines = aggregate_with_labels(
+        purchases,
+        ["VendorNumber", "PONumber", "Brand"],
+        {"Description": trim_spaces("Description")},
+        {"n": F.count(F.lit(1))},
+        {"n": F.sum("n")},
+    ).where("n > 0").drop("n")  # always so; the count keeps the grouping by spelling in the plan
     observed = orders.where(F.col(DAYS).isNotNull()).select("VendorNumber", "PONumber", DAYS)
     joined = hold(
         merge_inner(lines, observed, ["VendorNumber", "PONumber"]), "brand_orders"
@@ -113,11 +124,9 @@ def brand_lead_times(purchases: DataFrame, orders: DataFrame) -> DataFrame:
         F.sqrt(variance).alias("LeadTimeStdDevDays"),
         variance.alias("LeadTimeVarianceDays"),
     )
-    counts = joined.groupBy(*keys).agg(
-        F.count_distinct("PONumber").alias("ObservedLeadTimeOrderCount"),
-        F.count_distinct("VendorNumber").alias("PurchasingVendorCount"),
-    )
-    return merge_inner(stats, counts, keys).select(
+    orders_of = _distinct(joined, keys, "PONumber", "ObservedLeadTimeOrderCount")
+    vendors_of = _distinct(joined, keys, "VendorNumber", "PurchasingVendorCount")
+    return merge_inner(merge_inner(stats, orders_of, keys), vendors_of, keys).select(
         *keys, "ObservedLeadTimeOrderCount", "AverageLeadTimeDays", "MedianLeadTimeDays",
         "LeadTimeStdDevDays", "LeadTimeVarianceDays", "PurchasingVendorCount",
     )

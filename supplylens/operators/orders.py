@@ -14,6 +14,7 @@ from ..functions.exprs import (
     ratio,
     trim_spaces,
 )
+from ..functions.frames import aggregate_with_labels
 
 KEYS = ["VendorNumber", "PONumber"]
 
@@ -56,20 +57,29 @@ def _observed_days(first_po: Column, last_po: Column, receipt: Column) -> Column
 def purchase_orders(purchases: DataFrame) -> DataFrame:
     """One row per vendor and PO number on the purchase side.
 
-    MAX over the name makes this a sort-based aggregate, and the order it leaves behind is
-    the one the full outer join with the invoices needs.
+    The lines are combined by hash; only the few spellings of an order's vendor are sorted, and
+    that order is the one the full outer join with the invoices needs.
     """
-    return purchases.groupBy(*KEYS).agg(
-        F.max(trim_spaces("VendorName")).alias("VendorName"),
-        F.min("PODate").alias("PODate"),
-        F.max("PODate").alias("LastPODate"),
-        F.min("ReceivingDate").alias("FirstReceivingDate"),
-        F.max("ReceivingDate").alias("LastReceivingDate"),
-        F.min("InvoiceDate").alias("InvoiceDate"),
-        F.min("PayDate").alias("PayDate"),
-        F.sum("Quantity").cast("double").alias("PurchaseQuantity"),
-        F.sum(money("Dollars")).cast("double").alias("PurchaseDollars"),
-        F.count(F.lit(1)).alias("PurchaseLineCount"),
+    return aggregate_with_labels(
+        purchases,
+        KEYS,
+        {"VendorName": trim_spaces("VendorName")},
+        {
+            "lo": F.min("PODate"), "hi": F.max("PODate"), "r1": F.min("ReceivingDate"),
+            "r2": F.max("ReceivingDate"), "inv": F.min("InvoiceDate"), "pay": F.min("PayDate"),
+            "q": F.sum("Quantity"), "d": F.sum(money("Dollars")), "n": F.count(F.lit(1)),
+        },
+        {
+            "PODate": F.min("lo"),
+            "LastPODate": F.max("hi"),
+            "FirstReceivingDate": F.min("r1"),
+            "LastReceivingDate": F.max("r2"),
+            "InvoiceDate": F.min("inv"),
+            "PayDate": F.min("pay"),
+            "PurchaseQuantity": F.sum("q").cast("double"),
+            "PurchaseDollars": F.sum("d").cast("double"),
+            "PurchaseLineCount": F.sum("n"),
+        },
     ).withColumn(
         "ObservedLeadTimeDays",
         _observed_days(F.col("PODate"), F.col("LastPODate"), F.col("LastReceivingDate")),
@@ -78,14 +88,22 @@ def purchase_orders(purchases: DataFrame) -> DataFrame:
 
 def invoice_orders(invoices: DataFrame) -> DataFrame:
     """One row per vendor and PO number on the invoice side."""
-    return invoices.groupBy(*KEYS).agg(
-        F.max(trim_spaces("VendorName")).alias("InvoiceVendorName"),
-        F.min("PODate").alias("InvoicePODate"),
-        F.min("InvoiceDate").alias("InvoiceDate"),
-        F.min("PayDate").alias("InvoicePayDate"),
-        F.sum("Quantity").cast("double").alias("InvoiceQuantity"),
-        F.sum(money("Dollars")).cast("double").alias("InvoiceDollars"),
-        F.sum(money("Freight")).cast("double").alias("Freight"),
+    return aggregate_with_labels(
+        invoices,
+        KEYS,
+        {"InvoiceVendorName": trim_spaces("VendorName")},
+        {
+            "po": F.min("PODate"), "inv": F.min("InvoiceDate"), "pay": F.min("PayDate"),
+            "q": F.sum("Quantity"), "d": F.sum(money("Dollars")), "f": F.sum(money("Freight")),
+        },
+        {
+            "InvoicePODate": F.min("po"),
+            "InvoiceDate": F.min("inv"),
+            "InvoicePayDate": F.min("pay"),
+            "InvoiceQuantity": F.sum("q").cast("double"),
+            "InvoiceDollars": F.sum("d").cast("double"),
+            "Freight": F.sum("f").cast("double"),
+        },
     )
 
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import MONEY, money, ratio, sum_or_null, sum_or_zero
 from ..functions.frames import merge_left, with_scalars
-from ..functions.ranking import quantiles, running_sum, value_ranks
+from ..functions.ranking import quantiles, running_sum, value_ranks, with_ranks
 from ..functions.workspace import hold
 
 NAME_KEYS = ["VendorNumber", "VendorName"]
@@ -59,11 +59,14 @@ def spend_shares(totals: DataFrame) -> DataFrame:
     )
 
 
+def _spend_rank() -> Column:
+    return F.col("total") - F.col("below") - F.col("ties") + 1
+
+
 def spend_ranks(totals: DataFrame) -> DataFrame:
     """Competition rank of every spend that occurs, the largest first."""
     return value_ranks(totals, ["TotalPurchaseDollars"]).select(
-        F.col("value").alias("TotalPurchaseDollars"),
-        (F.col("total") - F.col("below") - F.col("ties") + 1).alias("VendorSpendRank"),
+        F.col("value").alias("TotalPurchaseDollars"), _spend_rank().alias("VendorSpendRank")
     )
 
 
@@ -113,7 +116,11 @@ def vendor_performance(summary: DataFrame) -> DataFrame:
     """One row per vendor number and name; two spellings of a vendor are two rows."""
     totals = hold(vendor_totals(summary), "vendor_totals")
     shared = cumulative_share(spend_shares(totals))
-    ranked = shared.join(spend_ranks(totals), "TotalPurchaseDollars", "left")
+    spends = shared.withColumn("metric", F.lit("TotalPurchaseDollars")).withColumn(
+        "value", F.col("TotalPurchaseDollars")
+    )
+    ranks = hold(value_ranks(totals, ["TotalPurchaseDollars"]), "spend_ranks")
+    ranked = with_ranks(spends, ranks).withColumn("VendorSpendRank", _spend_rank())
     stocked = merge_left(ranked, eligible_inventory(summary), NAME_KEYS)
     return stocked.withColumn(
         "EligibleInventoryTurnover", ratio("EligibleSalesUnits", "EligibleAverageInventoryUnits")

@@ -742,7 +742,7 @@ _add(
     UNION ALL SELECT 'Procurement Planning Risk', 29, count(*) FROM vend0
     UNION ALL SELECT 'PO Cycle Aging', 6, count(*) FROM aging
     UNION ALL SELECT 'Supplier Lead Time', 12, count(*) FROM lead_sup
-    UNION ALL SELECT 'Monthly Spend Sample', 9, least(count(*), 100000) FROM monthly
+    UNION ALL SELECT 'Monthly Spend Sample', 9, count(*) FROM monthly
     UNION ALL SELECT 'Methodology Notes', 1, 4""",
 )
 

@@ -1,7 +1,9 @@
 """Typed scans of the six CSV extracts.
 
 Columns are matched by header name. NULL tokens become NULL; any other text that does
-not fit its column's type is an error, never a silent NULL.
+not fit its column's type is an error, never a silent NULL. A record with more fields than
+the header, or a quote that is not closed, is an error too; missing fields at the end of a
+record are NULL.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from .files import exists
 from .schemas import SOURCE_COLUMNS, SOURCE_TABLES
 
 DATE_PATTERN = "yyyy-M-d"
+_SURPLUS = "_more_fields_than_the_header"
 
 
 def csv_path(folder: str, table: str) -> str:
@@ -38,15 +41,46 @@ def read_text_columns(
     missing = [c for c in SOURCE_COLUMNS[table] if c not in header]
     if missing:
         raise DataQualityError(f"{path} lacks columns {missing}")
-    schema = ", ".join(f"`{c}` string" for c in header)
-    raw = spark.read.options(**options, enforceSchema=False).schema(schema).csv(path)
-    return raw.select(*[null_tokens_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns])
+    # one column more than the header has takes a surplus field; an empty one holds nothing to lose
+    schema = ", ".join(f"`{c}` string" for c in [*header, _SURPLUS])
+    raw = spark.read.options(**options, enforceSchema=True).schema(schema).csv(path)
+    problem = F.concat(F.lit(f"more fields than the header has in {table}.csv: "), _SURPLUS)
+    first = null_tokens_to_null(F.col(f"`{header[0]}`"))
+    checked = F.when(F.col(_SURPLUS).isNotNull(), F.raise_error(problem).cast("string")).otherwise(first)
+    rest = [null_tokens_to_null(F.col(f"`{c}`")).alias(c) for c in header[1:]]
+    return raw.select(checked.alias(header[0]), *rest)
+
+
+def require_closed_quotes(spark: SparkSession, folder: str, table: str, multi_line: bool = False) -> None:
+    """Fail if a record's quotes do not pair up, which would run two records into one.
+
+    Without ``multi_line`` every line must pair its quotes by itself.
+    """
+    path = csv_path(folder, table)
+    lines = spark.read.text(path).select("value", F.regexp_count("value", F.lit('"')).alias("n"))
+    odd = lines.where(F.col("n") % 2 == 1)
+    if multi_line:
+        if odd.count() % 2:
+            raise DataQualityError(f"{path} has a quote that is not closed")
+        return
+    found = [r[0][:200] for r in odd.limit(3).collect()]
+    if found:
+        raise DataQualityError(f"{path} has lines with an open quote (a line break in a field needs multi_line): {found}")
+
+
+def parsed_date(c: Column) -> Column:
+    """Lenient date: text that is no date is NULL."""
+    return F.try_to_date(c, DATE_PATTERN)
 
 
 def _parsed(c: Column, kind: str) -> Column:
     if kind == "date":
-        return F.try_to_date(c, DATE_PATTERN)
-    return F.trim(c).try_cast(kind)
+        return parsed_date(c)
+    value = F.trim(c).try_cast(kind)
+    if kind == "bigint":  # a whole number may be written with a decimal point
+        wide = F.trim(c).try_cast("decimal(38,10)")
+        value = F.coalesce(value, F.when(wide == F.floor(wide), wide.try_cast("bigint")))
+    return value
 
 
 def strict(c: Column, kind: str, label: str) -> Column:

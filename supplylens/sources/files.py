@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
+
 from pyspark.sql import SparkSession
 
 
+_CREATING = threading.Lock()
+
+
 def _fs(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
@@ -24,24 +30,33 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def replace_text(spark: SparkSession, path: str, text: str, scratch: str) -> None:
-    """Write a small file beside ``path`` and move it over in one rename."""
-    jvm = spark.sparkContext._jvm
-    fs, temp = _fs(spark, scratch)
-    stream = fs.create(temp, True)
-    try:
-        stream.write(text.encode("utf-8"))
-    finally:
-        stream.close()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    rename = getattr(jvm, "org.apache.hadoop.fs.Options$Rename")
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        target.toUri() if target.toUri().getScheme() else fs.getUri(),
-        spark.sparkContext._jsc.hadoopConfiguration(),
-    )
-    context.rename(fs.makeQualified(temp), fs.makeQualified(target), options)
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    fs, p = _fs(spark, folder)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that is not there yet; False if it is.
+
+    The text is written beside it and moved over without overwriting, so a reader never sees a
+    part of it. Threads of one process take turns, as a local file system may not refuse the
+    second of two moves; between processes the file system decides.
+    """
+    with _CREATING:
+        fs, target = _fs(spark, path)
+        if fs.exists(target):
+            return False
+        temp = target.suffix(f".{uuid.uuid4().hex}.tmp")
+        stream = fs.create(temp, False)
+        try:
+            stream.write(text.encode("utf-8"))
+        finally:
+            stream.close()
+        if fs.rename(temp, target):
+            return True
+        fs.delete(temp, False)
+        return False
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -41,9 +41,6 @@ def cents(c: Column) -> Column:
     return F.floor(c * 100 + 0.5) / 100.0
 
 
-# Below this many bytes per core an unsplittable file would leave cores idle.
-SMALL_SPLIT = 32 * 1024 * 1024
-
 LINE_COLUMNS = (
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax", "l_returnflag", "l_shipdate",
@@ -65,14 +62,6 @@ class StarSchemaSources:
             self._scans[name] = self._spark.read.parquet(f"{self._root}/{name}.parquet")
         return self._scans[name]
 
-    def _line_items(self, *columns: str) -> DataFrame:
-        """Line items; a table too small to give every core a split is spread by order."""
-        scan = self._read("lineitem")
-        size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        cores = self._spark.sparkContext.defaultParallelism
-        scan = scan.select(*columns)
-        return scan.repartition(cores, "l_orderkey") if size < cores * SMALL_SPLIT else scan
-
     def table(self, name: str, *columns: str) -> DataFrame:
         return getattr(self, f"_{name}")(columns or tuple(SOURCE_COLUMNS[name]))
 
@@ -84,7 +73,7 @@ class StarSchemaSources:
         vendor = F.when(F.col("l_partkey") % 4 == 0, F.col("l_suppkey")).otherwise(
             F.col("l_partkey") % self._vendor_count()
         )
-        return self._line_items(*LINE_COLUMNS).withColumn("vendor", vendor)
+        return self._read("lineitem").select(*LINE_COLUMNS).withColumn("vendor", vendor)
 
     def _join_needed(self, lines: DataFrame, needed: set[str], vendor: str) -> DataFrame:
         if "orders" in needed:

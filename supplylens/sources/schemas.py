@@ -42,10 +42,6 @@ SOURCE_COLUMNS: dict[str, dict[str, str]] = {
 SOURCE_TABLES = tuple(SOURCE_COLUMNS)
 
 
-def ddl(table: str) -> str:
-    return ", ".join(f"`{c}` {t}" for c, t in SOURCE_COLUMNS[table].items())
-
-
 # The warehouse form of the purchases table, in its column order.
 RAW_PURCHASES_COLUMNS = (
     ("INVENTORY_ID", "string", "InventoryId"), ("STORE", "decimal(38,0)", "Store"),
@@ -57,7 +53,6 @@ RAW_PURCHASES_COLUMNS = (
     ("PURCHASE_PRICE", "double", "PurchasePrice"), ("QUANTITY", "decimal(38,0)", "Quantity"),
     ("DOLLARS", "double", "Dollars"), ("CLASSIFICATION", "decimal(38,0)", "Classification"),
 )
-RAW_PURCHASES_DDL = ", ".join(f"`{n}` {t}" for n, t, _ in RAW_PURCHASES_COLUMNS)
 
 
 def raw_purchases(purchases):

@@ -84,8 +84,30 @@ def test_thirds_match_quantile_cuts(spark, n):
     assert counts == expected.to_dict()
 
 
-def test_range_is_a_function_of_the_key(skewed):
+def test_range_is_a_function_of_the_key(skewed, monkeypatch):
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", 300)
     a = ranking.with_range(skewed, [F.col("v"), F.col("id")]).select("id", "_range")
     b = ranking.with_range(skewed.repartition(5), [F.col("v"), F.col("id")]).select("id", "_range")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert a.groupBy("_range").count().count() > 4
+
+
+@pytest.mark.parametrize("rows_per_range", [10, 300])
+def test_more_ranges_change_nothing(skewed, monkeypatch, rows_per_range):
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", rows_per_range)
+    test_running_sum_equals_plain_window(skewed)
+    test_row_numbers(skewed)
+    test_quantiles_match_linear_interpolation(skewed)
+
+
+def test_ranges_follow_the_rows():
+    assert ranking.range_count(0) == ranking.range_count(10) == 2
+    assert ranking.range_count(10**12) * ranking.ROWS_PER_RANGE >= 10**12
+
+
+def test_a_value_that_most_rows_share_is_looked_up(spark):
+    rows = spark.range(5000).select(F.lit("m").alias("metric"), F.when(F.col("id") % 10 != 0, 1.0).otherwise(F.col("id") + 2.0).alias("value"))
+    ranks = ranking.value_ranks(rows.withColumnRenamed("value", "m"), ["m"])
+    found = ranking.with_ranks(rows, ranks)
+    assert found.where("value = 1").agg(F.min("below"), F.max("ties"), F.count("*")).first() == (0, 4500, 4500)
+    assert found.count() == 5000 and found.where("value <> 1").agg(F.min("below")).first()[0] == 4500

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from supplylens.operators.quality import DataQualityError
 from supplylens.sources import catalog
-from supplylens.sources.csv_source import CsvSources, read_source, require_sources
+from supplylens.sources.csv_source import CsvSources, parsed_date, read_source, require_sources
 from supplylens.sources.schemas import SOURCE_COLUMNS, SOURCE_TABLES
 from supplylens.sources.store import TableStore, export_csv, ingest, write_report
 
@@ -114,3 +116,68 @@ def test_report_is_one_json_document(spark, tmp_path):
 
 def test_csv_sources_prune_columns(spark, extracts):
     assert CsvSources(spark, str(extracts)).table("sales", "Brand", "Store").columns == ["Brand", "Store"]
+
+
+def test_whole_numbers_may_have_a_decimal_point(spark, extracts):
+    write(extracts, "purchases", [{"Quantity": "4.0", "Store": " 7 "}, {"Quantity": "12345678901234567"}])
+    rows = read_source(spark, str(extracts), "purchases").collect()
+    assert [r.Quantity for r in rows] == [4, 12345678901234567] and rows[0].Store == 7
+    write(extracts, "purchases", [{"Quantity": "4.5"}])
+    with pytest.raises(DataQualityError, match="Quantity.*4.5"):
+        ingest(spark, str(extracts), TableStore(spark, str(extracts / "store")))
+
+
+@pytest.mark.parametrize("more", [",EXTRA", ",a,b"])
+def test_surplus_fields_fail(spark, extracts, more):
+    path = extracts / "sales.csv"
+    path.write_text(path.read_text().rstrip("\n") + more + "\n")
+    store = TableStore(spark, str(extracts / "store"))
+    with pytest.raises(Exception, match="more fields than the header"):
+        ingest(spark, str(extracts), store)
+    assert store.published() == {} and not list((extracts / "store").glob("runs/*"))
+
+
+def test_missing_last_fields_are_null(spark, extracts):
+    path = extracts / "vendor_invoice.csv"
+    lines = path.read_text().split("\n")
+    path.write_text("\n".join([lines[0], lines[1].rsplit(",", 2)[0], *lines[2:]]))
+    rows = read_source(spark, str(extracts), "vendor_invoice").collect()
+    assert sorted((r.Freight is None, r.Approval is None) for r in rows) == [(False, False), (True, True)]
+
+
+def test_quoted_line_breaks_need_multi_line(spark, extracts):
+    write(extracts, "sales", [{"Description": '"first\nsecond"'}])
+    store = TableStore(spark, str(extracts / "store"))
+    with pytest.raises(DataQualityError, match="multi_line"):
+        ingest(spark, str(extracts), store)
+    assert ingest(spark, str(extracts), store, multi_line=True)["sales"] == 1
+    assert store.table("sales").first().Description == "first\nsecond"
+    write(extracts, "sales", [{"Description": '"never closed'}])
+    with pytest.raises(DataQualityError, match="not closed"):
+        ingest(spark, str(extracts), store, multi_line=True)
+
+
+def test_writers_of_different_tables_keep_each_other(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+
+    def write_one(k: int) -> None:
+        path, _ = store.stage(spark.range(k + 1), f"t{k}", store.new_run())
+        store.publish({f"t{k}": path})
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(write_one, range(12)))
+    assert {n: store.table(n).count() for n in store.published()} == {f"t{k}": k + 1 for k in range(12)}
+
+
+def test_replaced_copies_are_deleted(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    for n in (2, 5):
+        path, _ = store.stage(spark.range(n), "t", store.new_run())
+        store.publish({"t": path})
+    assert store.table("t").count() == 5
+    assert len(list((tmp_path / "store").glob("runs/*/t"))) == 1
+
+
+def test_lenient_dates(spark):
+    rows = spark.createDataFrame([("2024-2-3",), ("soon",), (None,)], "d string").select(parsed_date(F.col("d"))).collect()
+    assert [r[0] for r in rows] == [dt.date(2024, 2, 3), None, None]
