@@ -7,9 +7,11 @@ column is ever ordered in a single task.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from ..functions.ranking import frequencies, long_form, quantile, thirds, value_
 from ..functions.workspace import hold
 
 ORDER_SIZES = ("Small", "Medium", "Large")
+SALES_GROUPS = ("Top", "Low")
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -69,40 +72,49 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
     )
 
 
-def density(df: DataFrame, columns: Sequence[str], points: int = 200, cut: float = 3.0) -> DataFrame:
+def density(df: DataFrame, columns: Sequence[str], points: int = 200, cut: float = 0.0) -> DataFrame:
     """Gaussian kernel density with Scott's bandwidth on an even grid per column.
 
-    The kernels are summed over distinct values weighted by their frequency; each row
-    meets a fixed number of grid points and is combined map-side.
+    The grid runs from the smallest to the largest value, and ``cut`` bandwidths beyond. Each task
+    sums the kernels of its distinct values, weighted by their frequency, into one array per column,
+    so a task gives as many rows as there are grid points. Columns without spread have no density.
     """
     freq = hold(frequencies(df, columns), "frequencies")
-    moments = (
-        long_form(df, columns)
-        .groupBy("metric")
-        .agg(
-            F.count("value").alias("n"),
-            F.stddev_samp("value").alias("sd"),
-            F.min("value").alias("lo"),
-            F.max("value").alias("hi"),
-        )
-        .where(F.col("sd") > 0)
-        .withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    )
-    grid = moments.select(
-        "metric", "n", "h",
-        F.transform(
-            F.sequence(F.lit(0), F.lit(points - 1)),
-            lambda i: F.col("lo") - F.col("h") * cut
-            + i * ((F.col("hi") - F.col("lo") + F.col("h") * (2 * cut)) / (points - 1)),
-        ).alias("xs"),
-    )
-    z = (F.col("x") - F.col("value")) / F.col("h")
-    spread = freq.join(F.broadcast(grid), "metric").select(
-        "metric", "n", "h", "value", "ties", F.posexplode("xs").alias("Point", "x")
+    moments = long_form(df, columns).groupBy("metric").agg(
+        F.count("value").alias("n"),
+        F.stddev_samp("value").alias("sd"),
+        F.min("value").alias("lo"),
+        F.max("value").alias("hi"),
     )
+    grids = {}
+    for r in moments.where(F.col("sd") > 0).collect():  # one row per column
+        h = r["sd"] * float(r["n"]) ** -0.2
+        start = r["lo"] - h * cut
+        grids[r["metric"]] = (r["n"], h, start + np.arange(points) * ((r["hi"] - r["lo"] + h * (2 * cut)) / (points - 1)))
+
+    def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {metric: np.zeros(points) for metric in grids}
+        for batch in table:
+            metrics = np.array(batch.column("metric").to_pylist())
+            values, ties = batch.column("value").to_numpy(), batch.column("ties").to_numpy()
+            for metric, (_, h, xs) in grids.items():
+                at = np.flatnonzero(metrics == metric)
+                for lo in range(0, len(at), 4096):
+                    part = at[lo : lo + 4096]
+                    z = (xs[:, None] - values[part]) / h
+                    sums[metric] += np.exp(z * z * -0.5) @ ties[part]
+        for metric, (n, h, xs) in grids.items():
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "metric": [metric] * points, "Point": pa.array(range(points), pa.int32()), "x": xs,
+                    "n": [float(n)] * points, "h": [h] * points, "k": sums[metric],
+                }
+            )
+
+    spread = freq.mapInArrow(run, "metric string, Point int, x double, n double, h double, k double")
     return (
-        spread.groupBy("metric", "Point", "x", "n", "h")
-        .agg(F.sum(F.exp(z * z * -0.5) * F.col("ties")).alias("k"))
+        spread.groupBy("metric", "Point")
+        .agg(F.sum("k").alias("k"), F.max("x").alias("x"), F.max("n").alias("n"), F.max("h").alias("h"))
         .select(
             F.col("metric").alias("ColumnName"),
             "Point",
@@ -140,28 +152,41 @@ def _whiskers(ranks: DataFrame, box: DataFrame, group: str) -> DataFrame:
 def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson correlation of every ordered pair of columns.
 
-    A row gives one small record per pair of its own columns, combined map-side into one
-    record per pair; a pair without variation is NULL.
+    Each task adds up the moments of all pairs as matrix products over its batches, taken about the
+    columns' means, and gives one row per pair; a pair without variation is NULL.
     """
-    values = F.array(*[F.col(f"`{c}`").cast("double") for c in columns])
-    firsts = df.select(values.alias("v")).select("v", F.posexplode("v").alias("i", "x"))
-    pairs = firsts.select("i", "x", F.posexplode("v").alias("j", "y")).where("i <= j")
-    known = pairs.where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    r = known.groupBy("i", "j").agg(
-        F.try_divide(
-            F.covar_samp("x", "y"), F.stddev_samp("x") * F.stddev_samp("y")
-        ).alias("r")
-    )
-    spark = df.sparkSession
+    columns = list(columns)
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{k}") for k, c in enumerate(columns)])
+    means = values.agg(*[F.avg(c).alias(c) for c in values.columns]).first()  # one row
+    centre = np.array([0.0 if m is None else m for m in means])
+    size = len(columns)
+
+    def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((5, size, size))
+        for batch in table:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) - centre
+            known = ~np.isnan(x)
+            x, m = np.where(known, x, 0.0), known.astype(float)
+            # for the pair (i, j): rows, sum of i, sum of j, sum of i * i, sum of i * j
+            sums += np.stack([m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, x.T @ x])
+        i, j = np.indices((size, size))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), *[pa.array(s.ravel()) for s in sums]],
+            names=["i", "j", "n", "si", "sj", "sii", "sij"],
+        )
+
+    sums = ("n", "si", "sj", "sii", "sij")
+    moments = values.mapInArrow(run, "i int, j int, " + ", ".join(f"{c} double" for c in sums))
+    pairs = moments.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in sums])
+    other = pairs.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("sii").alias("sjj"))
+    raw_i, raw_j = F.col("n") * F.col("sii"), F.col("n") * F.col("sjj")
+    vi, vj = raw_i - F.col("si") * F.col("si"), raw_j - F.col("sj") * F.col("sj")
+    varied = (vi > raw_i * 1e-13) & (vj > raw_j * 1e-13)
+    r = F.when(varied, (F.col("n") * F.col("sij") - F.col("si") * F.col("sj")) / (F.sqrt(vi) * F.sqrt(vj)))
     names = F.array(*[F.lit(c) for c in columns])
-    grid = spark.range(1).select(F.posexplode(names).alias("a", "ColumnA")).select(
-        "a", "ColumnA", F.posexplode(names).alias("b", "ColumnB")
+    return pairs.join(other, ["i", "j"]).select(
+        F.get(names, F.col("i")).alias("ColumnA"), F.get(names, F.col("j")).alias("ColumnB"), r.alias("Correlation")
     )
-    return grid.join(
-        F.broadcast(r),
-        (F.least("a", "b") == F.col("i")) & (F.greatest("a", "b") == F.col("j")),
-        "left",
-    ).select("ColumnA", "ColumnB", F.col("r").alias("Correlation"))
 
 
 def order_size_classes(lines: DataFrame) -> DataFrame:
@@ -205,6 +230,12 @@ def sales_groups(vendors: DataFrame) -> DataFrame:
     )
 
 
+def by_group(groups: DataFrame) -> DataFrame:
+    """The margins of each group as a column of its own, for the column statistics."""
+    margin = F.col("ProfitMargin")
+    return groups.select(*[F.when(F.col("SalesGroup") == g, margin).alias(g) for g in SALES_GROUPS])
+
+
 def group_moments(groups: DataFrame) -> DataFrame:
     return groups.groupBy("SalesGroup").agg(
         F.count("ProfitMargin").alias("n"),
@@ -289,7 +320,7 @@ def confidence_intervals(groups: DataFrame, confidence: float = 0.95) -> DataFra
 
 
 def welch_test(groups: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """Welch's t-test between the top and the low group, one row."""
+    """Welch's t-test between the top and the low group, one row; NULL without any spread."""
 
     @F.pandas_udf("double")
     def two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
@@ -303,10 +334,10 @@ def welch_test(groups: DataFrame, alpha: float = 0.05) -> DataFrame:
     one = m.agg(
         *[of(c, g).alias(f"{c}_{g}") for c in ("n", "mean", "var") for g in ("Top", "Low")]
     )
-    a, b = F.col("var_Top") / F.col("n_Top"), F.col("var_Low") / F.col("n_Low")
-    t = (F.col("mean_Top") - F.col("mean_Low")) / F.sqrt(a + b)
-    df = F.pow(a + b, 2) / (a * a / (F.col("n_Top") - 1) + b * b / (F.col("n_Low") - 1))
+    a, b = F.try_divide("var_Top", "n_Top"), F.try_divide("var_Low", "n_Low")
+    t = F.try_divide(F.col("mean_Top") - F.col("mean_Low"), F.sqrt(a + b))
+    rest = F.try_divide(a * a, F.col("n_Top") - 1) + F.try_divide(b * b, F.col("n_Low") - 1)
+    df = F.try_divide(F.pow(a + b, 2), rest)
     tested = one.select(t.alias("TStatistic"), df.alias("DegreesOfFreedom"))
-    return tested.withColumn("PValue", two_sided("TStatistic", "DegreesOfFreedom")).withColumn(
-        "RejectEqualMeans", F.col("PValue") < alpha
-    )
+    p = F.when(F.col("TStatistic").isNotNull(), F.nanvl(two_sided("TStatistic", "DegreesOfFreedom"), F.lit(None)))
+    return tested.withColumn("PValue", p).withColumn("RejectEqualMeans", F.col("PValue") < alpha)

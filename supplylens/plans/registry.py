@@ -854,17 +854,18 @@ _add(
 
 # ---- statistics ----------------------------------------------------------------------
 
-_STAT_COLUMNS = tuple(c for c in _NUMERIC if c not in _KEYS)
+_STAT_COLUMNS = _NUMERIC
 
 
-def _summary_stats(m: Model) -> DataFrame:
-    return m.held(_VSS).select(*[F.col(f"`{c}`") for c in _STAT_COLUMNS])
+def _numbers(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`") for c in eda.numeric_columns(df)])
 
 
-_LONG = " UNION ALL ".join(
-    f"SELECT '{c}' AS ColumnName, CAST(\"{c}\" AS DOUBLE) AS v FROM vb WHERE \"{c}\" IS NOT NULL"
-    for c in _STAT_COLUMNS
-)
+def _long_sql(source: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS ColumnName, CAST(\"{c}\" AS DOUBLE) AS v FROM {source} WHERE \"{c}\" IS NOT NULL"
+        for c in _STAT_COLUMNS
+    )
 
 
 def _sig_sql(c: str) -> str:
@@ -877,37 +878,33 @@ def significant(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.when(F.col(c).isNotNull(), e) for c, e in fixed.items()})
 
 
-_add(
-    "stats_describe",
-    lambda m: significant(stats.describe(_summary_stats(m), _STAT_COLUMNS), "mean", "std", "min", "p25", "p50", "p75", "max"),
-    f"""SELECT ColumnName, count(*) AS count, {_sig_sql('avg(v)')} AS mean, {_sig_sql('stddev_samp(v)')} AS std,
+def _describe_sql(long: str) -> str:
+    return f"""SELECT ColumnName, count(*) AS count, {_sig_sql('avg(v)')} AS mean, {_sig_sql('stddev_samp(v)')} AS std,
         {_sig_sql('min(v)')} AS min, {_sig_sql('quantile_cont(v, 0.25)')} AS p25,
         {_sig_sql('quantile_cont(v, 0.5)')} AS p50, {_sig_sql('quantile_cont(v, 0.75)')} AS p75,
-        {_sig_sql('max(v)')} AS max FROM ({_LONG}) GROUP BY 1""",
-)
-_HIST = """
-SELECT ColumnName, Bin, lo + (hi - lo) / 30 * Bin AS LowerEdge, lo + (hi - lo) / 30 * (Bin + 1) AS UpperEdge,
-    (SELECT count(*) FROM long x WHERE x.ColumnName = s.ColumnName
-        AND least(floor((x.v - lo) / (hi - lo) * 30), 29) = Bin) AS Rows
-FROM (SELECT ColumnName, CASE WHEN min(v) = max(v) THEN min(v) - 0.5::DOUBLE ELSE min(v) END AS lo,
-        CASE WHEN min(v) = max(v) THEN max(v) + 0.5::DOUBLE ELSE max(v) END AS hi FROM long GROUP BY 1) s,
-    (SELECT CAST(range AS INTEGER) AS Bin FROM range(30)) b"""
-_add(
-    "stats_histogram",
-    lambda m: stats.histogram(_summary_stats(m), _STAT_COLUMNS),
-    f"SELECT * FROM (WITH long AS MATERIALIZED ({_LONG}) {_HIST})",
-)
-_DENSE = ("ProfitMargin", "SalesToPurchaseRatio", "StockTurnover")
-_add(
-    "stats_density",
-    lambda m: significant(stats.density(_summary_stats(m), _DENSE), "X", "Density"),
-    f"""SELECT ColumnName, Point, {_sig_sql('X')} AS X, {_sig_sql('Density')} AS Density FROM (
-        SELECT s.ColumnName, Point, X, SUM(exp(-0.5::DOUBLE * ((X - v) / h) * ((X - v) / h))) / (max(n) * max(h) * sqrt(2 * pi())) AS Density
-        FROM (SELECT ColumnName, n, h, CAST(p.range AS INTEGER) AS Point, lo - 3 * h + p.range * ((hi - lo + 6 * h) / 199) AS X
-              FROM (SELECT ColumnName, count(*) AS n, min(v) AS lo, max(v) AS hi, stddev_samp(v) * pow(count(*), -0.2::DOUBLE) AS h
-                    FROM ({_LONG}) WHERE ColumnName IN ('ProfitMargin', 'SalesToPurchaseRatio', 'StockTurnover') GROUP BY 1), range(200) p) s
-        JOIN ({_LONG}) x ON x.ColumnName = s.ColumnName GROUP BY 1, 2, 3)""",
-)
+        {_sig_sql('max(v)')} AS max FROM ({long}) GROUP BY 1"""
+
+
+def _histogram_sql(long: str) -> str:
+    return f"""SELECT * FROM (WITH long AS MATERIALIZED ({long}),
+    s AS (SELECT ColumnName, CASE WHEN min(v) = max(v) THEN min(v) - 0.5::DOUBLE ELSE min(v) END AS lo,
+        CASE WHEN min(v) = max(v) THEN max(v) + 0.5::DOUBLE ELSE max(v) END AS hi FROM long GROUP BY 1),
+    n AS (SELECT ColumnName, CAST(least(floor((v - lo) / (hi - lo) * 30), 29) AS INTEGER) AS Bin, count(*) AS n
+        FROM long JOIN s USING (ColumnName) GROUP BY 1, 2)
+    SELECT ColumnName, Bin, lo + (hi - lo) / 30 * Bin AS LowerEdge, lo + (hi - lo) / 30 * (Bin + 1) AS UpperEdge,
+        coalesce(n, 0) AS Rows
+    FROM (SELECT s.*, CAST(range AS INTEGER) AS Bin FROM s, range(30)) LEFT JOIN n USING (ColumnName, Bin))"""
+
+
+def _density_sql(long: str) -> str:
+    return f"""SELECT ColumnName, Point, {_sig_sql('X')} AS X, {_sig_sql('Density')} AS Density FROM (
+        WITH long AS MATERIALIZED ({long}), few AS (SELECT ColumnName, v, count(*) AS ties FROM long GROUP BY 1, 2),
+        s AS (SELECT ColumnName, count(*) AS n, min(v) AS lo, max(v) AS hi,
+                     stddev_samp(v) * pow(count(*), -0.2::DOUBLE) AS h FROM long GROUP BY 1 HAVING stddev_samp(v) > 0),
+        p AS (SELECT s.*, CAST(range AS INTEGER) AS Point, lo + range * ((hi - lo) / 199) AS X FROM s, range(200))
+        SELECT ColumnName, Point, X,
+            SUM(ties * exp(-0.5::DOUBLE * ((X - v) / h) * ((X - v) / h))) / (max(n) * max(h) * sqrt(2 * pi())) AS Density
+        FROM p JOIN few USING (ColumnName) GROUP BY 1, 2, 3)"""
 
 
 def _box_sql(source: str, group: str) -> str:
@@ -927,16 +924,9 @@ def _sig_all(sql: str, columns: tuple[str, ...]) -> str:
     return f"SELECT * REPLACE ({', '.join(f'{_sig_sql(c)} AS {c}' for c in columns)}) FROM ({sql})"
 
 
-_add(
-    "stats_boxplot",
-    lambda m: significant(stats.boxplot(_summary_stats(m), _STAT_COLUMNS), *_BOX_FIGURES),
-    _sig_all(_box_sql(_LONG, "ColumnName"), _BOX_FIGURES),
-)
-
-
-def _corr_sql() -> str:
+def _corr_sql(source: str) -> str:
     pairs = [
-        f"SELECT '{a}' AS ColumnA, '{b}' AS ColumnB, corr(\"{a}\", \"{b}\") AS r FROM good"
+        f"SELECT '{a}' AS ColumnA, '{b}' AS ColumnB, corr(\"{a}\", \"{b}\") AS r FROM {source}"
         for a in _STAT_COLUMNS
         for b in _STAT_COLUMNS
     ]
@@ -946,11 +936,31 @@ def _corr_sql() -> str:
     )
 
 
-_add(
-    "stats_corr",
-    lambda m: rounded(stats.correlation(_good(m), _STAT_COLUMNS), "Correlation"),
-    _corr_sql(),
-)
+def _column_statistics(suffix: str, rows: Callable[[Model], DataFrame], source: str) -> None:
+    """The plots' figures over every numeric column, chosen by type."""
+    long = _long_sql(source)
+
+    def stat(name: str, make: Callable[[DataFrame, list[str]], DataFrame], sql: str) -> None:
+        def run(m: Model) -> DataFrame:
+            numbers = _numbers(rows(m))
+            return make(numbers, numbers.columns)
+
+        _add(f"stats_{name}{suffix}", run, sql)
+
+    figures = ("mean", "std", "min", "p25", "p50", "p75", "max")
+    stat("describe", lambda df, cols: significant(stats.describe(df, cols), *figures), _describe_sql(long))
+    stat("histogram", stats.histogram, _histogram_sql(long))
+    stat("density", lambda df, cols: significant(stats.density(df, cols), "X", "Density"), _density_sql(long))
+    stat(
+        "boxplot",
+        lambda df, cols: significant(stats.boxplot(df, cols), *_BOX_FIGURES),
+        _sig_all(_box_sql(long, "ColumnName"), _BOX_FIGURES),
+    )
+    stat("corr", lambda df, cols: rounded(stats.correlation(df, cols), "Correlation"), _corr_sql(source))
+
+
+_column_statistics("", lambda m: m.held(_VSS), "vb")
+_column_statistics("_profitable", lambda m: hold(_good(m), "profitable"), "good")
 
 
 def _lines(m: Model) -> DataFrame:
@@ -1034,3 +1044,17 @@ _add(
             pow(a.va / a.n + b.va / b.n, 2) / (pow(a.va / a.n, 2) / (a.n - 1) + pow(b.va / b.n, 2) / (b.n - 1)) AS df
         FROM vmom a JOIN vmom b ON a.SalesGroup = 'Top' AND b.SalesGroup = 'Low'))""",
 )
+
+_GROUP_LONG = "SELECT SalesGroup AS ColumnName, ProfitMargin AS v FROM vgroups"
+_add(
+    "margin_group_histogram",
+    lambda m: stats.histogram(hold(stats.by_group(_groups(m)), "margin_groups"), stats.SALES_GROUPS),
+    _histogram_sql(_GROUP_LONG),
+)
+_add(
+    "margin_group_density",
+    lambda m: significant(
+        stats.density(hold(stats.by_group(_groups(m)), "margin_groups"), stats.SALES_GROUPS), "X", "Density"
+    ),
+    _density_sql(_GROUP_LONG),
+)
