@@ -7,7 +7,10 @@ the library encodes every word.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -20,33 +23,64 @@ from pyspark.sql import functions as F
 from .shipping import ship
 from .text import coded, gathered, slices
 
-KEPT_WORDS = 1_000_000  # words remembered by a process; the memory is cleared when it is full
+#: Fixed value: the pattern of the word-end BPE files, and what it comes to on lower-case printable ASCII.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+KEPT_WORDS = 600_000  # words remembered by a process; the memory is cleared when it is full
 KEPT_LENGTH = 48
 
 
 class WordTokens:
+    """The file's normaliser, splitter and merges, called for each distinct word and part of a word.
+
+    A printable ASCII word is split here, by the file's own pattern as it reads for such text; the
+    library's normaliser and splitter see the others, and its merges all of them. A word that may
+    hold a special token goes through the library whole.
+    """
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self._normal = self.tokenizer.normalizer.normalize_str
+        self._split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self._merge = self.tokenizer.model.tokenize
+        pattern = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        if pattern != _SPLIT or not self._normal("A") == "a":
+            raise ValueError("the tokenizer splits words by another pattern than this class knows")
         self._known: dict[str, bytes] = {}
+        self._parts: dict[str, bytes] = {}
+
+    def _part(self, part: str) -> bytes:
+        found = self._parts.get(part)
+        if found is None:
+            found = array("I", [t.id for t in self._merge(part)]).tobytes()
+            if len(part) <= KEPT_LENGTH:
+                if len(self._parts) >= KEPT_WORDS:
+                    self._parts.clear()
+                self._parts[part] = found
+        return found
+
+    def _word(self, word: str) -> bytes:
+        if "<|" in word:
+            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        if word.isascii() and word.isprintable():
+            return b"".join([self._part(p) for p in _ASCII_SPLIT.findall(word.lower())])
+        return b"".join([self._part(p) for p, _ in self._split(self._normal(word))])
 
     def look_up(self, words: list[str]) -> list[bytes]:
         """Each word's ids as little-endian uint32."""
         known = self._known
+        if len(known) >= KEPT_WORDS:
+            known.clear()
         found = [known.get(w) for w in words]
-        missing = [k for k, x in enumerate(found) if x is None]
-        if missing:
-            if len(known) > KEPT_WORDS:
-                known.clear()
-            for lo in range(0, len(missing), 4096):
-                part = missing[lo : lo + 4096]
-                new = self.tokenizer.encode_batch_fast([words[k] for k in part], add_special_tokens=False)
-                for k, encoded in zip(part, new, strict=True):
-                    found[k] = ids = np.array(encoded.ids, dtype="<u4").tobytes()
-                    if len(words[k]) <= KEPT_LENGTH:
-                        known[words[k]] = ids
+        for k, x in enumerate(found):
+            if x is None:
+                word = words[k]
+                found[k] = x = self._word(word)
+                if len(word) <= KEPT_LENGTH:
+                    known[word] = x
         return found
 
     def encode_rows(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
