@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -15,8 +16,29 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumn("_scalars", packed).selectExpr("*", *names).drop("_scalars")
 
 
-def merge_left(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join in which NULL keys meet NULL keys; the right side's key columns are dropped."""
+def one_row_per(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``, whose rows fail when they are read if a key occurs twice.
+
+    The check is part of the plan: it needs the rows together by key, which they are already where
+    ``df`` was grouped by it or is about to be joined on it.
+    """
+    label = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    problem = F.concat(F.lit(f"more than one row for {', '.join(keys)}: "), label)
+    times = F.count(F.lit(1)).over(W.partitionBy(*keys))
+    return df.withColumn("_times", times).where(
+        F.when(F.col("_times") > 1, F.raise_error(problem).cast("boolean")).otherwise(F.lit(True))
+    ).drop("_times")
+
+
+def merge_left(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], one_to_one: bool = False
+) -> DataFrame:
+    """Left join in which NULL keys meet NULL keys; the right side's key columns are dropped.
+
+    ``one_to_one`` raises if a key occurs twice on either side.
+    """
+    if one_to_one:
+        left, right = one_row_per(left, keys), one_row_per(right, keys)
     return _null_safe(left, right, keys, "left")
 
 

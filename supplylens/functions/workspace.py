@@ -29,11 +29,15 @@ def shared_folder(spark: SparkSession) -> str:
     return _ROOTS[app]
 
 
+def new_folder(spark: SparkSession, label: str = "files") -> str:
+    """A folder of its own among the intermediates, for files that are not one table."""
+    return f"{shared_folder(spark)}/held-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
 def hold(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once and return a scan of what was written."""
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/held-{app}/{label}-{uuid.uuid4().hex}"
+    path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

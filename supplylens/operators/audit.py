@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import money, within
-from ..functions.frames import with_scalars
-from ..functions.workspace import hold_together
+from ..functions.frames import one_row_per, with_scalars
+from ..functions.workspace import hold, hold_together
 from .leadtime import DAYS, portfolio_lead_times
 from .quality import DataQualityError, duplicate_counts
 
@@ -43,8 +43,8 @@ def sales_pairs(sales: DataFrame) -> DataFrame:
 
 
 def combined_pairs(bought: DataFrame, sold: DataFrame) -> DataFrame:
-    """Purchases and sales of every pair of either side."""
-    return bought.join(sold, PAIR, "full")
+    """Purchases and sales of every pair of either side; each side has a pair once."""
+    return one_row_per(bought, PAIR).join(one_row_per(sold, PAIR), PAIR, "full")
 
 
 def order_dates(purchases: DataFrame) -> DataFrame:
@@ -144,8 +144,9 @@ def key_overlap(
     return out
 
 
-def _dollars(c: str) -> Column:
-    return F.sum(c).cast("double")
+def _dollars(c: Column | str) -> Column:
+    """A total in which nothing at all is 0."""
+    return F.coalesce(F.sum(c).cast("double"), F.lit(0.0))
 
 
 def audit(
@@ -168,24 +169,25 @@ def audit(
     bought, sold = held["purchase_pairs"], held["sales_pairs"]
     orders, positions = held["order_dates"], held["positions"]
 
-    combined = combined_pairs(bought, sold).agg(
+    pairs = hold(combined_pairs(bought, sold), "combined_pairs")
+    combined = pairs.agg(
         _dollars("PurchaseDollars").alias("_cpd"),
-        F.sum("PurchaseQuantity").alias("_cpq"),
+        F.coalesce(F.sum("PurchaseQuantity"), F.lit(0)).alias("_cpq"),
         _dollars("SalesDollars").alias("_csd"),
-        F.sum("SalesQuantity").alias("_csq"),
+        F.coalesce(F.sum("SalesQuantity"), F.lit(0)).alias("_csq"),
         F.count_if(F.col("PurchaseRows").isNotNull() & F.col("SalesRows").isNotNull()).alias(
             "sales_vendor_brand_keys_with_purchases"
         ),
     )
     raw_bought = purchases.agg(
         F.count(F.lit(1)).alias("purchase_rows"),
-        F.sum(money("Dollars")).cast("double").alias("purchase_dollars"),
-        F.sum("Quantity").alias("purchase_quantity"),
+        F.round(_dollars(money("Dollars")), 2).alias("purchase_dollars"),
+        F.coalesce(F.sum("Quantity"), F.lit(0)).alias("purchase_quantity"),
     )
     raw_sold = sales.agg(
         F.count(F.lit(1)).alias("sales_rows"),
-        F.sum(money("SalesDollars")).cast("double").alias("sales_dollars"),
-        F.sum("SalesQuantity").alias("sales_quantity"),
+        F.round(_dollars(money("SalesDollars")), 2).alias("sales_dollars"),
+        F.coalesce(F.sum("SalesQuantity"), F.lit(0)).alias("sales_quantity"),
     )
     reference = duplicate_counts(prices.select("VendorNumber", "Brand"), ["VendorNumber", "Brand"])
     invoice = duplicate_counts(
@@ -201,7 +203,7 @@ def audit(
         raw_sold,
         sold.agg(F.count(F.lit(1)).alias("sales_vendor_brand_keys")),
         matching(sold, bought, PAIR).agg(
-            _dollars("SalesDollars").alias("sales_revenue_on_keys_with_purchases")
+            F.round(_dollars("SalesDollars"), 2).alias("sales_revenue_on_keys_with_purchases")
         ),
         reference.select(
             (F.col("DistinctKeys") + F.col("SurplusRows")).alias("reference_vendor_brand_rows"),
@@ -236,7 +238,7 @@ def audit(
             F.col("MedianDays").alias("observed_lead_time_median_days"),
             F.col("StdDays").alias("observed_lead_time_std_days"),
         ),
-        duplicate_counts(combined_pairs(bought, sold), PAIR).select(
+        duplicate_counts(pairs.select(*PAIR), PAIR).select(
             (F.col("RepeatedKeys") == 0).alias("vendor_brand_summary_unique")
         ),
     ]

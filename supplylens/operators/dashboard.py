@@ -33,14 +33,16 @@ def card(df: DataFrame, value: str, metric: str | None = None) -> DataFrame:
 
 
 def chart(df: DataFrame, category: str, value: str) -> DataFrame:
-    """Sum per category, largest first."""
-    return (
-        df.groupBy(_q(category).cast("string").alias("Category"))
-        .agg(F.sum(fine(_q(value))).cast("double").alias("Value"))
-        .orderBy(F.desc_nulls_last("Value"), "Category")
+    """Sum per category; ``largest_first`` gives the order in which a chart shows them."""
+    return df.groupBy(_q(category).cast("string").alias("Category")).agg(
+        F.sum(fine(_q(value))).cast("double").alias("Value")
     )
 
 
+def largest_first(categories: DataFrame) -> DataFrame:
+    return categories.orderBy(F.desc_nulls_last("Value"), "Category")
+
+
 def table(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return df.select(*[_q(c) for c in columns])
 
@@ -166,8 +168,9 @@ def visual(df: DataFrame, v: Visual) -> DataFrame:
 
 
 def page(tables: Mapping[str, DataFrame], name: str) -> list[tuple[Visual, DataFrame]]:
-    """Every visual of a page with its query."""
-    return [(v, visual(tables[v.table], v)) for v in PAGES[name]]
+    """Every visual of a page with its query, charts in the order they are shown in."""
+    shown = [(v, visual(tables[v.table], v)) for v in PAGES[name]]
+    return [(v, largest_first(df) if v.kind == "chart" else df) for v, df in shown]
 
 
 def page_rows(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
@@ -177,7 +180,8 @@ def page_rows(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
     gives one cell per row and numeric column, labelled by its first column.
     """
     parts = []
-    for position, (v, df) in enumerate(page(tables, name), start=1):
+    for position, v in enumerate(PAGES[name], start=1):
+        df = visual(tables[v.table], v)
         if v.kind == "card":
             rows = df.select(F.lit(None).cast("string"), F.lit(v.value), "Value")
         elif v.kind == "chart":

@@ -47,11 +47,11 @@ def scorecard_base(
 ) -> DataFrame:
     """Vendor performance with its lead-time, delivery and price figures.
 
-    All four are grouped by supplier number and name, so each join is one to one.
+    Each join must be one to one by supplier number and name, and fails if it is not.
     """
-    frame = merge_left(performance, lead_times, NAME_KEYS)
-    frame = merge_left(frame, delivery, NAME_KEYS)
-    return merge_left(frame, price_variance(summary), NAME_KEYS)
+    frame = merge_left(performance, lead_times, NAME_KEYS, one_to_one=True)
+    frame = merge_left(frame, delivery, NAME_KEYS, one_to_one=True)
+    return merge_left(frame, price_variance(summary), NAME_KEYS, one_to_one=True)
 
 
 def composite_scores(base: DataFrame) -> DataFrame:

@@ -121,7 +121,7 @@ def vendor_performance(summary: DataFrame) -> DataFrame:
     )
     ranks = hold(value_ranks(totals, ["TotalPurchaseDollars"]), "spend_ranks")
     ranked = with_ranks(spends, ranks).withColumn("VendorSpendRank", _spend_rank())
-    stocked = merge_left(ranked, eligible_inventory(summary), NAME_KEYS)
+    stocked = merge_left(ranked, eligible_inventory(summary), NAME_KEYS, one_to_one=True)
     return stocked.withColumn(
         "EligibleInventoryTurnover", ratio("EligibleSalesUnits", "EligibleAverageInventoryUnits")
     ).select(*PERFORMANCE_COLUMNS)

@@ -45,6 +45,29 @@ class Model:
         if missing:
             self._held.update(hold_together({n: self.table(n) for n in missing}))
 
+    def hold_shared(self, *names: str) -> None:
+        """Compute once every table that two or more of these, or of what they read, depend on.
+
+        A table needed by one consumer stays a part of that consumer's plan.
+        """
+        users: dict[str, set[str]] = {}
+        order: list[str] = []
+
+        def visit(name: str) -> None:
+            if name in order:
+                return
+            for parent in READS.get(name, ()):
+                users.setdefault(parent, set()).add(name)
+                visit(parent)
+            order.append(name)
+
+        for name in names:
+            users.setdefault(name, set()).add("")
+            visit(name)
+        for name in order:  # parents come first
+            if len(users[name]) > 1:
+                self.held(name)
+
     def adopt(self, name: str, df: DataFrame) -> None:
         """Use an already written copy of a table."""
         self._held[name] = df

@@ -43,7 +43,8 @@ CTES["li"] = """
 SELECT l.*, CASE WHEN l_partkey % 4 = 0 THEN l_suppkey ELSE l_partkey % (SELECT n FROM nv) END AS v
 FROM lineitem l"""
 CTES["buy"] = """
-SELECT o_custkey % 80 + 1 AS Store, l_partkey AS Brand, p_name AS Description,
+SELECT concat_ws('_', o_custkey % 80 + 1, l_partkey, p_size) AS InventoryId,
+    o_custkey % 80 + 1 AS Store, l_partkey AS Brand, p_name AS Description,
     CAST(p_size AS VARCHAR) || 'mL' AS Size, CAST(p_size % 2 + 1 AS BIGINT) AS Classification,
     v AS VendorNumber, l_orderkey AS PONumber,
     s_name || CASE WHEN v % 50 = 3 AND l_partkey % 2 = 0 THEN ' LLC' ELSE '' END
@@ -66,7 +67,7 @@ SELECT g.v AS VendorNumber, s_name AS VendorName,
     g.od + 20 AS InvoiceDate, g.od + 50 AS PayDate,
     CAST(g.q + CASE WHEN g.o % 31 = 0 THEN 1 WHEN g.o % 43 = 0 THEN -1 ELSE 0 END AS BIGINT) AS Quantity,
     g.d - CASE WHEN g.o % 37 = 0 THEN 5.0::DOUBLE ELSE 0.0::DOUBLE END AS Dollars,
-    floor(g.d * 0.005::DOUBLE * 100 + 0.5) / 100.0::DOUBLE AS Freight
+    floor(g.d * 0.005::DOUBLE * 100 + 0.5) / 100.0::DOUBLE AS Freight, CAST(NULL AS VARCHAR) AS Approval
 FROM (SELECT v, l_orderkey AS o, o_orderstatus AS st, CAST(o_orderdate AS DATE) AS od,
         SUM(CAST(l_quantity AS BIGINT)) AS q,
         CAST(SUM(CAST(l_extendedprice AS DECIMAL(28,4))) AS DOUBLE) AS d
@@ -76,7 +77,10 @@ JOIN supplier ON s_suppkey = g.v"""
 CTES["sell"] = """
 SELECT x.*, floor(SalesDollars / SalesQuantity * 100 + 0.5) / 100.0::DOUBLE AS SalesPrice,
     s_name AS VendorName
-FROM (SELECT l_partkey AS Brand, p_name AS Description, CAST(l_quantity AS BIGINT) AS SalesQuantity,
+FROM (SELECT concat_ws('_', o_custkey % 80 + 1, l_partkey, p_size) AS InventoryId,
+        CAST(p_size AS VARCHAR) || 'mL' AS Size, CAST(p_size * 10 AS DOUBLE) AS Volume,
+        CAST(p_size % 2 + 1 AS BIGINT) AS Classification,
+        l_partkey AS Brand, p_name AS Description, CAST(l_quantity AS BIGINT) AS SalesQuantity,
         o_custkey % 80 + 1 AS Store,
         CASE WHEN l_partkey % 11 = 0 THEN (v + 1) % (SELECT n FROM nv) ELSE v END AS VendorNo,
         floor(l_extendedprice * (1 - l_discount) * 100 + 0.5) / 100.0::DOUBLE AS SalesDollars,
@@ -88,18 +92,24 @@ JOIN supplier ON s_suppkey = VendorNo"""
 CTES["quote"] = """
 SELECT k.v AS VendorNumber, k.b AS Brand, p_name AS Description, p_retailprice + c.n AS Price,
     floor(p_retailprice * 0.75::DOUBLE * 100 + 0.5) / 100.0::DOUBLE + c.n * 0.5::DOUBLE AS PurchasePrice,
-    CASE WHEN k.b % 13 = 0 THEN 'Unknown' ELSE CAST(p_size * 10 AS VARCHAR) END AS Volume
+    CASE WHEN k.b % 13 = 0 THEN 'Unknown' ELSE CAST(p_size * 10 AS VARCHAR) END AS Volume,
+    CAST(p_size AS VARCHAR) || 'mL' AS Size, CAST(p_size % 2 + 1 AS BIGINT) AS Classification,
+    s_name AS VendorName
 FROM (SELECT DISTINCT v, l_partkey AS b FROM li) k
 JOIN (VALUES (0), (1)) c(n) ON c.n = 0 OR k.b % 23 = 0
-JOIN part ON p_partkey = k.b"""
+JOIN part ON p_partkey = k.b JOIN supplier ON s_suppkey = k.v"""
 CTES["places"] = """
 SELECT DISTINCT o_custkey % 80 + 1 AS Store, l_partkey AS Brand
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey"""
 CTES["stock0"] = """
-SELECT Store, Brand, 'CITY' || Store AS City, (Store * 13 + Brand * 7) % 50 AS onHand, p_retailprice AS Price
+SELECT Store, Brand, 'CITY' || Store AS City, (Store * 13 + Brand * 7) % 50 AS onHand, p_retailprice AS Price,
+    concat_ws('_', Store, Brand) AS InventoryId, p_name AS Description, CAST(p_size AS VARCHAR) || 'mL' AS Size,
+    DATE '1996-01-01' AS startDate
 FROM places JOIN part ON p_partkey = Brand WHERE NOT (Brand % 3 = 0 AND (Store + Brand) % 7 = 0)"""
 CTES["stock1"] = """
-SELECT Store, Brand, 'CITY' || Store AS City, (Store * 11 + Brand * 3) % 40 AS onHand, p_retailprice AS Price
+SELECT Store, Brand, 'CITY' || Store AS City, (Store * 11 + Brand * 3) % 40 AS onHand, p_retailprice AS Price,
+    concat_ws('_', Store, Brand) AS InventoryId, p_name AS Description, CAST(p_size AS VARCHAR) || 'mL' AS Size,
+    DATE '1996-12-31' AS endDate
 FROM places JOIN part ON p_partkey = Brand WHERE NOT (Brand % 5 = 0 AND (Store + Brand) % 6 = 0)"""
 
 # ---- orders --------------------------------------------------------------------------

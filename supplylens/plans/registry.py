@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import aging_bucket_open
 from ..functions.ranking import quantiles
-from ..functions.workspace import hold
+from ..functions.workspace import hold, new_folder
 from ..operators import (
     audit,
     charts,
@@ -31,9 +31,10 @@ from ..operators import (
     vendors,
 )
 from ..sources import catalog
+from ..sources.csv_source import read_source
 from ..sources.readers import StarSchemaSources
-from ..sources.schemas import SOURCE_COLUMNS, raw_purchases
-from ..sources.store import planning_extract
+from ..sources.schemas import RAW_PURCHASES_COLUMNS, SOURCE_COLUMNS, raw_purchases
+from ..sources.store import TableStore, export_csv, ingest, planning_extract, write_csv, write_report
 from .model import Model
 from .oracle import r6, statement
 
@@ -263,21 +264,18 @@ _table("fact_procurement_monthly", "monthly", ("AveragePurchasePrice",), query="
 
 
 def _relationships(m: Model) -> DataFrame:
-    tables = {
-        name: m.held(name) if name == _PO else m.table(name)
-        for name in (
-            "dim_supplier", "dim_brand", "dim_store", "dim_date", _PO,
-            "fact_procurement_monthly", "fact_inventory_summary",
-        )
-    }
-    tables["fact_supplier_performance"] = vendors.vendor_totals(m.table("vendor_sales_summary"))
-    return dims.relationship_check(tables)
+    names = (
+        "dim_supplier", "dim_brand", "dim_store", "dim_date", _PO, "fact_procurement_monthly",
+        "fact_inventory_summary", "fact_supplier_performance",
+    )
+    m.hold_shared(*names)
+    return dims.relationship_check({name: m.read(name) for name in names})
 
 
 def _relationship_sql() -> str:
     known = {
         "dim_supplier": "d_supplier", "dim_brand": "d_brand", "dim_store": "d_store",
-        "dim_date": "d_date", "fact_purchase_order": "pox", "fact_supplier_performance": "vend0",
+        "dim_date": "d_date", "fact_purchase_order": "pox", "fact_supplier_performance": "card",
         "fact_procurement_monthly": "monthly", "fact_inventory_summary": "posx",
     }
     return " UNION ALL ".join(
@@ -316,40 +314,84 @@ _add(
 )
 _table("fact_supplier_performance", "card", _CARD_FIX, query="supplier_performance")
 _table("procurement_planning_risk", "risk", _RISK_FIX, query="planning_risk")
-_add(
-    "procurement_validation",
-    lambda m: audit.procurement_validation(m.held(_PO), m.table("fact_supplier_performance")),
-    """SELECT Orders AS observed_lead_time_orders, MedianDays AS observed_lead_time_median_days,
-        StdDays AS observed_lead_time_std_days,
-        (SELECT CAST(SUM(CAST(TotalPurchaseDollars AS DECIMAL(28,4))) AS DOUBLE) FROM vend0)
-            AS supplier_purchase_spend,
-        CAST(NULL AS BOOLEAN) AS lead_time_order_count_matches_validated,
-        CAST(NULL AS BOOLEAN) AS lead_time_median_matches_validated,
-        CAST(NULL AS BOOLEAN) AS purchase_spend_matches_validated,
-        false AS otif_fabricated, true AS otif_columns_all_null FROM lead_all""",
-)
-_add(
-    "reconciliation_snapshot",
-    lambda m: audit.reconciliation_snapshot(
-        _t(m, "purchases", "PONumber"), m.held(_PO),
-        vendors.vendor_totals(m.table("vendor_sales_summary")),
-    ),
-    """SELECT (SELECT CAST(SUM(CAST(TotalPurchaseDollars AS DECIMAL(28,4))) AS DOUBLE) FROM vend0) AS procurement_spend,
-        CAST(NULL AS BOOLEAN) AS procurement_spend_matches_validated,
+
+
+def _anchors(m: Model, off: float) -> dict[str, float]:
+    """Expected figures taken from the raw purchases, past the model, and moved by ``off``."""
+    raw = _t(m, "purchases", *audit.PURCHASE_COLUMNS)
+    days = leadtime.portfolio_lead_times(audit.order_dates(raw))
+    spend = raw.agg(F.sum(F.col("Dollars").cast("decimal(28,4)")).cast("double").alias("spend"))
+    d, s = days.first(), spend.first()
+    return {
+        "expected_orders": int(d["Orders"] + off), "expected_median": d["MedianDays"] + off,
+        "expected_std": d["StdDays"] + off, "expected_spend": s["spend"] + off,
+    }
+
+
+def _validation(off: float) -> Callable[[Model], DataFrame]:
+    def run(m: Model) -> DataFrame:
+        anchors = _anchors(m, off)
+        anchors.pop("expected_std")
+        m.hold_shared("fact_supplier_performance", _PO)
+        return audit.procurement_validation(m.read(_PO), m.read("fact_supplier_performance"), **anchors)
+
+    return run
+
+
+def _snapshot(off: float) -> Callable[[Model], DataFrame]:
+    def run(m: Model) -> DataFrame:
+        return audit.reconciliation_snapshot(
+            _t(m, "purchases", "PONumber"), m.held(_PO),
+            vendors.vendor_totals(m.table("vendor_sales_summary")), **_anchors(m, off),
+        )
+
+    return run
+
+
+#: The anchors from the raw lines: one row of orders, median, deviation and spend.
+_ANCHOR_SQL = """(SELECT count(*) AS ao, median(days) AS am, stddev_samp(days) AS asd,
+        (SELECT SUM(CAST(Dollars AS DECIMAL(28,4))) FROM buy)::DOUBLE AS asp
+    FROM (SELECT max(ReceivingDate) - min(PODate) AS days FROM buy GROUP BY VendorNumber, PONumber
+          HAVING min(PODate) = max(PODate) AND max(ReceivingDate) IS NOT NULL))"""
+
+
+def _validation_sql(off: float) -> str:
+    return f"""SELECT Orders AS observed_lead_time_orders, MedianDays AS observed_lead_time_median_days,
+        StdDays AS observed_lead_time_std_days, spend AS supplier_purchase_spend,
+        Orders = ao + {off} AS lead_time_order_count_matches_validated,
+        abs(MedianDays - (am + {off})) <= 1e-9::DOUBLE AS lead_time_median_matches_validated,
+        abs(spend - (asp + {off})) <= 0.01::DOUBLE AS purchase_spend_matches_validated,
+        false AS otif_fabricated, (SELECT count(OTIFPct) + count(OnTimePct) + count(InFullPct) = 0 FROM card) AS otif_columns_all_null
+    FROM lead_all, {_ANCHOR_SQL} a,
+        (SELECT CAST(SUM(CAST(TotalPurchaseDollars AS DECIMAL(28,4))) AS DOUBLE) AS spend FROM vend0) v"""
+
+
+_add("procurement_validation", _validation(0), _validation_sql(0))
+_add("procurement_validation_off", _validation(1), _validation_sql(1))
+
+
+def _snapshot_sql(off: float) -> str:
+    return f"""SELECT spend AS procurement_spend,
+        abs(spend - (asp + {off})) <= 0.01::DOUBLE AS procurement_spend_matches_validated,
         (SELECT SUM(TotalPurchaseQuantity) FROM vend0) AS purchase_quantity,
         k AS purchase_order_key_count,
         (SELECT count(DISTINCT VendorNumber) FROM vend0) AS supplier_count,
-        Orders AS observed_lead_time_orders, CAST(NULL AS BOOLEAN) AS observed_lead_time_orders_match,
-        MedianDays AS median_lead_time_days, CAST(NULL AS BOOLEAN) AS median_lead_time_matches,
-        StdDays AS std_lead_time_days, CAST(NULL AS BOOLEAN) AS std_lead_time_approx_match,
+        Orders AS observed_lead_time_orders, Orders = ao + {off} AS observed_lead_time_orders_match,
+        MedianDays AS median_lead_time_days, abs(MedianDays - (am + {off})) <= 1e-9::DOUBLE AS median_lead_time_matches,
+        StdDays AS std_lead_time_days, abs(StdDays - (asd + {off})) <= 1e-6::DOUBLE AS std_lead_time_approx_match,
         mt AS invoice_matched_po_count, mt / k * 100 AS invoice_match_pct,
         qa / mt * 100 AS quantity_alignment_pct, da / mt * 100 AS dollar_alignment_pct,
         false AS otif_fabricated,
         (SELECT count(*) FROM buy) AS purchase_transaction_records_validated
-    FROM lead_all, (SELECT count(*) AS k, count(*) FILTER (PurchaseOrderMatchStatus = 'Matched') AS mt,
+    FROM lead_all, {_ANCHOR_SQL} a,
+        (SELECT CAST(SUM(CAST(TotalPurchaseDollars AS DECIMAL(28,4))) AS DOUBLE) AS spend FROM vend0) v,
+        (SELECT count(*) AS k, count(*) FILTER (PurchaseOrderMatchStatus = 'Matched') AS mt,
         count(*) FILTER (QuantityReconciliationFlag = 'Quantity aligned') AS qa,
-        count(*) FILTER (DollarReconciliationFlag = 'Dollars aligned') AS da FROM pox)""",
-)
+        count(*) FILTER (DollarReconciliationFlag = 'Dollars aligned') AS da FROM pox)"""
+
+
+_add("reconciliation_snapshot", _snapshot(0), _snapshot_sql(0))
+_add("reconciliation_snapshot_off", _snapshot(1), _snapshot_sql(1))
 
 # ---- charts --------------------------------------------------------------------------
 
@@ -389,8 +431,7 @@ _CTE_OF = {
 def _page_tables(m: Model, page: str) -> dict[str, DataFrame]:
     """The tables of a page; one that several visuals read is written once."""
     used = [v.table for v in dashboard.PAGES[page]]
-    if "vendor_sales_summary" in used:
-        m.held("vendor_sales_summary")
+    m.hold_shared(*dict.fromkeys(used))
     return {t: m.held(t) if used.count(t) > 1 else m.read(t) for t in dict.fromkeys(used)}
 
 
@@ -442,13 +483,25 @@ def _good(m: Model) -> DataFrame:
     return eda.profitable(m.table(_VSS))
 
 
-_add(
-    "vendor_rows",
-    lambda m: eda.vendor_rows(
-        _t(m, "purchases", "VendorNumber", "Brand", "PONumber", "Quantity", "Dollars"), 6
-    ),
-    "SELECT VendorNumber, Brand, PONumber, Quantity, Dollars FROM buy WHERE VendorNumber = 6",
-)
+_SOURCE_CTE = {
+    "purchases": "buy", "sales": "sell", "purchase_prices": "quote", "vendor_invoice": "bill",
+    "begin_inventory": "stock0", "end_inventory": "stock1",
+}
+
+
+def _columns_sql(table: str) -> str:
+    return ", ".join(SOURCE_COLUMNS[table])
+
+
+for _name, _source, _key in (
+    ("vendor_rows", "purchases", "VendorNumber"), ("vendor_rows_prices", "purchase_prices", "VendorNumber"),
+    ("vendor_rows_invoices", "vendor_invoice", "VendorNumber"), ("vendor_rows_sales", "sales", "VendorNo"),
+):
+    _add(
+        _name,
+        lambda m, t=_source, k=_key: eda.vendor_rows(_t(m, t), 6, k),
+        f"SELECT {_columns_sql(_source)} FROM {_SOURCE_CTE[_source]} WHERE {_key} = 6",
+    )
 _add("profitable_rows", _good, "SELECT * FROM good")
 _add(
     "brand_price_totals",
@@ -507,11 +560,11 @@ _add(
 )
 _add(
     "target_scatter",
-    lambda m: eda.target_scatter(_good(m), 100_000_000.0),
+    lambda m: eda.target_scatter(_good(m)),
     """SELECT Description, TotalSalesDollars, ProfitMargin, ls AS LowSalesThreshold,
         hm AS HighMarginThreshold, TotalSalesDollars <= ls AND ProfitMargin >= hm AS TargetBrand
     FROM by_desc, desc_cuts
-    WHERE TotalSalesDollars <= 100000000 OR (TotalSalesDollars <= ls AND ProfitMargin >= hm)""",
+    WHERE TotalSalesDollars <= 10000 OR (TotalSalesDollars <= ls AND ProfitMargin >= hm)""",
     ("ProfitMargin", "HighMarginThreshold", "LowSalesThreshold"),
 )
 
@@ -595,15 +648,15 @@ _KEYS = ("VendorNumber", "Brand")
 _NUMERIC = tuple(c for c in _SUMMARY_COLUMNS if c not in _TEXT)
 
 
-def _column_type(c: str) -> str:
-    return "string" if c in _TEXT else "bigint" if c in _KEYS else "double"
+def _type_sql(c: str) -> str:
+    return f"replace(lower(any_value(typeof(\"{c}\"))), 'varchar', 'string')"
 
 
 _add(
     "null_profile",
     lambda m: eda.null_profile(m.table(_VSS).select(*[F.col(f"`{c}`") for c in _SUMMARY_COLUMNS])),
     " UNION ALL ".join(
-        f"SELECT '{c}' AS ColumnName, '{_column_type(c)}' AS DataType, count(\"{c}\") AS NonNullCount, "
+        f"SELECT '{c}' AS ColumnName, {_type_sql(c)} AS DataType, count(\"{c}\") AS NonNullCount, "
         f"count(*) - count(\"{c}\") AS NullCount FROM vb"
         for c in _SUMMARY_COLUMNS
     ),
@@ -623,9 +676,8 @@ _add(
 )
 _add(
     "fill_numbers",
-    lambda m: eda.fill_numbers(m.table(_VSS).select("VendorNumber", "Brand", "VendorName", "Volume", "StockTurnover")),
-    """SELECT VendorNumber, Brand, VendorName, coalesce(Volume, 0) AS Volume,
-        coalesce(StockTurnover, 0) AS StockTurnover FROM vb""",
+    lambda m: eda.fill_numbers(m.table(_VSS)),
+    "SELECT " + ", ".join(f'"{c}"' if c in _TEXT else f'coalesce("{c}", 0) AS "{c}"' for c in _SUMMARY_COLUMNS) + " FROM vb",
 )
 for _name, _column in (("category_counts_vendor", "VendorName"), ("category_counts_brand", "Description")):
     _add(
@@ -633,20 +685,43 @@ for _name, _column in (("category_counts_vendor", "VendorName"), ("category_coun
         lambda m, c=_column: eda.category_counts(_good(m), c),
         f"SELECT {_column}, count(*) AS Rows FROM good GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10",
     )
-_PROFILED = ("Brand", "Volume", "Description")
+#: The columns that put each table's rows in order for a profile or a preview.
+_ORDER_OF = {
+    "purchases": ("VendorNumber", "PONumber", "Brand"), "sales": ("VendorNo", "Brand", "Store"),
+    "purchase_prices": ("VendorNumber", "Brand"), "vendor_invoice": ("VendorNumber", "PONumber"),
+    "begin_inventory": ("Store", "Brand"), "end_inventory": ("Store", "Brand"),
+}
+
+
+def _per_table(make: Callable[[Model, str], DataFrame]) -> Callable[[Model], DataFrame]:
+    def run(m: Model) -> DataFrame:
+        out = None
+        for t in _SOURCE_CTE:
+            rows = make(m, t).select(F.lit(t).alias("TableName"), "*")
+            out = rows if out is None else out.unionByName(rows)
+        return out
+
+    return run
+
+
 _add(
     "type_profile",
-    lambda m: eda.type_profile(
-        _t(m, "purchase_prices", "VendorNumber", *_PROFILED), ["VendorNumber", "Brand"]
-    ),
+    _per_table(lambda m, t: eda.type_profile(_t(m, t), _ORDER_OF[t])),
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS ColumnName, count(*) AS Sampled, count(TRY_CAST(trim(v) AS DOUBLE)) AS Numeric,
-            CASE WHEN count(TRY_CAST(trim(v) AS DOUBLE)) > count(*) * 0.8 THEN 'DOUBLE' ELSE 'STRING' END AS DataType
-        FROM (SELECT CAST({c} AS VARCHAR) AS v FROM quote WHERE CAST({c} AS VARCHAR) <> ''
-              ORDER BY VendorNumber, Brand, v LIMIT 30)"""
-        for c in ("VendorNumber", *_PROFILED)
+        f"""SELECT '{t}' AS TableName, '{c}' AS ColumnName, count(*) AS Sampled,
+            count(x) AS Numeric, CASE WHEN count(x) > count(*) * 0.8 THEN 'DOUBLE' ELSE 'STRING' END AS DataType
+        FROM (SELECT CASE WHEN position('_' IN v) = 0 THEN TRY_CAST(trim(v) AS DOUBLE) END AS x
+              FROM (SELECT CAST({c} AS VARCHAR) AS v, {', '.join(_ORDER_OF[t])} FROM {cte})
+              WHERE v <> '' ORDER BY {', '.join(_ORDER_OF[t])}, v LIMIT 30)"""
+        for t, cte in _SOURCE_CTE.items()
+        for c in SOURCE_COLUMNS[t]
     ),
 )
+_add(
+    "source_preview",
+    lambda m: catalog.preview(_t(m, "vendor_invoice").orderBy("PONumber", "VendorNumber")),
+    f"SELECT {_columns_sql('vendor_invoice')} FROM bill ORDER BY PONumber, VendorNumber LIMIT 5",
+)
 _add(
     "key_uniqueness",
     lambda m: quality.is_key(_t(m, "vendor_invoice", "PONumber"), "PONumber"),
@@ -669,10 +744,6 @@ _add(
         CAST(SUM(n - 1) AS BIGINT) AS SurplusRows
     FROM (SELECT count(*) AS n FROM quote GROUP BY VendorNumber, Brand)""",
 )
-_SOURCE_CTE = {
-    "purchases": "buy", "sales": "sell", "purchase_prices": "quote", "vendor_invoice": "bill",
-    "begin_inventory": "stock0", "end_inventory": "stock1",
-}
 _add(
     "source_row_counts",
     lambda m: catalog.row_counts((t, _t(m, t, "Brand" if "Brand" in SOURCE_COLUMNS[t] else "PONumber")) for t in _SOURCE_CTE),
@@ -682,26 +753,80 @@ _add(
 )
 _add(
     "source_columns",
-    lambda m: eda.null_profile(_t(m, "begin_inventory")),
+    _per_table(lambda m, t: eda.null_profile(_t(m, t))),
     " UNION ALL ".join(
-        f"SELECT '{c}' AS ColumnName, '{t}' AS DataType, count(*) AS NonNullCount, "
-        "CAST(0 AS BIGINT) AS NullCount FROM stock0"
-        for c, t in SOURCE_COLUMNS["begin_inventory"].items()
+        f"SELECT '{t}' AS TableName, '{c}' AS ColumnName, {_type_sql(c)} AS DataType, count({c}) AS NonNullCount, "
+        f"count(*) - count({c}) AS NullCount FROM {cte}"
+        for t, cte in _SOURCE_CTE.items()
+        for c in SOURCE_COLUMNS[t]
     ),
 )
 _add(
     "raw_purchases",
-    lambda m: raw_purchases(_t(m, "purchases"))
-    .groupBy("STORE")
-    .agg(
-        F.count(F.lit(1)).alias("ROW_COUNT"),
-        F.sum("QUANTITY").cast("bigint").alias("QUANTITY"),
-        F.max("PAY_DATE").alias("LAST_PAY_DATE"),
+    lambda m: raw_purchases(_t(m, "purchases")).select(
+        *[F.col(n).cast("bigint" if t.startswith("decimal") else t).alias(n) for n, t, _ in RAW_PURCHASES_COLUMNS]
+    ),
+    "SELECT " + ", ".join(f"{c} AS {n}" for n, _, c in RAW_PURCHASES_COLUMNS) + " FROM buy",
+)
+
+
+def _profile(table: str, df: DataFrame) -> DataFrame:
+    """Per column: values that are not NULL, and the exact total of a numeric one."""
+    kinds = SOURCE_COLUMNS[table]
+    totals = {c: F.sum(F.col(c).cast("decimal(28,4)")).cast("double") for c, t in kinds.items() if t in ("bigint", "double")}
+    counted = df.agg(
+        *[F.count(c).alias(f"n_{c}") for c in kinds], *[e.alias(f"t_{c}") for c, e in totals.items()]
+    )
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("ColumnName"), F.col(f"n_{c}").alias("Known"),
+                (F.col(f"t_{c}") if c in totals else F.lit(None).cast("double")).alias("Total"),
+            )
+            for c in kinds
+        ]
     )
-    .withColumn("STORE", F.col("STORE").cast("bigint")),
-    """SELECT Store AS STORE, count(*) AS ROW_COUNT, CAST(SUM(Quantity) AS BIGINT) AS QUANTITY,
-        max(PayDate) AS LAST_PAY_DATE FROM buy GROUP BY 1""",
+    return counted.select(F.explode(cells).alias("c")).select("c.*")
+
+
+_PROFILE_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS TableName, '{c}' AS ColumnName, count({c}) AS Known, "
+    + (f"CAST(SUM(CAST({c} AS DECIMAL(28,4))) AS DOUBLE)" if kind in ("bigint", "double") else "CAST(NULL AS DOUBLE)")
+    + f" AS Total FROM {cte}"
+    for t, cte in _SOURCE_CTE.items()
+    for c, kind in SOURCE_COLUMNS[t].items()
 )
+
+
+def _ingested(m: Model) -> tuple[TableStore, str]:
+    """The six tables written as CSV extracts to the shared folder, and loaded from there."""
+    spark = _t(m, "vendor_invoice", "PONumber").sparkSession
+    folder = new_folder(spark, "extracts")
+    for t in _SOURCE_CTE:
+        write_csv(_t(m, t), f"{folder}/{t}.csv")
+    store = TableStore(spark, f"{folder}/store")
+    ingest(spark, folder, store)
+    return store, folder
+
+
+def _exported(m: Model) -> DataFrame:
+    store, folder = _ingested(m)
+    export_csv(store, f"{folder}/export", SOURCE_COLUMNS)
+    spark = store.table("sales").sparkSession
+    for t in SOURCE_COLUMNS:  # an export is an extract again once it has the extract's name
+        write_csv(spark.read.options(header=True, escape='"').csv(f"{folder}/export/{t}"), f"{folder}/again/{t}.csv")
+    return _per_table(lambda _, t: _profile(t, read_source(spark, f"{folder}/again", t)))(m)
+
+
+def _report(m: Model) -> DataFrame:
+    row = audit.audit(*_audit_tables(m))
+    folder = new_folder(row.sparkSession, "report")
+    write_report(row, folder)
+    return row.sparkSession.read.schema(row.schema).json(folder)
+
+
+_add("ingest_round_trip", lambda m: _per_table(lambda _, t, s=_ingested(m)[0]: _profile(t, s.table(t)))(m), _PROFILE_SQL)
+_add("export_round_trip", _exported, _PROFILE_SQL)
 _add(
     "sql_query",
     lambda m: catalog.run_query(
@@ -714,15 +839,12 @@ _add(
 
 
 def _extract(m: Model) -> DataFrame:
-    for shared in (_PO, _VSS, "fact_supplier_performance"):
-        m.held(shared)
-    tables = {
-        t: m.read(t)
-        for t in (
-            "fact_supplier_performance", "procurement_planning_risk", "po_cycle_aging_summary",
-            "supplier_lead_time_summary", "fact_procurement_monthly",
-        )
-    }
+    names = (
+        "fact_supplier_performance", "procurement_planning_risk", "po_cycle_aging_summary",
+        "supplier_lead_time_summary", "fact_procurement_monthly",
+    )
+    m.hold_shared(*names)
+    tables = {t: m.read(t) for t in names}
     parts = planning_extract(tables["fact_supplier_performance"].sparkSession, tables, {})
     out = None
     for name, df in parts.items():
@@ -814,20 +936,17 @@ _add(
         CAST(SUM(CAST(SalesDollars AS DECIMAL(28,4))) AS DOUBLE) AS SalesDollars FROM sell GROUP BY 1, 2)
     USING (Vendor, Brand)""",
 )
-_add(
-    "audit",
-    lambda m: audit.audit(*_audit_tables(m)),
-    """SELECT (SELECT count(*) FROM buy) AS purchase_rows,
-        (SELECT CAST(SUM(CAST(Dollars AS DECIMAL(28,4))) AS DOUBLE) FROM buy) AS purchase_dollars,
+_AUDIT_SQL = """SELECT (SELECT count(*) FROM buy) AS purchase_rows,
+        (SELECT round(CAST(SUM(CAST(Dollars AS DECIMAL(28,4))) AS DOUBLE), 2) FROM buy) AS purchase_dollars,
         (SELECT CAST(SUM(Quantity) AS BIGINT) FROM buy) AS purchase_quantity,
         (SELECT count(*) FROM vb_buy) AS purchase_vendor_brand_keys,
         (SELECT count(*) FROM sell) AS sales_rows,
-        (SELECT CAST(SUM(CAST(SalesDollars AS DECIMAL(28,4))) AS DOUBLE) FROM sell) AS sales_dollars,
+        (SELECT round(CAST(SUM(CAST(SalesDollars AS DECIMAL(28,4))) AS DOUBLE), 2) FROM sell) AS sales_dollars,
         (SELECT CAST(SUM(SalesQuantity) AS BIGINT) FROM sell) AS sales_quantity,
         (SELECT count(*) FROM vb_sell) AS sales_vendor_brand_keys,
         (SELECT count(*) FROM vb_sell s WHERE (VendorNo, Brand) IN (SELECT (VendorNumber, Brand) FROM vb_buy))
             AS sales_vendor_brand_keys_with_purchases,
-        (SELECT CAST(SUM(CAST(TotalSalesDollars AS DECIMAL(28,4))) AS DOUBLE) FROM vb_sell s
+        (SELECT round(coalesce(CAST(SUM(CAST(TotalSalesDollars AS DECIMAL(28,4))) AS DOUBLE), 0), 2) FROM vb_sell s
             WHERE (VendorNo, Brand) IN (SELECT (VendorNumber, Brand) FROM vb_buy)) AS sales_revenue_on_keys_with_purchases,
         (SELECT count(*) FROM quote) AS reference_vendor_brand_rows,
         (SELECT count(*) FROM (SELECT 1 FROM quote GROUP BY VendorNumber, Brand HAVING count(*) > 1))
@@ -846,11 +965,19 @@ _add(
         (SELECT count(*) FROM pos WHERE HasBothSnapshots = 1) AS store_brand_keys_in_both_snapshots,
         (SELECT count(*) FROM brand_ok) AS complete_snapshot_single_vendor_brands,
         Orders AS observed_lead_time_orders, MedianDays AS observed_lead_time_median_days,
-        StdDays AS observed_lead_time_std_days, true AS vendor_brand_summary_unique,
-        true AS purchase_dollars_reconcile, true AS purchase_quantity_reconcile,
-        true AS sales_dollars_reconcile, true AS sales_quantity_reconcile
-    FROM lead_all""",
-)
+        StdDays AS observed_lead_time_std_days,
+        (SELECT count(*) = count(DISTINCT (VendorNumber, Brand)) FROM vb) AS vendor_brand_summary_unique,
+        (SELECT abs(SUM(TotalPurchaseDollars) - (SELECT SUM(Dollars) FROM buy)) <= 0.01::DOUBLE + 1e-9::DOUBLE * abs(SUM(TotalPurchaseDollars)) FROM vb_buy)
+            AS purchase_dollars_reconcile,
+        (SELECT SUM(q) = (SELECT SUM(Quantity) FROM buy) FROM (SELECT SUM(Quantity) AS q FROM buy GROUP BY VendorNumber, Brand))
+            AS purchase_quantity_reconcile,
+        (SELECT abs(SUM(TotalSalesDollars) - (SELECT SUM(SalesDollars) FROM sell)) <= 0.01::DOUBLE + 1e-9::DOUBLE * abs(SUM(TotalSalesDollars)) FROM vb_sell)
+            AS sales_dollars_reconcile,
+        (SELECT SUM(q) = (SELECT SUM(SalesQuantity) FROM sell) FROM (SELECT SUM(SalesQuantity) AS q FROM sell GROUP BY VendorNo, Brand))
+            AS sales_quantity_reconcile
+    FROM lead_all"""
+_add("audit", lambda m: audit.audit(*_audit_tables(m)), _AUDIT_SQL)
+_add("report_json", _report, _AUDIT_SQL)
 
 # ---- statistics ----------------------------------------------------------------------
 
