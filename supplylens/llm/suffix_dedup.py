@@ -186,19 +186,18 @@ def _compared(rows: DataFrame, label: str) -> DataFrame:
 
     schema = f"{_ROWS}, same boolean, near boolean, keeper long, edge boolean, lead boolean, stands_for boolean"
     judged = hold(rows.orderBy(*_ORDER).mapInArrow(run, schema), label)
-    # a group cut by partitions leads one run of each partition's first or last group
+    # a group cut by partitions has led runs on both sides of the cut; two groups of a partition at most
     border = judged.where("lead").groupBy("key", "right", "left").agg(
         F.min("keeper").alias("_keeper"), F.max("doc").alias("_most")
     )
-    inside = judged.where("not edge")
-    across = judged.where("edge").join(F.broadcast(border), ["key", "right", "left"])  # two runs of a partition at most
-    across = (
-        across.withColumn("stands_for", ~F.col("same"))  # what lies beyond the edge is not known: look into it
-        .withColumn("same", F.col("same") | (F.col("_keeper") < F.col("_most")))
-        .withColumn("keeper", F.least("keeper", "_keeper"))
+    whole = judged.join(F.broadcast(border), ["key", "right", "left"], "left")
+    beyond = F.col("edge") & ~F.col("same")  # what lies beyond the edge is not known: look into it
+    return whole.select(
+        "doc", "lo", "hi",
+        (F.col("same") | F.coalesce(F.col("_keeper") < F.col("_most"), F.lit(False))).alias("same"),
+        F.least("keeper", "_keeper").alias("keeper"),
+        (F.col("stands_for") | beyond).alias("stands_for"),
     )
-    columns = ["doc", "lo", "hi", "same", "keeper", "stands_for"]
-    return inside.select(columns).unionByName(across.select(columns))
 
 
 def _windows(texts: DataFrame, partial: DataFrame, least: int) -> DataFrame:
