@@ -39,7 +39,46 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@_query()
+_QUOTED, _BLANKS = r"'^[ \t]*(>[ \t]*)+'", r"'[ \t\n\x0B\f\r]+'"
+
+
+def _normal(text: str) -> str:
+    return f"trim(regexp_replace(lower({text}), {_BLANKS}, ' ', 'g'), ' ')"
+
+
+@_query(
+    rf"""
+    WITH RECURSIVE m AS (
+        SELECT row_number() OVER () AS r, conv_id, turn, role,
+            string_split_regex(translate(coalesce(text, ''), chr(30) || chr(31), ''), '\r?\n') AS lines FROM conversations),
+    x AS (SELECT r, conv_id, turn, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM m),
+    y AS (SELECT *, length(regexp_replace(regexp_extract(line, {_QUOTED}), '[^>]', '', 'g')) AS level FROM x),
+    l AS (SELECT *, coalesce(lag(level) OVER w, 0) AS before, coalesce(lead(level) OVER w, 0) AS after
+          FROM y WINDOW w AS (PARTITION BY r ORDER BY i)),
+    own AS (SELECT r, conv_id, turn, trim(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (level = 0 AND NOT (after > 0
+                AND regexp_matches(line, '(?i)^[ \t]*(on\b.*\bwrote|.{{1,80}}\b(wrote|writes)):[ \t]*$'))), ''), ' ') AS own
+            FROM l GROUP BY ALL),
+    q AS (SELECT r, conv_id, turn, level, p FROM (
+            SELECT r, conv_id, turn, level, part, string_agg(regexp_replace(line, {_QUOTED}, ''), chr(10) ORDER BY i) AS p
+            FROM (SELECT *, sum((level <> before)::int) OVER (PARTITION BY r ORDER BY i) AS part FROM l) WHERE level > 0
+            GROUP BY ALL) WHERE trim(p, ' ') <> ''),
+    said AS (SELECT DISTINCT conv_id, turn, {_normal('u')} AS u FROM (
+            SELECT conv_id, turn, unnest([own] || string_split_regex(own, '\n[ \t]*\n') || string_split(own, chr(10))) AS u FROM own)
+        WHERE trim(u, ' ') <> ''),
+    found AS (SELECT q.conv_id, q.turn, q.level, {_normal('p')} AS h, max(said.turn) AS t
+        FROM q JOIN said ON said.conv_id = q.conv_id AND said.u = {_normal('p')} AND said.turn < q.turn GROUP BY ALL),
+    answers AS (SELECT conv_id, turn, count(*) AS linked, arg_min(t, (level, -t)) AS up FROM found GROUP BY ALL),
+    paths AS (SELECT conv_id, turn, [up, turn] AS path, up AS top FROM answers
+        UNION ALL SELECT p.conv_id, p.turn, [a.up] || path, a.up FROM paths p JOIN answers a ON a.conv_id = p.conv_id AND a.turn = p.top),
+    whole AS (SELECT conv_id, turn, arg_max(path, len(path)) AS path FROM paths GROUP BY ALL)
+    SELECT m.conv_id, m.turn, role, up AS reply_to, coalesce(len(path) - 1, 0)::INTEGER AS depth,
+        (SELECT count(*) FROM q WHERE q.r = m.r)::INTEGER AS n_quotes, coalesce(linked, 0)::INTEGER AS n_linked,
+        coalesce(array_to_string(list_transform(coalesce(path, [m.turn]), lambda t: lpad(t::VARCHAR, 12, '0')), '/'), '') AS order_key,
+        own AS text
+    FROM m JOIN own USING (r) LEFT JOIN answers a ON a.conv_id = m.conv_id AND a.turn = m.turn
+    LEFT JOIN whole ON whole.conv_id = m.conv_id AND whole.turn = m.turn
+    """
+)
 def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.reply_order(spark.read.parquet(f"{folder}/conversations.parquet"))
 

@@ -90,3 +90,32 @@ def test_awkward_rows(spark):
     assert len(out) == len(rows)
     assert next(r for r in out if r.text == "yes").reply_to == 2
     assert chat.reply_order(messages(spark, []).where(F.lit(False))).count() == 0
+
+
+def test_sql_says_the_same(spark):
+    import duckdb
+
+    from supplylens.llm.queries import ORACLES
+
+    rng = random.Random(3)
+    rows = [
+        (1, 0, "user", "How do I sort a list?\n\nIt is long."), (1, 1, "assistant", "Use sorted."),
+        (1, 2, "user", "> how do I sort  a list?\nOr in place?"), (1, 3, "assistant", "Ann wrote:\n> Use sorted.\nThat copies."),
+        (1, 4, "user", ">> Use sorted.\n> That copies.\nI see."), (1, 5, "user", "> a\n> b\n\n> c\n>> d\r\n > e"),
+        (2, 0, "user", ""), (2, 1, None, None), (2, 2, "user", " > \n>\n"),
+    ]
+    for conv in range(3, 12):
+        lines: list[str] = []
+        for turn in range(rng.randint(1, 20)):
+            own = f"line {rng.randint(0, 9)} of {conv}"
+            quote = f"> {rng.choice(lines).upper()}\n" if lines and rng.random() < 0.6 else ""
+            rows.append((conv, turn, "user", f"{quote}{own}\n\nmore {turn}"))
+            lines.append(own)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    want = con.execute(ORACLES["op2_chat_formatting"])
+    names = [d[0] for d in want.description]
+    got = chat.reply_order(messages(spark, rows)).select(*names).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want.fetchall()))
+    assert any(r.depth > 1 for r in got)
