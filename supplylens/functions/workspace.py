@@ -14,6 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 _ROOTS: dict[str, str] = {}
+_FOLDERS: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,9 +30,22 @@ def shared_folder(spark: SparkSession) -> str:
     return _ROOTS[app]
 
 
+def written() -> int:
+    """How many intermediate folders this process has named; see ``release_since``."""
+    return len(_FOLDERS)
+
+
+def release_since(spark: SparkSession, mark: int) -> None:
+    """Delete the intermediates named after ``mark``; nothing else may be using them any more."""
+    for path in _FOLDERS[mark:]:
+        _delete(spark, path)
+
+
 def new_folder(spark: SparkSession, label: str = "files") -> str:
     """A folder of its own among the intermediates, for files that are not one table."""
-    return f"{shared_folder(spark)}/held-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/held-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    _FOLDERS.append(path)
+    return path
 
 
 def hold(df: DataFrame, label: str = "table") -> DataFrame:
@@ -51,7 +65,9 @@ def hold_together(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 def release(spark: SparkSession) -> None:
     """Delete every intermediate of this application."""
-    app = spark.sparkContext.applicationId
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/held-{app}")
+    _delete(spark, f"{shared_folder(spark)}/held-{spark.sparkContext.applicationId}")
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -11,7 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.workspace import hold, hold_together
+from ..functions.workspace import hold, hold_together, release_since, written
 from ..operators import (
     charts,
     dims,
@@ -267,8 +267,10 @@ def build(
 
     Each staged table serves the later ones, so nothing is computed twice; tables that do
     not wait for each other are written side by side. The grain and reconciliation checks
-    run before anything becomes visible.
+    run before anything becomes visible. Intermediates are deleted at the end, and what a failed
+    run has staged too; no other query of this process may be running meanwhile.
     """
+    mark = written()
     model, run = Model(src), store.new_run()
     staged: dict[str, str] = {}
     counts: dict[str, int] = {}
@@ -285,17 +287,22 @@ def build(
         model.adopt(name, written)
 
     waiting = set(TABLES)
-    with ThreadPoolExecutor(threads) as pool:
-        while waiting:
-            ready = {n for n in waiting if not waiting.intersection(READS.get(n, ()))}
-            list(pool.map(make, ready))
-            waiting -= ready
-
-    quality.assert_reconciles(model.summary_checks())
-    assert_valid(
-        procurement_validation(
-            model.read(_PO), model.read(_SCORE), expected_orders, expected_median, expected_spend
+    try:
+        with ThreadPoolExecutor(threads) as pool:
+            while waiting:
+                ready = {n for n in waiting if not waiting.intersection(READS.get(n, ()))}
+                list(pool.map(make, ready))
+                waiting -= ready
+
+        quality.assert_reconciles(model.summary_checks())
+        assert_valid(
+            procurement_validation(
+                model.read(_PO), model.read(_SCORE), expected_orders, expected_median, expected_spend
+            )
         )
-    )
+    except Exception:
+        store.discard(run)
+        raise
     store.publish(staged)
+    release_since(spark, mark)
     return counts

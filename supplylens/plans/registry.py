@@ -1,7 +1,7 @@
 """Every query by name: the Spark plan, and the same result as plain SQL.
 
-A query takes (spark, folder of the raw tables) and returns a lazy DataFrame over whole
-tables. Columns that rest on non-decimal sums are given at six decimals on both sides.
+A query takes (spark, folder of the raw tables) and returns a DataFrame over whole tables. Its
+last step is lazy; tables that several steps read are written when the query is built. Columns that rest on non-decimal sums are given at six decimals on both sides.
 """
 
 from __future__ import annotations

@@ -20,6 +20,7 @@ def make_session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shared-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="warehouse-"))
     )
     spark = builder.getOrCreate()

@@ -93,7 +93,9 @@ def test_failed_validation_publishes_nothing(spark, small, tmp_path, monkeypatch
 
 
 def test_filter_and_columns_reach_the_scan(spark, small):
-    from supplylens.plans.registry import QUERIES
+    from supplylens.operators import eda
+    from supplylens.sources.readers import StarSchemaSources
 
-    plan = QUERIES["vendor_rows"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    rows = StarSchemaSources(spark, small).table("purchases", "VendorNumber", "Brand", "PONumber", "Quantity", "Dollars")
+    plan = eda.vendor_rows(rows, 6)._jdf.queryExecution().executedPlan().toString()
     assert "l_extendedprice" in plan and "l_discount" not in plan and "p_name" not in plan

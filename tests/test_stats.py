@@ -54,7 +54,7 @@ def test_histogram(sample):
 
 
 def test_density(sample):
-    rows = stats.density(sample, ["a", "c"], points=50).orderBy("Point").collect()
+    rows = stats.density(sample, ["a", "c"], points=50, cut=3.0).orderBy("Point").collect()
     x = sample.toPandas().a.dropna().to_numpy()
     h = x.std(ddof=1) * len(x) ** -0.2
     grid = np.linspace(x.min() - 3 * h, x.max() + 3 * h, 50)
