@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.frames import with_scalars
 from ..functions.workspace import hold
 
 _WHITE = r"[\x20\x09-\x0D]+"
@@ -116,7 +117,7 @@ def host_verdicts(measured: DataFrame, most: float = 0.5) -> DataFrame:
             f"_{r}_s", F.greatest(F.lit(2.0), F.least(F.lit(1000.0), strength))
         )
     prior = prior.select(*[c for r in rules for c in (f"_{r}_m", f"_{r}_s")])
-    judged = hosts.join(F.broadcast(prior))  # one row
+    judged = with_scalars(hosts, prior)
     for r in rules:
         a = F.col(f"_{r}_m") * F.col(f"_{r}_s")
         judged = judged.withColumn(f"{r}_rate", (F.col(f"{r}_failed") + a) / (n + F.col(f"_{r}_s")))
