@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import kept
 from .shipping import ship
 from .text import slices
 
@@ -120,8 +121,9 @@ def _document_counts(rows: DataFrame) -> tuple[np.ndarray, int]:
     """How many texts have each feature, and how many texts there are: at most DIM + 1 rows reach the driver."""
 
     def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept.only("language")
         total = np.zeros(DIM + 1, dtype=np.int64)
-        for batch in table:
+        for batch in (part for whole in table for part in slices(whole, "text")):
             for text in batch.column("text").to_pylist():
                 total[counts(text)[0]] += 1
                 total[DIM] += 1
@@ -161,7 +163,8 @@ class LanguageModel:
         schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
 
         def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in table:
+            kept.only("language")
+            for batch in (part for whole in table for part in slices(whole, at)):
                 found = [self.predict(t) for t in batch.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shipping import ship
-from .text import raw_texts
+from .text import raw_texts, slices
 
 #: What counts as a word character; other bytes set words apart.
 _WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -205,7 +205,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     kind = dict(rows.dtypes)["id"]
 
     def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in table:
+        for batch in (part for whole in table for part in slices(whole, "text")):
             found = [scan(raw) for raw in raw_texts(batch.column("text"))]
             columns = [pa.array([x[n] for x in found], t) for n, t in _FOUND.items()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], names=["id", *_FOUND])

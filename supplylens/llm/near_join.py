@@ -32,6 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.workspace import hold
+from . import kept
 from .components import connected_components
 from .shipping import ship
 from .text import raw_texts, shingles, slices
@@ -50,8 +51,9 @@ def _measured(rows: DataFrame, size: int) -> DataFrame:
     """(id, n, key) of every row, and the tasks' counters as (block, counts) rows."""
 
     def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept.only("near_join")
         total = np.zeros(1 << BITS, dtype=np.int64)
-        for batch in table:
+        for batch in (part for whole in table for part in slices(whole, "text")):
             n, keys = [], []
             for raw in raw_texts(batch.column("text")):
                 grams = shingles(raw, size)
@@ -109,9 +111,10 @@ def _prefixes(rows: DataFrame, size: int, num: int, den: int, counters: np.ndarr
     shift = np.uint64(64 - BITS)
 
     def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept.only("near_join")
         grade, salts, single = shared.value
         seen: set[bytes] = set()
-        for batch in table:
+        for batch in (part for whole in table for part in slices(whole, "text")):
             out: list[tuple] = []
             for id_, raw in zip(batch.column("id").to_pylist(), raw_texts(batch.column("text")), strict=True):
                 grams = shingles(raw, size)
@@ -196,6 +199,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, num: int, den: int)
     )
 
     def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept.only("near_join")
         last, grams = None, np.empty(0, dtype=np.uint64)
         for whole in table:
             for batch in slices(whole, "ytext"):

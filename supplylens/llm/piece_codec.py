@@ -28,6 +28,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import kept
 from .shipping import ship
 from .text import coded, gathered, slices
 
@@ -235,6 +236,9 @@ def codec(path: str) -> PieceCodec:
     return PieceCodec(path)
 
 
+kept.remember("piece_codec", codec.cache_clear)
+
+
 def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, ids (array of int, all of the text), decoded (the text they give).
 
@@ -247,6 +251,7 @@ def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
     kind = dict(rows.dtypes)["id"]
 
     def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept.only("piece_codec")
         own = codec(model_path)
         for batch in table:
             for part in slices(batch, "text"):

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.workspace import hold
+from . import kept
 from .shipping import ship
 from .text import LOWER, raw_texts, slices, span_hashes, window_hashes, word_bounds, word_hashes
 
@@ -67,6 +68,7 @@ def _batch(*columns) -> pa.RecordBatch:
 
 def _suffix_rows(texts: DataFrame, least: int) -> DataFrame:
     def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept.only("suffix_dedup")
         for whole in table:
             for batch in slices(whole, "text"):
                 out = []
@@ -206,6 +208,7 @@ def _windows(texts: DataFrame, partial: DataFrame, least: int) -> DataFrame:
     wanted = hold(wanted, "stretches")
 
     def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept.only("suffix_dedup")
         for whole in table:
             for batch in slices(whole, "text"):
                 out = []

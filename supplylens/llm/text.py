@@ -109,7 +109,7 @@ def shingles(raw: bytes, size: int) -> np.ndarray:
     return np.unique(window_hashes(words, size))
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str | int, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``most`` bytes of text each, or a single longer row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(sizes, dtype=np.int64) // most

@@ -20,13 +20,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import kept
 from .shipping import ship
 from .text import coded, gathered, slices
 
 #: Fixed value: the pattern of the word-end BPE files, and what it comes to on lower-case printable ASCII.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-KEPT_WORDS = 600_000  # words remembered by a process; the memory is cleared when it is full
+#: Words and parts of words remembered by a process; a memory that is full is cleared.
+KEPT_WORDS, KEPT_PARTS = 200_000, 400_000
 KEPT_LENGTH = 48
 
 
@@ -57,7 +59,7 @@ class WordTokens:
         if found is None:
             found = array("I", [t.id for t in self._merge(part)]).tobytes()
             if len(part) <= KEPT_LENGTH:
-                if len(self._parts) >= KEPT_WORDS:
+                if len(self._parts) >= KEPT_PARTS:
                     self._parts.clear()
                 self._parts[part] = found
         return found
@@ -95,6 +97,9 @@ def word_tokens(path: str) -> WordTokens:
     return WordTokens(path)
 
 
+kept.remember("word_tokens", word_tokens.cache_clear)
+
+
 def token_pieces(
     docs: DataFrame, tokenizer_path: str, most: int, end_id: int | None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -107,6 +112,7 @@ def token_pieces(
     kind = dict(rows.dtypes)["id"]
 
     def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept.only("word_tokens")
         own = word_tokens(tokenizer_path)
         end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
         for batch in table:
