@@ -172,7 +172,7 @@ class _Neighbours:
 
 
 def _compared(rows: DataFrame, label: str) -> DataFrame:
-    """The rows that have something in common with a neighbour: doc, lo, hi, same, keeper, stands_for."""
+    """The rows that have something in common with a neighbour: keys, doc, lo, hi, same, keeper, stands_for."""
 
     def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, waiting = _Neighbours(), None
@@ -195,7 +195,7 @@ def _compared(rows: DataFrame, label: str) -> DataFrame:
     whole = judged.join(F.broadcast(border), ["key", "right", "left"], "left")
     beyond = F.col("edge") & ~F.col("same")  # what lies beyond the edge is not known: look into it
     return whole.select(
-        "doc", "lo", "hi",
+        "key", "right", "left", "doc", "lo", "hi",
         (F.col("same") | F.coalesce(F.col("_keeper") < F.col("_most"), F.lit(False))).alias("same"),
         F.least("keeper", "_keeper").alias("keeper"),
         (F.col("stands_for") | beyond).alias("stands_for"),
@@ -203,7 +203,7 @@ def _compared(rows: DataFrame, label: str) -> DataFrame:
 
 
 def _windows(texts: DataFrame, partial: DataFrame, least: int) -> DataFrame:
-    """Every window of the stretches that repeat in part, from the text itself."""
+    """Every window of the stretches that repeat in part, from the text itself; hi is where its stretch begins."""
     wanted = partial.groupBy("doc").agg(F.collect_set(F.struct("lo", "hi")).alias("stretches"))  # one document's
     wanted = hold(wanted, "stretches")
 
@@ -216,16 +216,29 @@ def _windows(texts: DataFrame, partial: DataFrame, least: int) -> DataFrame:
                 for doc, raw, stretches in zip(*columns, strict=True):
                     words = word_hashes(raw)
                     starts = np.concatenate([np.arange(s["lo"], s["hi"] + 1) for s in stretches])
-                    starts = starts[starts + least <= len(words)]
+                    begins = np.repeat([s["lo"] for s in stretches], [s["hi"] + 1 - s["lo"] for s in stretches])
+                    begins, starts = begins[starts + least <= len(words)], starts[starts + least <= len(words)]
                     key = span_hashes(words, starts, starts + least)
                     none = np.zeros(len(key), dtype=np.uint64)
-                    out.append((key, none, none, np.full(len(key), doc), starts, starts))
+                    out.append((key, none, none, np.full(len(key), doc), starts, begins))
                 if out:
                     yield _batch(*(np.concatenate(x) for x in zip(*out, strict=True)))
 
     return texts.join(wanted, "doc").select("doc", "text", "stretches").mapInArrow(run, _ROWS)
 
 
+def _firsts(stretches: DataFrame, windows: DataFrame) -> DataFrame:
+    """The smallest document that any window of a group's stretch stands in, where it is none of the group.
+
+    Rows (key, right, left, _first). Only a group's representatives are compared window by window;
+    this is what they find for all members.
+    """
+    standing = stretches.where("stands_for").select("key", "right", "left", "doc", F.col("lo").alias("begin"), "keeper")
+    least = windows.groupBy("doc", F.col("hi").alias("begin")).agg(F.min("keeper").alias("_first"))
+    found = standing.join(least, ["doc", "begin"]).where("_first < keeper")
+    return hold(found.groupBy("key", "right", "left").agg(F.min("_first").alias("_first")), "firsts")
+
+
 def _joined(lo: np.ndarray, hi: np.ndarray, keeper: np.ndarray) -> list[dict]:
     """Word ranges as few as they can be, each with the smallest keeper of its parts."""
     if not len(lo):
@@ -260,17 +273,24 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id
     suffixes = hold(_suffix_rows(texts, least), "suffixes")
     compared = hold(_compared(suffixes, "neighbours"), "compared")
     windows = hold(_windows(texts, compared.where("not same or stands_for"), least), "windows")
-    found = compared.unionByName(_compared(windows, "window-neighbours")).where("same")
-    by_doc = found.groupBy("doc").agg(F.collect_set(F.struct("lo", "hi", "keeper")).alias("parts"))  # one document's
+    matched = hold(_compared(windows, "window-neighbours").where("same").select("doc", "lo", "hi", "keeper"), "matched")
+    # what a group cuts goes by its own first document, what it reports by that of its windows
+    members = compared.where("same").join(_firsts(compared, matched), ["key", "right", "left"], "left").select(
+        "doc", "lo", "hi", "keeper", F.least("keeper", "_first").alias("first")
+    )
+    found = members.union(matched.select("doc", "lo", "lo", "keeper", "keeper"))
+    by_doc = found.groupBy("doc").agg(F.collect_set(F.struct("lo", "hi", "keeper", "first")).alias("parts"))  # one document's
 
     def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in table:
             passages, cuts = [], []
             for doc, parts in zip(batch.column("doc").to_pylist(), batch.column("parts").to_pylist(), strict=True):
-                lo, hi, keeper = (np.array([p[c] for p in parts], dtype=np.int64) for c in ("lo", "hi", "keeper"))
+                lo, hi, keeper, first = (
+                    np.array([p[c] for p in parts], dtype=np.int64) for c in ("lo", "hi", "keeper", "first")
+                )
                 other = keeper < doc
-                passages.append(_joined(lo, hi + least, keeper))
-                cuts.append(_joined(lo[other], hi[other] + least, keeper[other]))
+                passages.append(_joined(lo, hi + least, first))
+                cuts.append(_joined(lo[other], hi[other] + least, first[other]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), pa.array(passages, _RANGES), pa.array(cuts, _RANGES)], names=["doc", "passages", "cuts"]
             )

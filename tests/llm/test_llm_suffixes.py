@@ -66,6 +66,56 @@ def test_cut_and_overlapping_passages(spark, partitions):
             spark.conf.set(k, v)
 
 
+def keepers(rows, least):
+    """(id, start, end, smallest id that any window of the range stands in) of every passage."""
+    first: dict[tuple, int] = {}
+    holders: dict[tuple, set] = {}
+    texts = {i: words(t) for i, t in rows if i is not None}
+    for i, w in texts.items():
+        for k in range(len(w) - least + 1):
+            window = tuple(w[k : k + least])
+            holders.setdefault(window, set()).add(i)
+            first[window] = min(i, first.get(window, i))
+    out = []
+    for i, w in texts.items():
+        ranges = []
+        for k in range(len(w) - least + 1):
+            window = tuple(w[k : k + least])
+            if len(holders[window]) < 2:
+                continue
+            if ranges and k <= ranges[-1][1]:
+                ranges[-1] = [ranges[-1][0], k + least, min(ranges[-1][2], first[window])]
+            else:
+                ranges.append([k, k + least, first[window]])
+        out += [(i, *r) for r in ranges]
+    return sorted(out)
+
+
+def found_keepers(docs, least):
+    found = suffix_dedup.repeated_passages(docs, least).collect()
+    return sorted((r.doc_id, p.start, p.end, p.keeper) for r in found for p in r.passages)
+
+
+@pytest.mark.parametrize("partitions", ["1", "3", "40"])
+def test_every_member_of_a_group_names_the_first_document(spark, awkward, rows, partitions):
+    rng = random.Random(11)
+    long = prose(rng, 300, 5000)
+    part = " ".join(long.split()[100:155])
+    group = [(2, f"{prose(rng, 30)} {part} {prose(rng, 30)}")] + [(k, long) for k in (5, 7, 9, 11, 12)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        want = keepers(group, 50)
+        assert {w[3] for w in want} == {2} and len(want) == 6
+        assert found_keepers(frame(spark, group), 50) == want
+        assert found_keepers(frame(spark, mixed(5)).repartition(4), 20) == keepers(mixed(5), 20)
+        assert found_keepers(awkward, 50) == keepers(rows, 50)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_cutting_leaves_each_passage_once(awkward, rows):
     kept = suffix_dedup.cut_repeats(awkward)
     assert kept.columns == awkward.columns
