@@ -1,9 +1,11 @@
 """Quotation linking for chats and mail threads, in DataFrame operations only.
 
 A line's quote level is the number of '>' before its text. Runs of quoted lines of one level are
-passages. A passage and everything a message says in its own words (its whole text, each
-paragraph, each line) are normalised and hashed; the passage's message is the latest earlier one
-of the conversation with an equal hash. A message that quotes another is an answer to it.
+passages. A passage, its paragraphs and its lines, and everything a message says in its own words
+(its whole text, each run between quotes, each paragraph of these, each line) are normalised and
+hashed. The passage's message is the latest earlier one of the conversation with an equal hash; if
+none has the whole passage, the one that most of its paragraphs are found in, then most of its
+lines, the latest of these if there are several. A message that quotes another is an answer to it.
 
 The result is the messages in reply order without their quotes. Nothing is gathered by
 conversation: joins are on (conversation, hash) and (conversation, turn), and the order is a sort
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.workspace import hold
 
 _QUOTED = r"^[ \t]*(>[ \t]*)+"
+_BLANK_LINE = r"\n[ \t]*\n"
 _SAID = r"(?i)^[ \t]*(on\b.*\bwrote|.{1,80}\b(?:wrote|writes)):[ \t]*$"
 
 
@@ -31,7 +34,7 @@ def passage_hash(text: Column) -> Column:
 
 
 def parse_quotes(messages: DataFrame, text_col: str = "text") -> DataFrame:
-    """Add ``own`` (text outside quotes) and ``quotes``: array of (level, passage).
+    """Add ``own`` (text outside quotes), ``runs`` (its parts between quotes) and ``quotes``: array of (level, passage).
 
     A line that only announces a quote ('... wrote:') right before one is dropped with it.
     """
@@ -43,10 +46,13 @@ def parse_quotes(messages: DataFrame, text_col: str = "text") -> DataFrame:
         ),
     )
     parsed = messages.withColumn("_lines", lines).withColumn("_levels", F.col("_lines.level"))
-    own = F.filter(
-        "_lines",
-        lambda x, i: (x["level"] == 0)
-        & ~(x["line"].rlike(_SAID) & (F.coalesce(F.get("_levels", i + 1), F.lit(0)) > 0)),
+
+    def announces(x: Column, i: Column) -> Column:
+        return x["line"].rlike(_SAID) & (F.coalesce(F.get("_levels", i + 1), F.lit(0)) > 0)
+
+    own = F.filter("_lines", lambda x, i: (x["level"] == 0) & ~announces(x, i))
+    between = F.transform(
+        "_lines", lambda x, i: F.when(x["level"] > 0, F.lit("\x1e")).when(announces(x, i), F.lit("")).otherwise(x["line"])
     )
     # lines of a passage share a level and are joined by \n; passages are set apart by \x1e
     marked = F.transform(
@@ -70,11 +76,24 @@ def parse_quotes(messages: DataFrame, text_col: str = "text") -> DataFrame:
     )
     return (
         parsed.withColumn("own", F.trim(F.array_join(F.transform(own, lambda x: x["line"]), "\n")))
+        .withColumn("runs", F.split(F.array_join(between, "\n"), "\x1e"))
         .withColumn("quotes", F.filter(quotes, lambda q: F.trim(q["passage"]) != ""))
         .drop("_lines", "_levels")
     )
 
 
+def _parts(q: Column) -> Column:
+    """(kind, unit) of a passage: 0 the whole, 1 its paragraphs, 2 its lines; no kind of a single part repeats the whole."""
+
+    def named(kind: int, units: Column) -> Column:
+        said = F.filter(units, lambda x: F.trim(x) != "")
+        return F.transform(said, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("unit")))
+
+    paragraphs, lines = named(1, F.split(q["passage"], _BLANK_LINE)), named(2, F.split(q["passage"], "\n"))
+    parts = [F.when(F.size(x) > 1, x).otherwise(F.slice(x, 1, 0)) for x in (paragraphs, lines)]
+    return F.concat(named(0, F.array(q["passage"])), *parts)
+
+
 def reply_order(
     messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text"
 ) -> DataFrame:
@@ -95,7 +114,9 @@ def reply_order(
     quoting = hold(
         parsed.where(F.size("quotes") > 0)
         .select("_conv", "_turn", F.explode("quotes").alias("q"))
-        .select("_conv", "_turn", F.col("q.level").alias("_level"), passage_hash(F.col("q.passage")).alias("_hash")),
+        .select("_conv", "_turn", F.col("q.level").alias("_level"), passage_hash(F.col("q.passage")).alias("_passage"),
+                F.explode(_parts(F.col("q"))).alias("p"))
+        .select("_conv", "_turn", "_level", "_passage", F.col("p.kind").alias("_kind"), passage_hash(F.col("p.unit")).alias("_hash")),
         "quotes",
     )
     links = _links(parsed, quoting)
@@ -121,7 +142,10 @@ def _links(parsed: DataFrame, quoting: DataFrame) -> DataFrame:
     """(conv, turn) of each quoting message with the turn it answers and the passages that link."""
     says = F.array_distinct(
         F.filter(
-            F.concat(F.array("own"), F.split("own", r"\n[ \t]*\n"), F.split("own", "\n")),
+            F.concat(
+                F.array("own"), F.split("own", _BLANK_LINE), F.split("own", "\n"),
+                "runs", F.flatten(F.transform("runs", lambda x: F.split(x, _BLANK_LINE))),
+            ),
             lambda x: F.trim(x) != "",
         )
     )
@@ -131,12 +155,18 @@ def _links(parsed: DataFrame, quoting: DataFrame) -> DataFrame:
     wanted = quoting.select("_conv", "_hash").distinct()
     said = said.join(wanted, ["_conv", "_hash"], "left_semi")
     # one row per (conversation, hash, turn); the latest turn before the quote is an aggregate
-    found = (
+    parts = (
         quoting.join(said, ["_conv", "_hash"])
         .where("_said < _turn")
-        .groupBy("_conv", "_turn", "_level", "_hash")
+        .groupBy("_conv", "_turn", "_level", "_passage", "_kind", "_hash")
         .agg(F.max("_said").alias("_said"))
     )
+    # a passage's message: the whole before paragraphs before lines, then the most parts, then the latest
+    best = F.max(F.struct((-F.col("_kind")).alias("_minus"), "_n", "_said"))
+    found = (
+        parts.groupBy("_conv", "_turn", "_level", "_passage", "_kind", "_said").agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy("_conv", "_turn", "_level", "_passage").agg(best["_said"].alias("_said"))
+    )
     nearest = F.min(F.struct("_level", (-F.col("_said")).alias("_minus")))
     return found.groupBy("_conv", "_turn").agg(
         F.count(F.lit(1)).alias("_linked"), (-nearest["_minus"]).alias("_to")

@@ -46,6 +46,22 @@ def test_levels_and_passages(spark):
     assert r.own == "mine\nHe wrote:\nnot a quote"
 
 
+def test_parts_of_a_message_are_found(spark):
+    rows = [
+        (1, 0, "user", "a line\nb line\nc line"), (1, 1, "user", "> a line\n> b line\nyes"),
+        (2, 0, "user", "one p\n\ntwo\np\n\nthree p"), (2, 1, "user", "three p"), (2, 2, "user", "> two p\n>\n> one p\n> \n> four\nyes"),
+        (3, 0, "user", "q"), (3, 1, "user", "> q\nwrapped\nhere\n> q\nmore\n\nlast\npart\n> q\nend"),
+        (3, 2, "user", "> wrapped\n> here\nyes"), (3, 3, "user", "> last\n> part\nyes"), (3, 4, "user", "here"),
+        (3, 5, "user", "> wrapped here\nyes"),
+        (4, 0, "user", "a\nb"), (4, 1, "user", "a"), (4, 2, "user", "> a\n> b\nyes"), (4, 3, "user", "> x\n> a\nyes"),
+    ]
+    up = {(r[0], r[1]): r[2] for r in order(spark, rows)}
+    want = {(1, 1): 0, (2, 2): 0, (3, 1): 0, (3, 2): 1, (3, 3): 1, (3, 5): 1, (4, 2): 0, (4, 3): 1}
+    assert {k: v for k, v in up.items() if v is not None} == want
+    linked = {(r.conv_id, r.turn): (r.n_quotes, r.n_linked) for r in chat.reply_order(messages(spark, rows)).collect()}
+    assert linked[1, 1] == linked[2, 2] == (1, 1) and linked[3, 1] == (3, 1)
+
+
 def brute(rows):
     said: dict[tuple, list] = {}
     norm = lambda t: " ".join(t.lower().split())
