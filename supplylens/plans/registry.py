@@ -722,6 +722,14 @@ _add(
     lambda m: catalog.preview(_t(m, "vendor_invoice").orderBy("PONumber", "VendorNumber")),
     f"SELECT {_columns_sql('vendor_invoice')} FROM bill ORDER BY PONumber, VendorNumber LIMIT 5",
 )
+for _source in [t for t in _SOURCE_CTE if t != "vendor_invoice"]:
+    _by = (*_ORDER_OF[_source], *(c for c in SOURCE_COLUMNS[_source] if c not in _ORDER_OF[_source]))
+    _add(
+        f"source_preview_{_source}",
+        lambda m, t=_source, by=_by: catalog.preview(_t(m, t).orderBy(*by)),
+        f"SELECT {_columns_sql(_source)} FROM {_SOURCE_CTE[_source]} "
+        f"ORDER BY {', '.join(f'{c} NULLS FIRST' for c in _by)} LIMIT 5",
+    )
 _add(
     "key_uniqueness",
     lambda m: quality.is_key(_t(m, "vendor_invoice", "PONumber"), "PONumber"),

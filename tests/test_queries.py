@@ -32,3 +32,10 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", list(QUERIES) if os.environ.get("ALL_QUERIES") else QUICK)
 def test_query_equals_sql(spark, con, small, name):
     assert differences(spark, con, small, name, QUERIES[name], ORACLES[name]) == []
+
+
+@pytest.mark.parametrize("table", ["purchases", "sales", "purchase_prices", "begin_inventory", "end_inventory"])
+def test_source_tables_have_a_preview(spark, con, small, table):
+    name = f"source_preview_{table}"
+    assert differences(spark, con, small, name, QUERIES[name], ORACLES[name]) == []
+    assert QUERIES[name](spark, small).count() == 5
