@@ -8,13 +8,15 @@ none has the whole passage, the one that most of its paragraphs are found in, th
 lines, the latest of these if there are several. A message that quotes another is an answer to it.
 
 The result is the messages in reply order without their quotes. Nothing is gathered by
-conversation: joins are on (conversation, hash) and (conversation, turn), and the order is a sort
-key, so one conversation may hold a third of all rows.
+conversation: quotes meet sayings in a running maximum within ranges of (conversation, hash, turn),
+joins have one row at most on one side, and the order is a sort key, so one conversation may hold a
+third of all rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.workspace import hold
@@ -154,12 +156,9 @@ def _links(parsed: DataFrame, quoting: DataFrame) -> DataFrame:
     )
     wanted = quoting.select("_conv", "_hash").distinct()
     said = said.join(wanted, ["_conv", "_hash"], "left_semi")
-    # one row per (conversation, hash, turn); the latest turn before the quote is an aggregate
     parts = (
-        quoting.join(said, ["_conv", "_hash"])
-        .where("_said < _turn")
-        .groupBy("_conv", "_turn", "_level", "_passage", "_kind", "_hash")
-        .agg(F.max("_said").alias("_said"))
+        quoting.select("_conv", "_turn", "_level", "_passage", "_kind", "_hash").distinct()
+        .join(_latest(quoting, said), ["_conv", "_hash", "_turn"])
     )
     # a passage's message: the whole before paragraphs before lines, then the most parts, then the latest
     best = F.max(F.struct((-F.col("_kind")).alias("_minus"), "_n", "_said"))
@@ -173,19 +172,47 @@ def _links(parsed: DataFrame, quoting: DataFrame) -> DataFrame:
     )
 
 
+def _latest(quoting: DataFrame, said: DataFrame) -> DataFrame:
+    """(conv, hash, turn) of each quote with the latest earlier turn that says it, if there is one.
+
+    A running maximum over quotes and sayings together, so a line that thousands say and thousands
+    quote costs rows, not pairs. It runs within ranges of (conv, hash, turn) of about equal size;
+    what earlier ranges hold is one row for each range that a hash reaches into.
+    """
+    asked = quoting.select("_conv", "_hash", "_turn", F.lit(True).alias("_asked"), F.lit(None).cast("long").alias("_at"))
+    told = said.select("_conv", "_hash", F.col("_said").alias("_turn"), F.lit(False).alias("_asked"), F.col("_said").alias("_at"))
+    turns = (
+        asked.unionByName(told).where("_conv is not null and _turn is not null")
+        .groupBy("_conv", "_hash", "_turn").agg(F.max("_asked").alias("_asked"), F.max("_at").alias("_at"))
+        .repartitionByRange("_conv", "_hash", "_turn").withColumn("_range", F.spark_partition_id())
+    )
+    turns = hold(turns, "turns")
+    same = W.partitionBy("_conv", "_hash")
+    carried = turns.groupBy("_conv", "_hash", "_range").agg(F.max("_at").alias("_top")).withColumn(
+        "_top", F.max("_top").over(same.orderBy("_range").rowsBetween(W.unboundedPreceding, -1))
+    ).where("_top is not null")
+    inside = W.partitionBy("_conv", "_hash", "_range").orderBy("_turn").rowsBetween(W.unboundedPreceding, -1)
+    return (
+        turns.withColumn("_in", F.max("_at").over(inside)).where("_asked")
+        .join(carried, ["_conv", "_hash", "_range"], "left")
+        .select("_conv", "_hash", "_turn", F.coalesce("_in", "_top").alias("_said")).where("_said is not null")
+    )
+
+
 def _paths(answers: DataFrame) -> DataFrame:
-    """Turns from the first message of a thread to each answer; one round per level of answers."""
-    answers = answers.withColumn("_path", F.array("_to", "_turn")).withColumn("_top", F.col("_to"))
-    done, open_ = None, answers
+    """Turns from the first message of a thread to each answer; a round doubles the levels a path has."""
+    open_ = answers.withColumn("_path", F.array("_to", "_turn")).withColumn("_top", F.col("_to"))
+    done = open_.where(F.lit(False))
     while True:
-        # extend each path by the message that its first one answers, if it answers any
-        up = answers.select("_conv", F.col("_turn").alias("_top"), F.col("_to").alias("_above"))
+        # extend each path by that of the message it begins with, if that answers any
+        up = done.unionByName(open_).select(
+            "_conv", F.col("_turn").alias("_top"), F.col("_top").alias("_next"), F.col("_path").alias("_above")
+        )
         stepped = hold(open_.join(up, ["_conv", "_top"], "left"), "paths")
-        ended = stepped.where("_above is null").select("_conv", "_turn", "_to", "_linked", "_path")
-        done = ended if done is None else done.unionByName(ended)
+        done = done.unionByName(stepped.where("_above is null").select("_conv", "_turn", "_to", "_linked", "_path", "_top"))
         open_ = stepped.where("_above is not null").select(
             "_conv", "_turn", "_to", "_linked",
-            F.concat(F.array("_above"), "_path").alias("_path"), F.col("_above").alias("_top"),
+            F.concat("_above", F.slice("_path", 2, F.size("_path"))).alias("_path"), F.col("_next").alias("_top"),
         )
         if open_.isEmpty():
-            return done
+            return done.drop("_top")

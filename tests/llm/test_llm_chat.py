@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -97,6 +98,20 @@ def test_random_threads_equal_brute_force(spark):
     assert [(c, t, up) for c, t, up, _, _ in order(spark, rows)] == brute(rows)
 
 
+def test_long_threads_take_few_rounds_and_common_lines_no_pairs(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(chat, "hold", lambda df, label="table", hold=chat.hold: held.append((label, df)) or hold(df, label))
+    rows = [(1, 0, "user", "line 0")] + [(1, k, "user", f"> line {k - 1}\nline {k}") for k in range(1, 41)]
+    rows += [(2, 3 * k, "user", "> ok\nok") for k in range(200)]
+    out = order(spark, rows)
+    assert [(t, up, d) for c, t, up, d, _ in out if c == 1] == [(k, k - 1 if k else None, k) for k in range(41)]
+    assert [(t, up, d) for c, t, up, d, _ in out if c == 2] == [(3 * k, 3 * k - 3 if k else None, k) for k in range(200)]
+    assert sum(label == "paths" for label, _ in held) <= 10
+    answers = next(df for label, df in held if label == "answers")
+    plan = answers._jdf.queryExecution().optimizedPlan().toString()
+    assert "_said" in plan and not re.search(r"_said#\d+L? < _turn", plan)
+
+
 def test_awkward_rows(spark):
     rows = [
         (None, 0, "user", "hello"), (1, None, "user", "> hello"), (1, 0, None, None), (1, 0, "user", ""), (1, 0, "user", ""),
