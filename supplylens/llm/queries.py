@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, language, licenses, lm_score, near_join, packing, piece_codec, quality_rules, suffix_dedup
+from . import (
+    chat,
+    exact_dedup,
+    language,
+    licenses,
+    lm_score,
+    near_join,
+    packing,
+    piece_codec,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+)
 from .vocabularies import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -199,3 +211,8 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(_documents(spark, folder)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@_query()
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(_documents(spark, folder))
