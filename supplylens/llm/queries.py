@@ -13,12 +13,14 @@ from . import (
     language,
     licenses,
     lm_score,
+    merkle,
     near_join,
     packing,
     piece_codec,
     quality_rules,
     simhash,
     suffix_dedup,
+    whitening,
 )
 from .vocabularies import vocabulary
 
@@ -216,3 +218,70 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @_query()
 def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, folder))
+
+
+@_query()
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    both = F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "of")
+    return found.select("vec_id", "n", F.expr("try_cast(deviation AS long)").alias("deviation"), "identity_error", both).select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        "n",
+        "deviation",
+        F.col("of.whitened").alias("whitened"),
+        F.col("of.explained").alias("explained"),
+        "identity_error",
+    )
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+_FIELDS = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_CRC32 = """list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda s: ord(s)),
+    lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"""
+
+
+@_query(
+    f"""
+    WITH RECURSIVE rows AS (SELECT doc_id, source, sha256({_FIELDS} || {_field("text")}) AS leaf,
+            CASE WHEN xor({_CRC32}, 4294967295) % 2 = 0 THEN sha256({_FIELDS} || {_field("replace(text, chr(10), '')")}) END AS other
+        FROM documents),
+    leaves AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                      count(*) OVER (PARTITION BY source) AS n FROM rows),
+    low AS (SELECT 0 AS k, source, pos, n, leaf AS node FROM leaves
+        UNION ALL SELECT k + 1, source, pos // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY pos)) FROM low
+        WHERE n > 1 GROUP BY k, source, pos // 3, n),
+    subroots AS (SELECT source, node, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+                 FROM low WHERE n = 1),
+    high AS (SELECT 100 AS k, pos, n, node FROM subroots
+        UNION ALL SELECT k + 1, pos // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY pos)) FROM high
+        WHERE n > 1 GROUP BY k, pos // 3, n),
+    steps AS (SELECT l.source, l.pos, x.k, x.pos AS place, x.node, l.pos // (3 ** x.k)::BIGINT AS own
+              FROM leaves l JOIN low x ON x.source IS NOT DISTINCT FROM l.source AND x.n > 1
+                   AND x.pos // 3 = l.pos // (3 ** (x.k + 1))::BIGINT
+        UNION ALL SELECT l.source, l.pos, x.k, x.pos, x.node, s.pos // (3 ** (x.k - 100))::BIGINT
+              FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source
+              JOIN high x ON x.n > 1 AND x.pos // 3 = s.pos // (3 ** (x.k - 99))::BIGINT),
+    sides AS (SELECT source, pos, k, coalesce(string_agg(node, '' ORDER BY place) FILTER (place < own), '') AS l,
+                     coalesce(string_agg(node, '' ORDER BY place) FILTER (place > own), '') AS r
+              FROM steps GROUP BY source, pos, k),
+    paths AS (SELECT source, pos, sha256(string_agg(l || r, '' ORDER BY k)) AS proof,
+                     list({{'l': l, 'h': '', 'r': r}} ORDER BY k) AS path FROM sides GROUP BY source, pos),
+    done AS (SELECT doc_id, leaf, s.node AS subroot, (SELECT node FROM high WHERE n = 1) AS root,
+                    coalesce(proof, sha256('')) AS proof_sha256,
+                    list_reduce([{{'l': '', 'h': coalesce(other, leaf), 'r': ''}}] || coalesce(path, []),
+                        lambda x, y: {{'l': '', 'h': sha256(y.l || x.h || y.r), 'r': ''}}).h AS folded_root
+             FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source
+             LEFT JOIN paths p ON p.source IS NOT DISTINCT FROM l.source AND p.pos = l.pos)
+    SELECT *, folded_root = root AS verified FROM done
+    """
+)
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 2 == 0
+    text = F.when(tampered, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.manifest(_documents(spark, folder), changed={"text": text})
+    proof = merkle.proof_digest(F.col("path")).alias("proof_sha256")
+    return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")

@@ -14,5 +14,5 @@ def test_query_equals_sql(spark, small, name):
 
 def test_all_operators_and_the_pipeline_are_registered():
     names = entry.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11)) + [13]
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert "pipeline" in names and set(ORACLES) <= set(entry.oracle_sql())
