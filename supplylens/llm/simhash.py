@@ -90,10 +90,13 @@ def choices(used: int, most: int, blocks: int) -> list[int]:
 
 def _listed(rows: DataFrame, masks: dict[int, list[int]]) -> DataFrame:
     """(mask, value, print) of rows (mask, print) under the masks that follow theirs."""
-    spark = rows.sparkSession
-    after = spark.createDataFrame([(_signed(m), [_signed(x) for x in to]) for m, to in masks.items()], "mask long, to array<long>")
     # a table of masks: the number of choices, which only the number of rounds and blocks sets
-    to = rows.join(F.broadcast(after), "mask").select("print", F.explode("to").alias("mask"))
+    after = {_signed(m): F.lit([_signed(x) for x in to]) for m, to in masks.items()}
+    if len(after) == 1:
+        to = rows.select("print", F.explode(next(iter(after.values()))).alias("mask"))
+    else:
+        known = F.create_map(*[x for m, to in after.items() for x in (F.lit(m), to)])
+        to = rows.select("print", F.explode(F.element_at(known, F.col("mask"))).alias("mask"))
     return to.select("mask", F.col("print").bitwiseAND(F.col("mask")).alias("value"), "print")
 
 
