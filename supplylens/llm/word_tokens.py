@@ -17,6 +17,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,19 +28,32 @@ from .text import coded, gathered, slices
 #: Fixed value: the pattern of the word-end BPE files, and what it comes to on lower-case printable ASCII.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+_LATIN_SPLIT = regex.compile(_SPLIT)
+#: Printable ASCII and the Latin letters from U+00C0 on: no white space, nothing that composes, and each
+#: lower-cased on its own, so Python's lower case and the pattern's own classes are the library's.
+_LATIN = re.compile("[!-~\u00c0-\u024f]+")
 #: Words and parts of words remembered by a process; a memory that is full is cleared.
-KEPT_WORDS, KEPT_PARTS = 200_000, 400_000
+KEPT_WORDS, KEPT_PARTS = 400_000, 400_000
 KEPT_LENGTH = 48
 
 
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte: itself if it is a visible Latin-1 one, else the next from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(visible)]
+    return {b: chr(b) for b in visible} | {b: chr(0x100 + k) for k, b in enumerate(others)}
+
+
 class WordTokens:
     """The file's normaliser, splitter and merges, called for each distinct word and part of a word.
 
-    A printable ASCII word is split here, by the file's own pattern as it reads for such text; the
+    A word of printable ASCII and Latin letters is split here, by the file's own pattern; the
     library's normaliser and splitter see the others, and its merges all of them. A word that may
     hold a special token goes through the library whole.
     """
 
+    _letters = _byte_letters()
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -69,6 +83,10 @@ class WordTokens:
             return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         if word.isascii() and word.isprintable():
             return b"".join([self._part(p) for p in _ASCII_SPLIT.findall(word.lower())])
+        if _LATIN.fullmatch(word):
+            letters = self._letters
+            parts = _LATIN_SPLIT.findall(word.lower())
+            return b"".join([self._part(p if p.isascii() else p.encode().decode("latin-1").translate(letters)) for p in parts])
         return b"".join([self._part(p) for p, _ in self._split(self._normal(word))])
 
     def look_up(self, words: list[str]) -> list[bytes]:

@@ -77,3 +77,11 @@ def test_documents(awkward, nothing):
         assert all(o == sum(n for _, n in inside[:k]) for k, (o, _) in enumerate(inside))
         assert sum(n for _, n in inside) <= 64
     assert packing.pack_documents(nothing, WORDS).count() == 0
+
+
+def test_latin_words_are_split_as_the_library_does():
+    own = word_tokens(WORDS)
+    for c in range(0xC0, 0x250):
+        for word in (chr(c), "a" + chr(c), chr(c) + "B", f"é{chr(c)}1.", f"{chr(c)}{chr(c)}'s", f"Q{chr(c)}'ll", f"x{chr(c)}́"):
+            want = np.array(own.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            assert own._word(word) == want, word
