@@ -10,9 +10,13 @@ become the root in the same way.
 2. Chunks. 3^CHUNK_LEVELS consecutive nodes are one window partition. A node of level k stands in the
    row of its first leaf, so its siblings are 3^k or 2 * 3^k rows away: one lag and one lead column for
    each offset, masked by the node's slot in its run and the run's length. First-child rows hash the
-   parent. Every level of a chunk uses the same partitioning and order: one shuffle for seven levels.
-3. The tops of the chunks are the leaves of the next, 2187 times smaller, table, until each group has one.
+   parent. Every level of a chunk uses the same partitioning and order: one shuffle for five levels.
+3. The tops of the chunks are the leaves of the next, 243 times smaller, table, until each group has one.
 4. Down again: a node's path to the top is its siblings and its parent's path, a fixed lag away.
+
+A chunk has few levels, and its siblings are written before the way down, so that a stage holds few
+windows: Spark keeps the code of about a hundred generated classes, and compiles them anew for every
+task of a stage that has more.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.workspace import hold
 
 FAN = 3
-CHUNK_LEVELS = 7  # 2187 rows to a window partition
+CHUNK_LEVELS = 5  # 243 rows to a window partition
 _NO_PATH = "cast(array() as array<struct<left: string, right: string>>)"
 
 
@@ -76,7 +80,7 @@ def _climbed(nodes: DataFrame) -> DataFrame:
     """``nodes`` (group, at, n, node, ...) with each level's siblings and nodes, in the rows of their first leaves.
 
     Columns left{k} and right{k}: the siblings of the level-k node, as text, null where the level has one
-    node only; node{k}: the node itself; chunk: the place of the chunk among the group's chunks.
+    node only; top: the chunk's top node; chunk: the place of the chunk among the group's chunks.
     """
     out = nodes.withColumn("chunk", F.expr(f"at div {FAN**CHUNK_LEVELS}")).withColumn("node0", F.col("node"))
     chunk = W.partitionBy("group", "chunk").orderBy("at")
@@ -97,14 +101,14 @@ def _climbed(nodes: DataFrame) -> DataFrame:
         right = F.when(slot == 0, F.concat(after(1), after(2))).when(slot == 1, after(1)).when(slot == 2, "")
         parent = F.when(slot == 0, digest(F.concat(here, after(1), after(2)))).when(_width(k) == 1, here)
         out = out.withColumns({f"left{k}": left, f"right{k}": right, f"node{k + 1}": parent})
-        out = out.drop(*near, "_slot", "_run")
-    return out
+        out = out.drop(*near, "_slot", "_run", f"node{k}")
+    return out.withColumnRenamed(f"node{CHUNK_LEVELS}", "top")
 
 
 def _tops(climbed: DataFrame) -> DataFrame:
     """(group, at, n, node): the chunks' top nodes, as nodes of a smaller table."""
     top = climbed.where(f"at % {FAN**CHUNK_LEVELS} = 0")
-    return top.select("group", F.col("chunk").alias("at"), _width(CHUNK_LEVELS).alias("n"), F.col(f"node{CHUNK_LEVELS}").alias("node"))
+    return top.select("group", F.col("chunk").alias("at"), _width(CHUNK_LEVELS).alias("n"), F.col("top").alias("node"))
 
 
 def _descended(climbed: DataFrame, above: DataFrame) -> DataFrame:
@@ -122,26 +126,27 @@ def _descended(climbed: DataFrame, above: DataFrame) -> DataFrame:
         own = F.array(F.struct(F.col(f"left{k}").alias("left"), F.col(f"right{k}").alias("right")))
         path = F.when(F.col(f"left{k}").isNull(), parents).otherwise(F.concat(own, parents))
         out = out.withColumns(lags).withColumn("path", F.when(F.expr(f"at % {step} = 0"), path)).drop(*lags, f"left{k}", f"right{k}")
-    return out.drop(*[f"node{k}" for k in range(CHUNK_LEVELS + 1)])
+    return out.drop("top")
 
 
-def _levels(nodes: DataFrame) -> list[DataFrame]:
-    """``nodes``, its chunks' tops, their chunks' tops and so on, until every group has one node."""
-    levels = [nodes]
+def _levels(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """``nodes`` climbed, its chunks' tops climbed and so on, until every group has one node; and these."""
+    climbed: list[DataFrame] = []
     while True:
-        widest = levels[-1].agg(F.max("n")).first()[0]
+        widest = nodes.agg(F.max("n")).first()[0]
         if widest is None or widest == 1:
-            return levels
-        levels.append(hold(_tops(_climbed(levels[-1])), "tops"))
+            return climbed, nodes
+        climbed.append(hold(_climbed(nodes), "climbed"))
+        nodes = hold(_tops(climbed[-1]), "tops")
 
 
-def _paths(levels: list[DataFrame], root: DataFrame) -> DataFrame:
+def _paths(climbed: list[DataFrame], last: DataFrame, root: DataFrame) -> DataFrame:
     """The lowest level's rows with their path; ``root`` has (group, path, ...) of the groups' last nodes."""
-    if len(levels) == 1:
-        return levels[0].join(root, "group")
-    above = levels[-1].select("group", "at").join(root, "group")
-    for k, level in reversed(list(enumerate(levels[:-1]))):
-        above = _descended(_climbed(level), above.withColumnRenamed("at", "chunk"))
+    if not climbed:
+        return last.join(root, "group")
+    above = last.select("group", "at").join(root, "group")
+    for k, level in reversed(list(enumerate(climbed))):
+        above = _descended(level, above.withColumnRenamed("at", "chunk"))
         if k:
             above = hold(above.drop("n", "node", "chunk"), "paths")
     return above
@@ -183,15 +188,15 @@ def manifest(
         F.when(differs, other).alias("other"),
     ).withColumn("key", F.struct("id", "node"))
     nodes = hold(_placed(leaves), "placed")
-    levels = _levels(nodes)
+    climbed, last = _levels(nodes)
 
-    subroots = levels[-1].select(F.lit("").alias("group"), F.col("group").alias("key"), "node")
+    subroots = last.select(F.lit("").alias("group"), F.col("group").alias("key"), "node")
     groups = hold(_placed(subroots.withColumn("name", F.col("key"))), "subroots")
-    tree = _levels(groups)
-    root = tree[-1].select("group", F.col("node").alias("root"), F.expr(_NO_PATH).alias("path"))
-    to_root = hold(_paths(tree, root).select(F.col("name").alias("group"), "root", "path"), "to-root")
-    tops = levels[-1].select("group", F.col("node").alias("subroot")).join(to_root, "group")
-    out = _paths(levels, tops)
+    tree, top = _levels(groups)
+    root = top.select("group", F.col("node").alias("root"), F.expr(_NO_PATH).alias("path"))
+    to_root = hold(_paths(tree, top, root).select(F.col("name").alias("group"), "root", "path"), "to-root")
+    tops = last.select("group", F.col("node").alias("subroot")).join(to_root, "group")
+    out = _paths(climbed, last, tops)
     changed_leaf = F.coalesce("other", "node")
     return out.select(
         F.col("id").alias(id_col),
