@@ -16,14 +16,15 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumn("_scalars", packed).selectExpr("*", *names).drop("_scalars")
 
 
-def one_row_per(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``df``, whose rows fail when they are read if a key occurs twice.
+def one_row_per(df: DataFrame, keys: Sequence[str], named: Sequence[str] | None = None) -> DataFrame:
+    """``df``, whose rows fail when they are read if a key occurs twice; ``named``: what the error shows.
 
     The check is part of the plan: it needs the rows together by key, which they are already where
     ``df`` was grouped by it or is about to be joined on it.
     """
-    label = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
-    problem = F.concat(F.lit(f"more than one row for {', '.join(keys)}: "), label)
+    shown = named or keys
+    label = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in shown])
+    problem = F.concat(F.lit(f"more than one row for {', '.join(shown)}: "), label)
     times = F.count(F.lit(1)).over(W.partitionBy(*keys))
     return df.withColumn("_times", times).where(
         F.when(F.col("_times") > 1, F.raise_error(problem).cast("boolean")).otherwise(F.lit(True))
@@ -37,24 +38,30 @@ def merge_left(
 
     ``one_to_one`` raises if a key occurs twice on either side.
     """
-    if one_to_one:
-        left, right = one_row_per(left, keys), one_row_per(right, keys)
-    return _null_safe(left, right, keys, "left")
+    return merge(left, [right], keys, "left", one_to_one)
 
 
 def merge_inner(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner join in which NULL keys meet NULL keys."""
-    return _null_safe(left, right, keys, "inner")
+    return merge(left, [right], keys, "inner")
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    taken = {k: f"_r_{k}" for k in keys}
-    renamed = right.withColumnsRenamed(taken)
-    on = None
-    for k, r in taken.items():
-        test = F.col(k).eqNullSafe(F.col(r))
-        on = test if on is None else on & test
-    return left.join(renamed, on, how).drop(*taken.values())
+def merge(
+    left: DataFrame, rights: Sequence[DataFrame], keys: Sequence[str], how: str, one_to_one: bool = False
+) -> DataFrame:
+    """``left`` joined with each of ``rights`` in turn; NULL keys meet NULL keys.
+
+    The keys are packed into one struct, which is never NULL and equal where all its parts are, so
+    every side is shuffled by it once: the check for repeated keys and all joins use that partitioning.
+    """
+    def packed(df: DataFrame) -> DataFrame:
+        df = df.withColumn("_key", F.struct(*keys))
+        return one_row_per(df, ["_key"], keys) if one_to_one else df
+
+    out = packed(left)
+    for right in rights:
+        out = out.join(packed(right).drop(*keys), "_key", how)
+    return out.drop("_key")
 
 
 def aggregate_with_labels(

@@ -1,10 +1,12 @@
 """Global order without a single-task window.
 
-A window with no partition key pulls a whole table into one task. Here the rows are
-split into value ranges first: a thin hash sample of the keys gives the cut points, the
-range number is a pure function of the key (so every evaluation and retry agrees),
-per-range totals are a table of as many rows as there are ranges, and only the order
-inside one range is left to a window. All results are exact; the sample only balances.
+A window with no partition key pulls a whole table into one task. Here the rows are dealt into
+ranges of the key by Spark's range partitioning, which takes its cut points from a bounded sample,
+and written with their range number. So there are as many ranges as shuffle partitions; per-range
+totals are a table of that many rows, and only the order inside one range is left to a window. Rows
+with equal values of one column may be dealt to several ranges if further columns tell them apart;
+where their tie matters, the ranges at whose borders it is cut are put together again by their
+totals. All results are exact; the sample only balances.
 """
 
 from __future__ import annotations
@@ -17,51 +19,13 @@ from pyspark.sql import functions as F
 
 from .workspace import hold
 
-_HASH_SPACE = 1 << 30
-_PER_RANGE = 16
-ROWS_PER_RANGE = 500_000  # what one task sorts; the number of ranges follows from the rows
 
+def with_range(df: DataFrame, order: Sequence[Column | str], label: str = "ranges") -> DataFrame:
+    """Write ``df`` in ranges of ``order`` and add ``_range``, ascending with it.
 
-def range_count(rows: int) -> int:
-    """Number of ranges for so many rows, as a power of two."""
-    ranges = 2
-    while ranges * ROWS_PER_RANGE < rows:
-        ranges *= 2
-    return ranges
-
-
-def with_range(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Add ``_key`` (the order as a struct) and ``_range``, ascending with the key.
-
-    Equal keys always share a range; the sample holds each of them once, however often it
-    occurs.
+    Rows that are equal in all of ``order`` share a range.
     """
-    rows = df.count()
-    ranges = range_count(rows)
-    keyed = df.withColumn("_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
-    keys = keyed.select("_key")
-    chance = float(_HASH_SPACE * _PER_RANGE * ranges) / max(rows, 1)
-    sample = keys.where(F.pmod(F.xxhash64("_key"), F.lit(_HASH_SPACE)) < chance).distinct()
-    cuts = (
-        sample.agg(F.array_sort(F.collect_list("_key")).alias("s"))
-        .select(
-            F.transform(
-                F.sequence(F.lit(1), F.lit(ranges - 1)),
-                lambda i: F.get(F.col("s"), (i * F.size("s") / ranges).cast("int")),
-            ).alias("cuts")
-        )
-        .scalar()
-    )
-    out = keyed.withColumn("_cuts", cuts).withColumn("_range", F.lit(0))
-    step = ranges // 2
-    while step >= 1:
-        above = F.get(F.col("_cuts"), F.col("_range") + (step - 1)) <= F.col("_key")
-        out = out.withColumn(
-            "_range",
-            F.col("_range") + F.when(F.coalesce(above, F.lit(False)), step).otherwise(0),
-        )
-        step //= 2
-    return out.drop("_cuts")
+    return hold(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), label)
 
 
 def _starts(ranged: DataFrame, within: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
@@ -83,11 +47,36 @@ def running_sum(df: DataFrame, order: Sequence[Column], addend: Column, name: st
     """Row-wise running sum over the whole frame in the given (unique) order."""
     ranged = with_range(df.withColumn("_addend", addend), order)
     starts = _starts(ranged, [], {"sum": F.sum("_addend")}).select("_range", "_before_sum")
-    w = W.partitionBy("_range").orderBy("_key").rowsBetween(W.unboundedPreceding, 0)
+    w = W.partitionBy("_range").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     return (
+        # a row for each shuffle partition
         ranged.join(F.broadcast(starts), "_range")
         .withColumn(name, F.col("_before_sum") + F.sum("_addend").over(w))
-        .drop("_range", "_key", "_addend", "_before_sum")
+        .drop("_range", "_addend", "_before_sum")
+    )
+
+
+def earlier_in_group(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], addend: Column, name: str
+) -> DataFrame:
+    """Sum of ``addend`` over the rows before each one in its group, by the (unique) order; 0 for the first.
+
+    A group may fill many ranges: what earlier ranges hold of it is carried over by a table of the groups
+    that a range begins or ends with.
+    """
+    ranged = with_range(df.withColumn("_addend", addend), [*group, *order]).withColumn("_group", F.struct(*group))
+    edges = ranged.groupBy("_range").agg(F.min("_group").alias("_lo"), F.max("_group").alias("_hi"))
+    cut = ranged.join(F.broadcast(edges), "_range").where("_group = _lo or _group = _hi")  # two groups a range
+    parts = cut.groupBy("_group", "_range").agg(F.sum("_addend").alias("_part"))
+    before = W.partitionBy("_group").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    carried = parts.select("_group", "_range", F.sum("_part").over(before).alias("_carried")).where("_carried is not null")
+    inside = W.partitionBy("_group", "_range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    zero = F.lit(0)
+    return (
+        ranged.withColumn(name, F.sum("_addend").over(inside))
+        .join(F.broadcast(carried), ["_group", "_range"], "left")
+        .withColumn(name, F.coalesce(name, zero) + F.coalesce("_carried", zero))
+        .drop("_addend", "_group", "_range", "_carried")
     )
 
 
@@ -120,7 +109,7 @@ def thirds(df: DataFrame, order: Sequence[Column], labels: Sequence[str], name:
     )
     joined = ranged.join(F.broadcast(edges), "_range")
     whole = joined.where(F.col("_lowest") == F.col("_highest")).withColumn(name, F.col("_lowest"))
-    w = W.partitionBy("_range").orderBy("_key")
+    w = W.partitionBy("_range").orderBy(*order)
     split = joined.where(F.col("_lowest") != F.col("_highest")).withColumn(
         name, label(F.col("_before_n") + F.row_number().over(w))
     )
@@ -128,6 +117,65 @@ def thirds(df: DataFrame, order: Sequence[Column], labels: Sequence[str], name:
     return whole.select(*columns).unionByName(split.select(*columns))
 
 
+def _positions(ranged: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """Rows (group, value, ..., _range) with ``below``, ``ties`` and ``total`` of their value.
+
+    The rows must have been dealt by (group, value, ...). Inside a range a window counts; a value that
+    ends one range and begins the next takes its first and last place from the ranges' totals.
+    """
+    counted = ranged.groupBy(*group, "_range", value).agg(F.count(F.lit(1)).alias("c"))
+    per_range = counted.groupBy(*group, "_range").agg(
+        F.sum("c").alias("n"), F.min(F.struct(value, "c")).alias("f"), F.max(F.struct(value, "c")).alias("l")
+    )
+    keys = [F.col(c) for c in group] or [F.lit(0)]
+    in_order = W.partitionBy(*keys).orderBy("_range")
+    before = F.coalesce(F.sum("n").over(in_order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    placed = per_range.select(
+        *group, "_range", "n", before.alias("_before"), F.sum("n").over(W.partitionBy(*keys)).alias("total"),
+        F.col(f"f.{value}").alias("_first"), F.col("f.c").alias("_n_first"),
+        F.col(f"l.{value}").alias("_last"), F.col("l.c").alias("_n_last"),
+        F.lag(f"l.{value}").over(in_order).alias("_previous"), F.lead(f"f.{value}").over(in_order).alias("_next"),
+    )
+    began = F.min(F.col("_before") + F.col("n") - F.col("_n_last")).over(W.partitionBy(*keys, "_last"))
+    ended = F.max(F.col("_before") + F.col("_n_first")).over(W.partitionBy(*keys, "_first"))
+    spans = placed.withColumns({"_began": began, "_ended": ended}).withColumns({
+        # of a value that this range continues, and of one that the next does
+        "_began_first": F.when(F.col("_previous") == F.col("_first"), F.lag("_began").over(in_order)),
+        "_ended_last": F.when(F.col("_next") == F.col("_last"), F.lead("_ended").over(in_order)),
+    })
+    borders = spans.select(*group, "_range", "total", "_before", "_first", "_last", "_began_first", "_ended_last")
+    inside = W.partitionBy(*group, "_range").orderBy(value)
+    up_to = F.count(F.lit(1)).over(inside.rangeBetween(W.unboundedPreceding, W.currentRow))
+    rows = ranged.withColumns({"_rank": F.rank().over(inside) - 1, "_up_to": up_to}).join(
+        # a row for each shuffle partition and group that it has rows of
+        F.broadcast(borders), [*group, "_range"]
+    )
+    at_first = (F.col(value) == F.col("_first")) & F.col("_began_first").isNotNull()
+    at_last = (F.col(value) == F.col("_last")) & F.col("_ended_last").isNotNull()
+    below = F.when(at_first, F.col("_began_first")).otherwise(F.col("_before") + F.col("_rank"))
+    end = F.when(at_last, F.col("_ended_last")).otherwise(F.col("_before") + F.col("_up_to"))
+    return rows.withColumns({"below": below, "_end": end}).withColumn("ties", F.col("_end") - F.col("below")).drop(
+        "_rank", "_up_to", "_end", "_before", "_first", "_last", "_began_first", "_ended_last"
+    )
+
+
+def ranked_rows(df: DataFrame, value: Column, then: Sequence[str], sums: Mapping[str, Column]) -> DataFrame:
+    """``df`` with the order of ``value``, ascending, ties by ``then``: one write for all of it.
+
+    Adds ``below`` (rows of smaller value), ``ties``, ``total``, and for each of ``sums`` the running
+    sum under its name and the sum of all rows as ``{name}_total``.
+    """
+    ranged = with_range(df.withColumn("_value", value).withColumns({f"_a_{n}": c for n, c in sums.items()}), ["_value", *then])
+    out = _positions(ranged, [], "_value")
+    starts = _starts(ranged, [], {n: F.sum(f"_a_{n}") for n in sums}).select(
+        "_range", *[f"_before_{n}" for n in sums], *[F.col(f"_all_{n}").alias(f"{n}_total") for n in sums]
+    )
+    w = W.partitionBy("_range").orderBy("_value", *then).rowsBetween(W.unboundedPreceding, 0)
+    running = {n: F.col(f"_before_{n}") + F.sum(f"_a_{n}").over(w) for n in sums}
+    done = out.join(F.broadcast(starts), "_range").withColumns(running)
+    return done.drop("_range", "_value", *[f"_a_{n}" for n in sums], *[f"_before_{n}" for n in sums])
+
+
 def long_form(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """One row per non-NULL cell: (keys, metric, value)."""
     cells = F.array(
@@ -151,11 +199,9 @@ def frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def value_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """For each distinct value of each column: rows below it, rows equal to it, all rows.
 
-    Quantiles, competition ranks and average-tie percent ranks all follow from these.
+    Quantiles and competition ranks follow from these.
     """
-    ranged = with_range(
-        hold(frequencies(df, columns), "frequencies"), [F.col("metric"), F.col("value")]
-    )
+    ranged = with_range(frequencies(df, columns), [F.col("metric"), F.col("value")])
     starts = _starts(ranged, ["metric"], {"n": F.sum("ties")})
     w = (
         W.partitionBy("metric", "_range")
@@ -171,8 +217,24 @@ def value_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def cell_ranks(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """For each non-NULL cell: (keys, metric, value) and its ``below``, ``ties`` and ``total``.
+
+    Every cell carries its own rank, so no value, however frequent, is looked up in one task.
+    """
+    cells = long_form(df, columns, keys)
+    ranged = with_range(cells, ["metric", "value", *keys], "cells")
+    return _positions(ranged, ["metric"], "value").drop("_range")
+
+
+def ranks_in(ranged: DataFrame, column: str) -> DataFrame:
+    """(metric, value, below, ties, total) of a column's non-NULL values; the rows were dealt by it first."""
+    values = ranged.select("_range", F.lit(column).alias("metric"), F.col(f"`{column}`").cast("double").alias("value"))
+    return _positions(values.where(F.col("value").isNotNull()), ["metric"], "value").drop("_range")
+
+
 def quantile(p: float, only: Column | None = None) -> Column:
-    """Aggregate over ``value_ranks`` rows: the linearly interpolated quantile."""
+    """Aggregate over ``value_ranks`` or ``cell_ranks`` rows: the linearly interpolated quantile."""
     at = F.lit(p) * (F.col("total") - 1)
     mine = F.lit(True) if only is None else only
     lower = F.max(F.when(mine & (F.col("below") <= F.floor(at)), F.col("value")))
@@ -182,29 +244,14 @@ def quantile(p: float, only: Column | None = None) -> Column:
 
 def quantiles(df: DataFrame, probes: Mapping[str, tuple[str, float]]) -> DataFrame:
     """One row of exact quantiles: {output name: (column, probability)}."""
-    ranks = value_ranks(df, sorted({c for c, _ in probes.values()}))
-    return ranks.agg(
-        *[quantile(p, F.col("metric") == c).alias(name) for name, (c, p) in probes.items()]
-    )
-
-
-HOT_SHARE = 1000
+    return quantiles_of(value_ranks(df, sorted({c for c, _ in probes.values()})), probes)
 
 
-def with_ranks(rows: DataFrame, ranks: DataFrame) -> DataFrame:
-    """Rows (metric, value, ...) with their ``value_ranks``; every row finds its value.
-
-    A value that more than one in ``HOT_SHARE`` rows of its metric has is looked up in a
-    broadcast table, of at most that many values per metric. Only the others are shuffled, so no
-    value, however frequent, lands in one task.
-    """
-    hot = ranks.where(F.col("ties") * HOT_SHARE > F.col("total"))
-    names = [c for c in ranks.columns if c not in ("metric", "value")]
-    looked = rows.join(F.broadcast(hot), ["metric", "value"], "left")
-    cold = looked.where(F.col("ties").isNull()).drop(*names).join(
-        ranks.where(F.col("ties") * HOT_SHARE <= F.col("total")), ["metric", "value"]
+def quantiles_of(ranks: DataFrame, probes: Mapping[str, tuple[str, float]]) -> DataFrame:
+    """The same from the columns' ranks."""
+    return ranks.agg(
+        *[quantile(p, F.col("metric") == c).alias(name) for name, (c, p) in probes.items()]
     )
-    return looked.where(F.col("ties").isNotNull()).unionByName(cold)
 
 
 def percent_ranks(
@@ -215,10 +262,9 @@ def percent_ranks(
     ``directions`` maps a column to True when a higher value is better; otherwise the
     rank is one minus the percentage.
     """
-    ranks = value_ranks(df, list(directions))
+    ranks = cell_ranks(df, keys, list(directions))
     share = (F.col("below") + (F.col("ties") + 1) / F.lit(2.0)) / F.col("total")
-    ranked = with_ranks(long_form(df, list(directions), keys), hold(ranks, "ranks"))
-    return ranked.groupBy(*keys).agg(
+    return ranks.groupBy(*keys).agg(
         *[
             F.max(
                 F.when(F.col("metric") == c, share if higher else F.lit(1.0) - share)

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import money, within
 from ..functions.frames import one_row_per, with_scalars
-from ..functions.workspace import hold, hold_together
+from ..functions.workspace import hold_together
 from .leadtime import DAYS, portfolio_lead_times
-from .quality import DataQualityError, duplicate_counts
+from .quality import DataQualityError, duplicate_counts, repeat_counts
 
 PURCHASE_COLUMNS = (
     "VendorNumber", "Brand", "PONumber", "PODate", "ReceivingDate", "Quantity", "Dollars",
@@ -22,24 +22,69 @@ SALES_COLUMNS = ("VendorNo", "Brand", "SalesQuantity", "SalesDollars")
 PAIR = ["Vendor", "Brand"]
 
 
-def purchase_pairs(purchases: DataFrame) -> DataFrame:
-    """Per vendor and brand; a row counts towards the cost when it has a price at all."""
+def _pair_measures() -> list[Column]:
     priced = F.col("PurchasePrice").isNotNull()
-    return purchases.groupBy(F.col("VendorNumber").alias("Vendor"), "Brand").agg(
+    return [
         F.count(F.lit(1)).alias("PurchaseRows"),
         F.sum("Quantity").alias("PurchaseQuantity"),
         F.sum(money("Dollars")).alias("PurchaseDollars"),
         F.sum(F.col("Quantity") * money("PurchasePrice")).alias("CostNumerator"),
         F.sum(F.when(priced, F.col("Quantity")).otherwise(0)).alias("CostQuantity"),
-    )
+    ]
 
 
-def sales_pairs(sales: DataFrame) -> DataFrame:
-    return sales.groupBy(F.col("VendorNo").alias("Vendor"), "Brand").agg(
+def _date_measures() -> list[Column]:
+    return [
+        F.min("PODate").alias("PODateMin"),
+        F.max("PODate").alias("PODateMax"),
+        F.min("ReceivingDate").alias("FirstReceivingDate"),
+        F.max("ReceivingDate").alias("LastReceivingDate"),
+    ]
+
+
+def purchase_pairs(purchases: DataFrame) -> DataFrame:
+    """Per vendor and brand; a row counts towards the cost when it has a price at all."""
+    return purchases.groupBy(F.col("VendorNumber").alias("Vendor"), "Brand").agg(*_pair_measures())
+
+
+def _sales_measures() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("SalesRows"),
         F.sum("SalesQuantity").alias("SalesQuantity"),
         F.sum(money("SalesDollars")).alias("SalesDollars"),
-    )
+    ]
+
+
+def sales_pairs(sales: DataFrame) -> DataFrame:
+    return sales.groupBy(F.col("VendorNo").alias("Vendor"), "Brand").agg(*_sales_measures())
+
+
+def purchase_grains(purchases: DataFrame) -> DataFrame:
+    """Totals, vendor-brand pairs and orders from one scan; ``Grain`` tells the rows apart.
+
+    A line goes into three groups at once, which are combined before anything is shuffled.
+    """
+    pair, order = ["VendorNumber", "Brand"], ["VendorNumber", "PONumber"]
+    return purchases.groupingSets([pair, order, []], "VendorNumber", "Brand", "PONumber").agg(
+        *_pair_measures(), *_date_measures(), _grain("Brand", "PONumber")
+    ).withColumnRenamed("VendorNumber", "Vendor")
+
+
+def sales_grains(sales: DataFrame) -> DataFrame:
+    """Totals and vendor-brand pairs from one scan."""
+    return sales.groupingSets([["VendorNo", "Brand"], []], "VendorNo", "Brand").agg(
+        *_sales_measures(), _grain("Brand")
+    ).withColumnRenamed("VendorNo", "Vendor")
+
+
+def _grain(pair: str, order: str | None = None) -> Column:
+    is_order = F.lit(False) if order is None else F.grouping(order) == 0
+    return F.when(F.grouping(pair) == 0, "pair").when(is_order, "order").otherwise("all").alias("Grain")
+
+
+def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of every key, NULL parts included."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
 def combined_pairs(bought: DataFrame, sold: DataFrame) -> DataFrame:
@@ -47,14 +92,7 @@ def combined_pairs(bought: DataFrame, sold: DataFrame) -> DataFrame:
     return one_row_per(bought, PAIR).join(one_row_per(sold, PAIR), PAIR, "full")
 
 
-def order_dates(purchases: DataFrame) -> DataFrame:
-    """Per vendor and PO: order dates, receipts, and the lead time where both are sound."""
-    grouped = purchases.groupBy("VendorNumber", "PONumber").agg(
-        F.min("PODate").alias("PODateMin"),
-        F.max("PODate").alias("PODateMax"),
-        F.min("ReceivingDate").alias("FirstReceivingDate"),
-        F.max("ReceivingDate").alias("LastReceivingDate"),
-    )
+def _with_days(grouped: DataFrame) -> DataFrame:
     return grouped.withColumn(
         DAYS,
         F.when(
@@ -64,6 +102,11 @@ def order_dates(purchases: DataFrame) -> DataFrame:
     )
 
 
+def order_dates(purchases: DataFrame) -> DataFrame:
+    """Per vendor and PO: order dates, receipts, and the lead time where both are sound."""
+    return _with_days(purchases.groupBy("VendorNumber", "PONumber").agg(*_date_measures()))
+
+
 def position_coverage(begin: DataFrame, end: DataFrame) -> DataFrame:
     """Distinct store-brand positions with the snapshots they occur in.
 
@@ -157,19 +200,32 @@ def audit(
     begin: DataFrame,
     end: DataFrame,
 ) -> DataFrame:
-    """Row, key, money and coverage metrics of all six tables plus five checks, as one row."""
+    """Row, key, money and coverage metrics of all six tables plus five checks, as one row.
+
+    Every table is scanned once, by the writes of its groups; all else is read from these.
+    """
     held = hold_together(
         {
-            "purchase_pairs": purchase_pairs(purchases),
-            "sales_pairs": sales_pairs(sales),
-            "order_dates": order_dates(purchases),
+            "purchase_grains": purchase_grains(purchases),
+            "sales_grains": sales_grains(sales),
+            "price_keys": key_counts(prices, ["VendorNumber", "Brand"]),
+            "invoice_keys": key_counts(invoices, ["VendorNumber", "PONumber"]),
             "positions": position_coverage(begin, end),
         }
     )
-    bought, sold = held["purchase_pairs"], held["sales_pairs"]
-    orders, positions = held["order_dates"], held["positions"]
+    bought_all, sold_all, positions = held["purchase_grains"], held["sales_grains"], held["positions"]
+    bought = bought_all.where("Grain = 'pair'").select(
+        *PAIR, "PurchaseRows", "PurchaseQuantity", "PurchaseDollars", "CostNumerator", "CostQuantity"
+    )
+    sold = sold_all.where("Grain = 'pair'").select(*PAIR, "SalesRows", "SalesQuantity", "SalesDollars")
+    orders = _with_days(
+        bought_all.where("Grain = 'order'").select(
+            F.col("Vendor").alias("VendorNumber"), "PONumber", "PODateMin", "PODateMax", "FirstReceivingDate",
+            "LastReceivingDate",
+        )
+    )
 
-    pairs = hold(combined_pairs(bought, sold), "combined_pairs")
+    pairs = combined_pairs(bought, sold)
     combined = pairs.agg(
         _dollars("PurchaseDollars").alias("_cpd"),
         F.coalesce(F.sum("PurchaseQuantity"), F.lit(0)).alias("_cpq"),
@@ -179,20 +235,19 @@ def audit(
             "sales_vendor_brand_keys_with_purchases"
         ),
     )
-    raw_bought = purchases.agg(
-        F.count(F.lit(1)).alias("purchase_rows"),
-        F.round(_dollars(money("Dollars")), 2).alias("purchase_dollars"),
-        F.coalesce(F.sum("Quantity"), F.lit(0)).alias("purchase_quantity"),
+    # one row each; of an empty table none, which the aggregate turns into its totals of nothing
+    raw_bought = bought_all.where("Grain = 'all'").agg(
+        F.coalesce(F.sum("PurchaseRows"), F.lit(0)).alias("purchase_rows"),
+        F.round(_dollars("PurchaseDollars"), 2).alias("purchase_dollars"),
+        F.coalesce(F.sum("PurchaseQuantity"), F.lit(0)).alias("purchase_quantity"),
     )
-    raw_sold = sales.agg(
-        F.count(F.lit(1)).alias("sales_rows"),
-        F.round(_dollars(money("SalesDollars")), 2).alias("sales_dollars"),
+    raw_sold = sold_all.where("Grain = 'all'").agg(
+        F.coalesce(F.sum("SalesRows"), F.lit(0)).alias("sales_rows"),
+        F.round(_dollars("SalesDollars"), 2).alias("sales_dollars"),
         F.coalesce(F.sum("SalesQuantity"), F.lit(0)).alias("sales_quantity"),
     )
-    reference = duplicate_counts(prices.select("VendorNumber", "Brand"), ["VendorNumber", "Brand"])
-    invoice = duplicate_counts(
-        invoices.select("VendorNumber", "PONumber"), ["VendorNumber", "PONumber"]
-    )
+    prices, invoices = held["price_keys"], held["invoice_keys"]
+    reference, invoice = repeat_counts(prices), repeat_counts(invoices)
     price_keys = prices.select(F.col("VendorNumber").alias("Vendor"), "Brand")
     vendors = brand_vendor_counts(bought)
     both = (F.col("BeginRows") > 0) & (F.col("EndRows") > 0)

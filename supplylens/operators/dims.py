@@ -18,15 +18,13 @@ MONTHLY_COLUMNS = (
 def dim_supplier(purchases: DataFrame) -> DataFrame:
     """Suppliers with distinct brand and order counts and their totals.
 
-    One pass reduces the lines to (vendor, brand, order, spelling); both counts start from that
-    shuffle, each by its own grouping, so nothing is expanded and no raw line is sorted.
+    Orders and brands are grouped from the lines each on their own, the brands from two columns of
+    them, so that what is shuffled are these groups and not nearly every line; nothing is expanded
+    and no raw line is sorted.
     """
-    lines = purchases.groupBy(
-        "VendorNumber", "Brand", "PONumber", trim_spaces("VendorName").alias("VendorName")
-    ).agg(F.sum("Quantity").alias("q"), F.sum(money("Dollars")).alias("d"))
     orders = (
-        lines.groupBy("VendorNumber", "PONumber", "VendorName")
-        .agg(F.sum("q").alias("q"), F.sum("d").alias("d"))
+        purchases.groupBy("VendorNumber", "PONumber", trim_spaces("VendorName").alias("VendorName"))
+        .agg(F.sum("Quantity").alias("q"), F.sum(money("Dollars")).alias("d"))
         .groupBy("VendorNumber", "PONumber")
         .agg(F.max("VendorName").alias("VendorName"), F.sum("q").alias("q"), F.sum("d").alias("d"))
         .groupBy("VendorNumber")
@@ -36,7 +34,7 @@ def dim_supplier(purchases: DataFrame) -> DataFrame:
         )
     )
     brands = (
-        lines.groupBy("VendorNumber", "Brand")
+        purchases.groupBy("VendorNumber", "Brand")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("VendorNumber")
         .agg(F.count("Brand").alias("BrandCount"))

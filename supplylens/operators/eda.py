@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -337,27 +340,58 @@ def category_counts(df: DataFrame, column: str, n: int = 10) -> DataFrame:
     )
 
 
+def _first_values(df: DataFrame, order: Sequence[str], rows: int) -> DataFrame:
+    """(column, v): of each column's values that are not empty, the first ``rows`` by (order, value).
+
+    One scan for all columns. A task keeps ``rows`` candidates of each column, whatever it reads; what
+    the tasks keep is cut down again before and after the one shuffle.
+    """
+    keys = [f"o{i}" for i in range(len(order))]
+    texts = df.select(
+        *[F.col(f"`{o}`").alias(k) for k, o in zip(keys, order, strict=True)],
+        *[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(df.columns)],
+    )
+    columns = [f"c{i}" for i in range(len(df.columns))]
+    kinds = ", ".join(f"{k} {dict(texts.dtypes)[k]}" for k in keys)
+
+    def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[str, pa.Table] = {}
+        for batch in table:
+            rows_ = pa.Table.from_batches([batch])
+            # NULL comes first
+            known = {f"{k}_known": pc.is_valid(rows_[k]) for k in keys}
+            for c in columns:
+                found = pa.table({**{k: rows_[k] for k in keys}, **known, "v": rows_[c]})
+                found = found.filter(pc.fill_null(pc.not_equal(found["v"], ""), False))
+                if c in best:
+                    found = pa.concat_tables([best[c], found])
+                if found.num_rows > rows:
+                    by = [(x, "ascending") for k in keys for x in (f"{k}_known", k)] + [("v", "ascending")]
+                    found = found.take(pc.select_k_unstable(found, rows, by))
+                best[c] = found.combine_chunks()
+        for i, c in enumerate(columns):
+            if c in best and best[c].num_rows:
+                number = pa.array([i] * best[c].num_rows, pa.int32())
+                yield from best[c].select([*keys, "v"]).add_column(0, "number", number).to_batches()
+
+    kept = texts.mapInArrow(run, f"number int, {kinds}, v string")
+    place = F.row_number().over(W.partitionBy("number").orderBy(*keys, "v"))
+    names = F.array(*[F.lit(c) for c in df.columns])
+    return kept.withColumn("place", place).where(F.col("place") <= rows).select(names[F.col("number")].alias("column"), "v")
+
+
 def type_profile(df: DataFrame, order: Sequence[str], rows: int = 30) -> DataFrame:
-    """Guess each text column's type from its first ``rows`` non-empty values.
+    """Guess each column's type from its first ``rows`` non-empty values, as text.
 
-    A column is numeric when more than four in five of them parse as a number. The first
-    rows are found per column with a top-k, never by ordering a whole table.
+    A column is numeric when more than four in five of them parse as a number. A column without any
+    value is text.
     """
-    parts = []
-    for c in df.columns:
-        first = df.select(F.col(f"`{c}`").cast("string").alias("v"), *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)])
-        first = first.where(F.col("v").isNotNull() & (F.col("v") != ""))
-        first = first.orderBy(*[f"_o{i}" for i in range(len(order))], "v").limit(rows)
-        parts.append(
-            first.agg(
-                F.lit(c).alias("ColumnName"),
-                F.count("v").alias("Sampled"),
-                F.count_if(F.trim("v").try_cast("double").isNotNull()).alias("Numeric"),
-            )
-        )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.withColumn(
-        "DataType", F.when(F.col("Numeric") > F.col("Sampled") * 0.8, "DOUBLE").otherwise("STRING")
+    found = _first_values(df, order, rows).groupBy("column").agg(
+        F.count("v").alias("Sampled"), F.count_if(F.trim("v").try_cast("double").isNotNull()).alias("Numeric")
+    )
+    every = df.sparkSession.createDataFrame([(c,) for c in df.columns], "ColumnName string")
+    sampled, numeric = (F.coalesce(c, F.lit(0)) for c in ("Sampled", "Numeric"))
+    return every.join(found, F.col("ColumnName") == F.col("column"), "left").select(
+        "ColumnName", sampled.alias("Sampled"), numeric.alias("Numeric"),
+        F.when(numeric > sampled * 0.8, "DOUBLE").otherwise("STRING").alias("DataType"),
     )

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import holds, money, sample_variance, trim_spaces
 from ..functions.frames import aggregate_with_labels, merge_inner, with_scalars
-from ..functions.workspace import hold
 
 # Columns of the lead-time fact.
 DETAIL_COLUMNS = (
@@ -91,17 +90,11 @@ def supplier_lead_times(detail: DataFrame) -> DataFrame:
     )
 
 
-def _distinct(df: DataFrame, keys: list[str], column: str, name: str) -> DataFrame:
-    """Distinct values per key, by two groupings instead of an expanded row per count."""
-    return df.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("n")).groupBy(*keys).agg(
-        F.count(column).alias(name)
-    )
-
-
 def brand_lead_times(purchases: DataFrame, orders: DataFrame) -> DataFrame:
     """Lead times per brand over its distinct vendor-PO pairs.
 
-    The orders are joined once per brand line; the order count is of distinct PO numbers.
+    The orders are joined once per brand line; the order count is of distinct PO numbers. Days, PO
+    numbers and vendors of a brand are counted by one grouping of the joined lines.
     """
     lines = aggregate_with_labels(
         purchases,
@@ -111,22 +104,20 @@ def brand_lead_times(purchases: DataFrame, orders: DataFrame) -> DataFrame:
         {"n": F.sum("n")},
     ).where("n > 0").drop("n")  # always so; the count keeps the grouping by spelling in the plan
     observed = orders.where(F.col(DAYS).isNotNull()).select("VendorNumber", "PONumber", DAYS)
-    joined = hold(
-        merge_inner(lines, observed, ["VendorNumber", "PONumber"]), "brand_orders"
-    )
+    joined = merge_inner(lines, observed, ["VendorNumber", "PONumber"])
     keys = ["Brand", "Description"]
+    counted = joined.groupingSets(
+        [[*keys, DAYS], [*keys, "PONumber"], [*keys, "VendorNumber"]], *keys, DAYS, "PONumber", "VendorNumber"
+    ).agg(F.count(F.lit(1)).alias("n"))
+    # a grouping that leaves a column out gives NULL for it, and an observed order has its days
+    per_day = counted.withColumn("n", F.when(F.col(DAYS).isNotNull(), F.col("n")))
     m = _moments()
     variance = sample_variance(m["_n"], m["_s"], m["_q"])
-    days = joined.groupBy(*keys, DAYS).agg(F.count(F.lit(1)).alias("n"))
-    stats = days.groupBy(*keys).agg(
+    return per_day.groupBy(*keys).agg(
+        F.count("PONumber").alias("ObservedLeadTimeOrderCount"),
         F.try_divide(m["_s"].cast("double"), m["_n"].cast("double")).alias("AverageLeadTimeDays"),
-        F.percentile(DAYS, 0.5, F.col("n")).alias("MedianLeadTimeDays"),
+        F.percentile(DAYS, 0.5, F.coalesce("n", F.lit(0))).alias("MedianLeadTimeDays"),
         F.sqrt(variance).alias("LeadTimeStdDevDays"),
         variance.alias("LeadTimeVarianceDays"),
-    )
-    orders_of = _distinct(joined, keys, "PONumber", "ObservedLeadTimeOrderCount")
-    vendors_of = _distinct(joined, keys, "VendorNumber", "PurchasingVendorCount")
-    return merge_inner(merge_inner(stats, orders_of, keys), vendors_of, keys).select(
-        *keys, "ObservedLeadTimeOrderCount", "AverageLeadTimeDays", "MedianLeadTimeDays",
-        "LeadTimeStdDevDays", "LeadTimeVarianceDays", "PurchasingVendorCount",
+        F.count("VendorNumber").alias("PurchasingVendorCount"),
     )

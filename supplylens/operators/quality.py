@@ -30,7 +30,11 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
 
 def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: distinct keys, keys that repeat, and rows beyond the first of their key."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return repeat_counts(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+
+
+def repeat_counts(sizes: DataFrame) -> DataFrame:
+    """The same from the rows of each key, ``n``."""
     return sizes.agg(
         F.count(F.lit(1)).alias("DistinctKeys"),
         F.count_if(F.col("n") > 1).alias("RepeatedKeys"),

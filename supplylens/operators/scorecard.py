@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import exact_mean
-from ..functions.frames import merge_left, with_scalars
-from ..functions.ranking import percent_ranks, quantiles
+from ..functions.frames import merge, merge_left, with_scalars
+from ..functions.ranking import percent_ranks, quantiles_of, ranks_in, with_range
 from ..functions.workspace import hold
 from .vendors import NAME_KEYS
 
@@ -49,9 +49,7 @@ def scorecard_base(
 
     Each join must be one to one by supplier number and name, and fails if it is not.
     """
-    frame = merge_left(performance, lead_times, NAME_KEYS, one_to_one=True)
-    frame = merge_left(frame, delivery, NAME_KEYS, one_to_one=True)
-    return merge_left(frame, price_variance(summary), NAME_KEYS, one_to_one=True)
+    return merge(performance, [lead_times, delivery, price_variance(summary)], NAME_KEYS, "left", one_to_one=True)
 
 
 def composite_scores(base: DataFrame) -> DataFrame:
@@ -71,9 +69,15 @@ def composite_scores(base: DataFrame) -> DataFrame:
 
 
 def performance_status(scored: DataFrame) -> DataFrame:
-    """Status by the portfolio's own score percentiles, which are kept as columns."""
-    cuts = quantiles(
-        scored, {name: ("SupplierPerformanceScore", p) for _, name, p in STATUS_LEVELS}
+    """Status by the portfolio's own score percentiles, which are kept as columns.
+
+    The scores are written once, in order, which gives the percentiles too.
+    """
+    columns = scored.columns
+    scored = with_range(scored, ["SupplierPerformanceScore", *NAME_KEYS], "scores")
+    cuts = quantiles_of(
+        ranks_in(scored, "SupplierPerformanceScore"),
+        {name: ("SupplierPerformanceScore", p) for _, name, p in STATUS_LEVELS},
     )
     score = F.col("SupplierPerformanceScore")
     status = F.when(score.isNull(), NO_STATUS)
@@ -83,7 +87,7 @@ def performance_status(scored: DataFrame) -> DataFrame:
         "PerformanceStatus", status.otherwise(LOWEST_STATUS)
     )
     names = [name for _, name, _ in STATUS_LEVELS]
-    return out.select(*scored.columns, "PerformanceStatus", *names)
+    return out.select(*columns, "PerformanceStatus", *names)
 
 
 def supplier_performance(
@@ -91,8 +95,7 @@ def supplier_performance(
 ) -> DataFrame:
     """The full scorecard. On-time and in-full rates stay NULL: the data cannot give them."""
     base = hold(scorecard_base(performance, lead_times, delivery, summary), "scorecard")
-    scores = hold(composite_scores(base), "scores")
-    rated = merge_left(base.drop("OTIFSupported"), performance_status(scores), NAME_KEYS)
+    rated = merge_left(base.drop("OTIFSupported"), performance_status(composite_scores(base)), NAME_KEYS)
     return rated.select(
         "*",
         F.lit(None).cast("double").alias("OTIFPct"),

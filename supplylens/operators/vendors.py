@@ -6,17 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import MONEY, money, ratio, sum_or_null, sum_or_zero
-from ..functions.frames import merge_left, with_scalars
-from ..functions.ranking import quantiles, running_sum, value_ranks, with_ranks
+from ..functions.frames import with_scalars
+from ..functions.ranking import quantiles, ranked_rows, value_ranks
 from ..functions.workspace import hold
 
 NAME_KEYS = ["VendorNumber", "VendorName"]
 OTHERS = "Others"
 
 
-def vendor_totals(summary: DataFrame) -> DataFrame:
-    """Sums and ratios per vendor name, before any comparison between vendors."""
-    grouped = summary.groupBy(*NAME_KEYS).agg(
+def _totals() -> list[Column]:
+    return [
         sum_or_zero("TotalPurchaseQuantity", MONEY).alias("TotalPurchaseQuantity"),
         sum_or_zero("CostCoveredPurchaseQuantity", MONEY).alias("CostCoveredPurchaseQuantity"),
         sum_or_zero("TotalPurchaseDollars", MONEY).alias("TotalPurchaseDollars"),
@@ -29,8 +28,11 @@ def vendor_totals(summary: DataFrame) -> DataFrame:
         ),
         sum_or_null("GrossProfit").alias("EstimatedGrossProfit"),
         sum_or_null("FreightCost").alias("AllocatedFreight"),
-    )
-    return grouped.select(
+    ]
+
+
+def _ratios(totals: DataFrame) -> DataFrame:
+    return totals.select(
         "*",
         ratio("WeightedPurchaseCost", "CostCoveredPurchaseQuantity").alias("WeightedPurchasePrice"),
         ratio("EstimatedGrossProfit", "CostCoveredSalesDollars", 100.0).alias(
@@ -41,62 +43,49 @@ def vendor_totals(summary: DataFrame) -> DataFrame:
     )
 
 
-def spend_shares(totals: DataFrame) -> DataFrame:
-    """Share of all positive spend and of all sales."""
-    spent = F.col("TotalPurchaseDollars") > 0
-    portfolio = totals.agg(
-        F.sum(F.when(spent, money("TotalPurchaseDollars"))).cast("double").alias("_spend"),
-        F.sum(money("TotalSalesDollars")).cast("double").alias("_sales"),
-    )
-    return (
-        with_scalars(totals, portfolio)
-        .withColumn(
-            "PurchaseContributionPct",
-            F.when(spent, ratio("TotalPurchaseDollars", "_spend", 100.0)),
-        )
-        .withColumn("SalesContributionPct", ratio("TotalSalesDollars", "_sales", 100.0))
-        .drop("_sales")
-    )
-
-
-def _spend_rank() -> Column:
-    return F.col("total") - F.col("below") - F.col("ties") + 1
+def vendor_totals(summary: DataFrame) -> DataFrame:
+    """Sums and ratios per vendor name, before any comparison between vendors."""
+    return _ratios(summary.groupBy(*NAME_KEYS).agg(*_totals()))
 
 
 def spend_ranks(totals: DataFrame) -> DataFrame:
     """Competition rank of every spend that occurs, the largest first."""
     return value_ranks(totals, ["TotalPurchaseDollars"]).select(
-        F.col("value").alias("TotalPurchaseDollars"), _spend_rank().alias("VendorSpendRank")
+        F.col("value").alias("TotalPurchaseDollars"),
+        (F.col("total") - F.col("below") - F.col("ties") + 1).alias("VendorSpendRank"),
     )
 
 
-def cumulative_share(shared: DataFrame) -> DataFrame:
-    """Running share of spend from the largest vendor down."""
-    spent = F.coalesce(
-        F.when(F.col("PurchaseContributionPct").isNotNull(), money("TotalPurchaseDollars")),
-        F.lit(0).cast("decimal(28,4)"),
-    )
-    order = [-F.col("TotalPurchaseDollars"), F.col("VendorNumber"), F.col("VendorName")]
-    running = running_sum(shared, order, spent, "_running")
-    return running.withColumn(
-        "CumulativePurchaseContributionPct",
-        F.coalesce(ratio("_running", "_spend", 100.0), F.lit(0.0)),
-    ).drop("_running")
+_ELIGIBLE = "StockTurnover IS NOT NULL"
+
+
+def _stock() -> list[Column]:
+    """What a vendor's eligible rows add up to; of other rows nothing counts."""
+    def only(c: str) -> Column:
+        return F.when(F.expr(_ELIGIBLE), F.col(c))
+
+    return [
+        # a vendor has each brand in one row
+        F.count(only("Brand")).alias("EligibleInventoryBrandCount"),
+        sum_or_zero(only("TotalSalesQuantity"), MONEY).alias("EligibleSalesUnits"),
+        sum_or_null(only("AverageInventoryUnits")).alias("EligibleAverageInventoryUnits"),
+        sum_or_null(only("EndingInventoryUnits")).alias("EligibleEndingInventoryUnits"),
+        sum_or_null(only("`Unsold Capital`")).alias("EstimatedEndingInventoryCost"),
+    ]
 
 
 def eligible_inventory(summary: DataFrame) -> DataFrame:
     """Inventory of brands whose stock can be attributed to one vendor."""
-    return (
-        summary.where(F.col("StockTurnover").isNotNull())
-        .groupBy(*NAME_KEYS)
-        .agg(
-            F.count_distinct("Brand").alias("EligibleInventoryBrandCount"),
-            sum_or_zero("TotalSalesQuantity", MONEY).alias("EligibleSalesUnits"),
-            sum_or_null("AverageInventoryUnits").alias("EligibleAverageInventoryUnits"),
-            sum_or_null("EndingInventoryUnits").alias("EligibleEndingInventoryUnits"),
-            sum_or_null("`Unsold Capital`").alias("EstimatedEndingInventoryCost"),
-        )
-    )
+    return summary.where(_ELIGIBLE).groupBy(*NAME_KEYS).agg(*_stock())
+
+
+def vendor_figures(summary: DataFrame) -> DataFrame:
+    """``vendor_totals`` and ``eligible_inventory`` of every vendor, by one grouping of the summary."""
+    eligible = F.count_if(F.expr(_ELIGIBLE))
+    grouped = _ratios(summary.groupBy(*NAME_KEYS).agg(*_totals(), *_stock(), eligible.alias("_rows")))
+    # a vendor without eligible rows has no figures of them, not zeros
+    names = ("EligibleInventoryBrandCount", "EligibleSalesUnits")
+    return grouped.withColumns({n: F.when(F.col("_rows") > 0, F.col(n)) for n in names}).drop("_rows")
 
 
 # Output order of the vendor performance table.
@@ -113,17 +102,25 @@ PERFORMANCE_COLUMNS = (
 
 
 def vendor_performance(summary: DataFrame) -> DataFrame:
-    """One row per vendor number and name; two spellings of a vendor are two rows."""
-    totals = hold(vendor_totals(summary), "vendor_totals")
-    shared = cumulative_share(spend_shares(totals))
-    spends = shared.withColumn("metric", F.lit("TotalPurchaseDollars")).withColumn(
-        "value", F.col("TotalPurchaseDollars")
-    )
-    ranks = hold(value_ranks(totals, ["TotalPurchaseDollars"]), "spend_ranks")
-    ranked = with_ranks(spends, ranks).withColumn("VendorSpendRank", _spend_rank())
-    stocked = merge_left(ranked, eligible_inventory(summary), NAME_KEYS, one_to_one=True)
-    return stocked.withColumn(
-        "EligibleInventoryTurnover", ratio("EligibleSalesUnits", "EligibleAverageInventoryUnits")
+    """One row per vendor number and name; two spellings of a vendor are two rows.
+
+    Rank, running share and the totals behind the shares come from one ordering of the vendors by
+    spend, the largest first. The share counts positive spend only.
+    """
+    spent = F.col("TotalPurchaseDollars") > 0
+    sums = {
+        "_spend": F.when(spent, money("TotalPurchaseDollars")).otherwise(F.lit(0).cast(MONEY)),
+        "_sales": money("TotalSalesDollars"),
+    }
+    ranked = ranked_rows(vendor_figures(summary), -F.col("TotalPurchaseDollars"), NAME_KEYS, sums)
+    return ranked.withColumns(
+        {
+            "VendorSpendRank": F.col("below") + 1,
+            "PurchaseContributionPct": F.when(spent, ratio("TotalPurchaseDollars", "_spend_total", 100.0)),
+            "SalesContributionPct": ratio("TotalSalesDollars", "_sales_total", 100.0),
+            "CumulativePurchaseContributionPct": F.coalesce(ratio("_spend", "_spend_total", 100.0), F.lit(0.0)),
+            "EligibleInventoryTurnover": ratio("EligibleSalesUnits", "EligibleAverageInventoryUnits"),
+        }
     ).select(*PERFORMANCE_COLUMNS)
 
 

@@ -7,7 +7,7 @@ the published tables feed the next step; a table asked for on its own stays lazy
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -265,8 +265,8 @@ def build(
 ) -> dict[str, int]:
     """Build, check and publish every table at once; returns the row counts.
 
-    Each staged table serves the later ones, so nothing is computed twice; tables that do
-    not wait for each other are written side by side. The grain and reconciliation checks
+    Each staged table serves the later ones, so nothing is computed twice; a table is begun as
+    soon as those it reads are there, side by side with others. The grain and reconciliation checks
     run before anything becomes visible. Intermediates are deleted at the end, and what a failed
     run has staged too; no other query of this process may be running meanwhile.
     """
@@ -286,13 +286,16 @@ def build(
             quality.assert_unique(written, GRAINS[name], name)
         model.adopt(name, written)
 
-    waiting = set(TABLES)
+    waiting, running, done = list(TABLES), {}, set()
     try:
         with ThreadPoolExecutor(threads) as pool:
-            while waiting:
-                ready = {n for n in waiting if not waiting.intersection(READS.get(n, ()))}
-                list(pool.map(make, ready))
-                waiting -= ready
+            while waiting or running:
+                for name in [n for n in waiting if done.issuperset(READS.get(n, ()))]:
+                    waiting.remove(name)
+                    running[pool.submit(make, name)] = name
+                for job in wait(running, return_when=FIRST_COMPLETED).done:
+                    done.add(running.pop(job))
+                    job.result()
 
         quality.assert_reconciles(model.summary_checks())
         assert_valid(

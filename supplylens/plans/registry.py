@@ -31,10 +31,20 @@ from ..operators import (
     vendors,
 )
 from ..sources import catalog
-from ..sources.csv_source import read_source
+from ..sources.csv_source import parsed_date, read_source
 from ..sources.readers import StarSchemaSources
 from ..sources.schemas import RAW_PURCHASES_COLUMNS, SOURCE_COLUMNS, raw_purchases
-from ..sources.store import TableStore, export_csv, ingest, planning_extract, write_csv, write_report
+from ..sources.store import (
+    METHODOLOGY_NOTES,
+    SCORECARD_COLUMNS,
+    TableStore,
+    export_csv,
+    ingest,
+    planning_extract,
+    write_csv,
+    write_extract,
+    write_report,
+)
 from .model import Model
 from .oracle import r6, statement
 
@@ -234,9 +244,7 @@ _table("LowTurnoverVendor", "turn", ("AvgStockTurnOver",), query="low_turnover_v
 _table("BrandPerformance", "brand_perf", ("AvgProfitMargin",), query="brand_performance")
 _add(
     "vendor_spend_rank",
-    lambda m: vendors.spend_ranks(
-        hold(vendors.vendor_totals(m.table("vendor_sales_summary")), "vendor_totals")
-    ),
+    lambda m: vendors.spend_ranks(vendors.vendor_totals(m.table("vendor_sales_summary"))),
     "SELECT DISTINCT TotalPurchaseDollars, VendorSpendRank FROM vend",
 )
 _add(
@@ -759,6 +767,24 @@ _add(
         f"SELECT '{t}' AS TableName, count(*) AS Rows FROM {c}" for t, c in _SOURCE_CTE.items()
     ),
 )
+
+
+def _listed(m: Model) -> DataFrame:
+    """The catalog's list of tables, each with its rows."""
+    for t in _SOURCE_CTE:
+        _t(m, t).createOrReplaceTempView(f"raw_{t}")
+    spark = _t(m, "vendor_invoice", "PONumber").sparkSession
+    names = catalog.list_tables(spark, "raw_*")
+    return catalog.row_counts((t, spark.table(t)) for t in names)
+
+
+_add(
+    "catalog_tables",
+    _listed,
+    " UNION ALL ".join(
+        f"SELECT 'raw_{t}' AS TableName, count(*) AS Rows FROM {c}" for t, c in _SOURCE_CTE.items()
+    ),
+)
 _add(
     "source_columns",
     _per_table(lambda m, t: eda.null_profile(_t(m, t))),
@@ -835,6 +861,66 @@ def _report(m: Model) -> DataFrame:
 
 _add("ingest_round_trip", lambda m: _per_table(lambda _, t, s=_ingested(m)[0]: _profile(t, s.table(t)))(m), _PROFILE_SQL)
 _add("export_round_trip", _exported, _PROFILE_SQL)
+
+
+def _with_line_breaks(m: Model) -> DataFrame:
+    """Purchases whose descriptions hold line breaks, quotes and commas, written as an extract and loaded."""
+    spark = _t(m, "vendor_invoice", "PONumber").sparkSession
+    folder = new_folder(spark, "line-breaks")
+    broken = F.concat("Description", F.lit('\n"'), "Size", F.lit('",\n\nlast'))
+    write_csv(_t(m, "purchases").withColumn("Description", broken), f"{folder}/purchases.csv")
+    found = read_source(spark, folder, "purchases", multi_line=True)
+    return found.groupBy("Brand", F.replace("Description", F.lit("\n"), F.lit("/")).alias("Description")).agg(
+        F.count(F.lit(1)).alias("Rows"), F.sum("Quantity").alias("Quantity")
+    )
+
+
+_add(
+    "multi_line_ingest",
+    _with_line_breaks,
+    """SELECT Brand, replace(Description || chr(10) || '"' || Size || '",' || chr(10) || chr(10) || 'last', chr(10), '/')
+        AS Description, count(*) AS Rows, CAST(SUM(Quantity) AS BIGINT) AS Quantity FROM buy GROUP BY ALL""",
+)
+
+
+def _snapshots(m: Model) -> DataFrame:
+    """Invoices as two snapshots have them, read after a third has been published and the first expired."""
+    invoices = _t(m, "vendor_invoice", "VendorNumber", "Quantity")
+    spark = invoices.sparkSession
+    store = TableStore(spark, new_folder(spark, "snapshots"))
+
+    def publish(least: int) -> int:
+        run = store.new_run()
+        return store.publish({"invoices": store.stage(invoices.where(F.col("Quantity") >= least), "invoices", run)[0]})
+
+    publish(0)
+    second = store.snapshot(publish(20))
+    frame = second.table("invoices")  # planned before the next is published
+    third = publish(60)
+    store.expire(keep=2)
+    both = frame.withColumn("Snapshot", F.lit("earlier")).unionByName(
+        store.table("invoices", at=third).withColumn("Snapshot", F.lit("newest"))
+    )
+    return both.groupBy("Snapshot", "VendorNumber").agg(F.count(F.lit(1)).alias("Invoices"))
+
+
+_add(
+    "snapshot_reads",
+    _snapshots,
+    """SELECT 'earlier' AS Snapshot, VendorNumber, count(*) AS Invoices FROM bill WHERE Quantity >= 20 GROUP BY 2
+    UNION ALL SELECT 'newest', VendorNumber, count(*) FROM bill WHERE Quantity >= 60 GROUP BY 2""",
+)
+_add(
+    "lenient_dates",
+    lambda m: _t(m, "purchases", "PONumber", "PODate")
+    .select(
+        "PONumber",
+        F.when(F.col("PONumber") % 7 == 0, F.concat(F.lit("about "), F.col("PODate").cast("string")))
+        .otherwise(F.date_format("PODate", "yyyy-M-d")).alias("text"),
+    )
+    .groupBy(parsed_date(F.col("text")).alias("PODate")).agg(F.count(F.lit(1)).alias("Lines")),
+    "SELECT CASE WHEN PONumber % 7 <> 0 THEN PODate END AS PODate, count(*) AS Lines FROM buy GROUP BY 1",
+)
 _add(
     "sql_query",
     lambda m: catalog.run_query(
@@ -846,14 +932,55 @@ _add(
 )
 
 
-def _extract(m: Model) -> DataFrame:
+def _extract_parts(m: Model, anchors: dict[str, object]) -> dict[str, DataFrame]:
     names = (
         "fact_supplier_performance", "procurement_planning_risk", "po_cycle_aging_summary",
         "supplier_lead_time_summary", "fact_procurement_monthly",
     )
     m.hold_shared(*names)
     tables = {t: m.read(t) for t in names}
-    parts = planning_extract(tables["fact_supplier_performance"].sparkSession, tables, {})
+    return planning_extract(tables["fact_supplier_performance"].sparkSession, tables, anchors)
+
+
+def _extract_rows(m: Model) -> DataFrame:
+    """Every row of every part, under the columns of all of them; written as CSV and read back."""
+    expected = _anchors(m, 0)
+    # What the notes call the expected figures.
+    parts = _extract_parts(m, {
+        "Validated purchase spend target": f"{expected['expected_spend']:.2f}",
+        "Validated observed lead-time orders": expected["expected_orders"],
+        "Validated median lead time days": f"{expected['expected_median']:.1f}",
+    })
+    spark = parts["Methodology Notes"].sparkSession
+    folder = new_folder(spark, "extract")
+    write_extract(parts, folder)
+    out = None
+    for name, df in parts.items():
+        text = spark.read.options(header=True, quote='"', escape='"').csv(f"{folder}/{name.replace(' ', '_')}")
+        rows = text.select(F.lit(name).alias("Part"), *[F.col(c).cast(t).alias(c) for c, t in df.dtypes])
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
+
+
+_add(
+    "planning_extract_rows",
+    _extract_rows,
+    f"""SELECT 'Supplier Scorecard' AS Part, {", ".join(SCORECARD_COLUMNS)} FROM card
+    UNION ALL BY NAME SELECT 'Procurement Planning Risk' AS Part, * FROM risk
+    UNION ALL BY NAME SELECT 'PO Cycle Aging' AS Part, * FROM aging
+    UNION ALL BY NAME SELECT 'Supplier Lead Time' AS Part, * FROM lead_sup
+    UNION ALL BY NAME SELECT 'Monthly Spend Sample' AS Part, * FROM monthly
+    UNION ALL BY NAME SELECT 'Methodology Notes' AS Part, unnest([{", ".join(f"'{n}'" for n in METHODOLOGY_NOTES)},
+        'Validated purchase spend target: ' || format('{{:.2f}}',
+            (SELECT CAST(SUM(CAST(Dollars AS DECIMAL(28,4))) AS DOUBLE) FROM buy)),
+        'Validated observed lead-time orders: ' || (SELECT Orders FROM lead_all),
+        'Validated median lead time days: ' || format('{{:.1f}}', (SELECT MedianDays FROM lead_all))]) AS Note""",
+    (*[c for c in _CARD_FIX if c in SCORECARD_COLUMNS], *[c for c in _RISK_FIX if c not in SCORECARD_COLUMNS], "AveragePurchasePrice"),
+)
+
+
+def _extract(m: Model) -> DataFrame:
+    parts = _extract_parts(m, {})
     out = None
     for name, df in parts.items():
         row = df.agg(
@@ -1102,7 +1229,7 @@ def _lines(m: Model) -> DataFrame:
     lines = eda.order_lines(
         _t(m, "purchases", "VendorNumber", "Brand", "PONumber", "Quantity", "PurchasePrice")
     )
-    return stats.order_size_classes(hold(lines, "order_lines"))
+    return stats.order_size_classes(lines)
 
 
 _add(

@@ -13,8 +13,9 @@ def run_query(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
     return spark.sql(sql, **frames) if frames else spark.sql(sql)
 
 
-def list_tables(spark: SparkSession) -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables())
+def list_tables(spark: SparkSession, pattern: str | None = None) -> list[str]:
+    """Names of all tables and views, or of those that fit a pattern such as ``stock_*``."""
+    return sorted(t.name for t in spark.catalog.listTables(pattern=pattern))
 
 
 def list_columns(df: DataFrame, table: str) -> DataFrame:

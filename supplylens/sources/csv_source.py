@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from ..functions.exprs import null_tokens_to_null
 from ..operators.quality import DataQualityError
 from .files import exists
+from .quoted_lines import quoted_records
 from .schemas import SOURCE_COLUMNS, SOURCE_TABLES
 
 DATE_PATTERN = "yyyy-M-d"
-_SURPLUS = "_more_fields_than_the_header"
+_ODD_RECORD = "_record_of_other_length"
 
 
 def csv_path(folder: str, table: str) -> str:
@@ -31,39 +32,45 @@ def require_sources(spark: SparkSession, folder: str) -> None:
         raise FileNotFoundError(f"missing required CSV files in {folder}: {missing}")
 
 
+def field_count(record: Column) -> Column:
+    """Fields of a record: the commas outside its quotes and one."""
+    outside = F.regexp_replace(record, '"[^"]*"', "")
+    return F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit(""))) + 1
+
+
 def read_text_columns(
     spark: SparkSession, folder: str, table: str, multi_line: bool = False
 ) -> DataFrame:
-    """All columns of an extract as text, under their header names, NULL tokens removed."""
+    """All columns of an extract as text, under their header names, NULL tokens removed.
+
+    ``multi_line`` allows line breaks inside quotes; the file is split all the same. A record with more
+    fields than the header, wherever the surplus ones stand, fails when the rows are read.
+    """
     options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
     path = csv_path(folder, table)
     header = spark.read.options(**options).csv(path).columns
     missing = [c for c in SOURCE_COLUMNS[table] if c not in header]
     if missing:
         raise DataQualityError(f"{path} lacks columns {missing}")
-    # one column more than the header has takes a surplus field; an empty one holds nothing to lose
-    schema = ", ".join(f"`{c}` string" for c in [*header, _SURPLUS])
-    raw = spark.read.options(**options, enforceSchema=True).schema(schema).csv(path)
-    problem = F.concat(F.lit(f"more fields than the header has in {table}.csv: "), _SURPLUS)
-    first = null_tokens_to_null(F.col(f"`{header[0]}`"))
-    checked = F.when(F.col(_SURPLUS).isNotNull(), F.raise_error(problem).cast("string")).otherwise(first)
-    rest = [null_tokens_to_null(F.col(f"`{c}`")).alias(c) for c in header[1:]]
-    return raw.select(checked.alias(header[0]), *rest)
-
-
-def require_closed_quotes(spark: SparkSession, folder: str, table: str, multi_line: bool = False) -> None:
-    """Fail if a record's quotes do not pair up, which would run two records into one.
-
-    Without ``multi_line`` every line must pair its quotes by itself.
-    """
+    # the parser gives the text of a record whose fields are not as many as the header's
+    schema = ", ".join(f"`{c}` string" for c in [*header, _ODD_RECORD])
+    lenient = {"columnNameOfCorruptRecord": _ODD_RECORD, "mode": "PERMISSIVE"}
+    if multi_line:
+        parsed = F.from_csv("record", schema, {"quote": '"', "escape": '"', **lenient})
+        raw = quoted_records(spark, path).select(parsed.alias("r")).select("r.*")
+    else:
+        raw = spark.read.options(**options, **lenient, enforceSchema=True).schema(schema).csv(path)
+    problem = F.concat(F.lit(f"more fields than the header has in {table}.csv: "), F.substring(_ODD_RECORD, 1, 200))
+    surplus = F.coalesce(field_count(F.col(_ODD_RECORD)) > len(header), F.lit(False))
+    checked = raw.where(F.when(surplus, F.raise_error(problem).cast("boolean")).otherwise(F.lit(True)))
+    return checked.select(*[null_tokens_to_null(F.col(f"`{c}`")).alias(c) for c in header])
+
+
+def require_closed_quotes(spark: SparkSession, folder: str, table: str) -> None:
+    """Fail if a line's quotes do not pair up by itself, which would run two records into one."""
     path = csv_path(folder, table)
     lines = spark.read.text(path).select("value", F.regexp_count("value", F.lit('"')).alias("n"))
-    odd = lines.where(F.col("n") % 2 == 1)
-    if multi_line:
-        if odd.count() % 2:
-            raise DataQualityError(f"{path} has a quote that is not closed")
-        return
-    found = [r[0][:200] for r in odd.limit(3).collect()]
+    found = [r[0][:200] for r in lines.where(F.col("n") % 2 == 1).limit(3).collect()]
     if found:
         raise DataQualityError(f"{path} has lines with an open quote (a line break in a field needs multi_line): {found}")
 

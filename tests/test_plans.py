@@ -7,8 +7,8 @@ import re
 import pytest
 
 from supplylens.functions import workspace
-from supplylens.functions.frames import merge_left
-from supplylens.operators import audit, stats
+from supplylens.functions.frames import merge, merge_left
+from supplylens.operators import audit, eda, stats
 from supplylens.plans.model import Model
 from supplylens.plans.registry import QUERIES
 from supplylens.sources.readers import StarSchemaSources
@@ -76,3 +76,53 @@ def test_nothing_overlaps_gives_zero(spark, small):
         model.src.table("begin_inventory", "Store", "Brand"), model.src.table("end_inventory", "Store", "Brand"),
     ).first()
     assert row.sales_revenue_on_keys_with_purchases == 0.0 and row.sales_vendor_brand_keys_with_purchases == 0
+
+
+def test_a_merge_shuffles_every_side_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        sides = [spark.range(9).selectExpr("id AS k", "CAST(NULL AS string) AS j", f"id AS x{n}") for n in range(4)]
+        merged = merge(sides[0], sides[1:], ["k", "j"], "left", one_to_one=True)
+        assert len(re.findall(r"\bExchange hashpartitioning", plan(merged))) == 4
+        assert merged.where("x3 = k and x1 = x2").count() == 9
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_few_writes_come_before_the_planning_risk(spark, small):
+    mark = workspace.written()
+    QUERIES["planning_risk"](spark, small)
+    names = [re.sub(r"-[0-9a-f]{32}$", "", p.rsplit("/", 1)[1]) for p in workspace._FOLDERS[mark:]]
+    workspace.release_since(spark, mark)
+    assert len(names) <= 10 and names.count("cells") == names.count("scores") == 1
+
+
+def test_the_audit_scans_every_table_once(spark, small, monkeypatch, tmp_path):
+    source = StarSchemaSources(spark, small)
+    columns = (
+        ("purchases", audit.PURCHASE_COLUMNS), ("sales", audit.SALES_COLUMNS), ("purchase_prices", ("VendorNumber", "Brand")),
+        ("vendor_invoice", ("VendorNumber", "PONumber")), ("begin_inventory", ("Store", "Brand")), ("end_inventory", ("Store", "Brand")),
+    )
+    tables = []
+    for name, wanted in columns:
+        source.table(name, *wanted).write.parquet(str(tmp_path / name))
+        tables.append(spark.read.parquet(str(tmp_path / name)))
+    written = {}
+    monkeypatch.setattr(audit, "hold_together", lambda frames, hold=audit.hold_together: written.update(frames) or hold(frames))
+    row = audit.audit(*tables)
+    assert str(tmp_path) not in plan(row)
+    assert sorted(len(re.findall("FileScan", plan(df))) for df in written.values()) == [1, 1, 1, 1, 2]
+
+
+def test_a_type_profile_scans_its_table_once(spark, tmp_path):
+    rows = [(k % 7 if k % 5 else None, f"t{k}" if k % 3 else "", float(k), None) for k in range(500)]
+    spark.createDataFrame(rows, "o int, t string, x double, n string").repartition(6).write.parquet(str(tmp_path / "t"))
+    profile = eda.type_profile(spark.read.parquet(str(tmp_path / "t")), ["o", "x"], 30)
+    assert len(re.findall("FileScan", plan(profile))) == 1
+    assert {tuple(r) for r in profile.collect()} == {
+        ("o", 30, 30, "DOUBLE"), ("t", 30, 0, "STRING"), ("x", 30, 30, "DOUBLE"), ("n", 0, 0, "STRING")
+    }
+    first = eda._first_values(spark.read.parquet(str(tmp_path / "t")), ["o", "x"], 4).where("column = 't'").collect()
+    want = sorted(((-1 if o is None else o, x), t) for o, t, x, _ in rows if t)[:4]
+    assert sorted(r.v for r in first) == sorted(t for _, t in want)

@@ -84,30 +84,68 @@ def test_thirds_match_quantile_cuts(spark, n):
     assert counts == expected.to_dict()
 
 
-def test_range_is_a_function_of_the_key(skewed, monkeypatch):
-    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", 300)
-    a = ranking.with_range(skewed, [F.col("v"), F.col("id")]).select("id", "_range")
-    b = ranking.with_range(skewed.repartition(5), [F.col("v"), F.col("id")]).select("id", "_range")
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-    assert a.groupBy("_range").count().count() > 4
-
-
-@pytest.mark.parametrize("rows_per_range", [10, 300])
-def test_more_ranges_change_nothing(skewed, monkeypatch, rows_per_range):
-    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", rows_per_range)
+@pytest.fixture(params=[3, 40])
+def ranges(spark, request):
+    """So many ranges, none merged with the next."""
+    conf = {"spark.sql.shuffle.partitions": str(request.param), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_ranges_ascend_and_equal_keys_share_one(skewed, ranges):
+    found = ranking.with_range(skewed.repartition(5), [F.col("v"), F.col("u")]).orderBy("v", "u", "_range").collect()
+    assert len(found) == 3000 and len({r._range for r in found}) >= min(ranges, 3)
+    assert [r._range for r in found] == sorted(r._range for r in found)
+    assert len({(r.v, r.u) for r in found}) == len({(r.v, r.u, r._range) for r in found})
+
+
+def test_more_ranges_change_nothing(skewed, ranges):
     test_running_sum_equals_plain_window(skewed)
     test_row_numbers(skewed)
     test_quantiles_match_linear_interpolation(skewed)
+    test_percent_rank_with_a_hot_value(skewed)
 
 
-def test_ranges_follow_the_rows():
-    assert ranking.range_count(0) == ranking.range_count(10) == 2
-    assert ranking.range_count(10**12) * ranking.ROWS_PER_RANGE >= 10**12
-
-
-def test_a_value_that_most_rows_share_is_looked_up(spark):
-    rows = spark.range(5000).select(F.lit("m").alias("metric"), F.when(F.col("id") % 10 != 0, 1.0).otherwise(F.col("id") + 2.0).alias("value"))
-    ranks = ranking.value_ranks(rows.withColumnRenamed("value", "m"), ["m"])
-    found = ranking.with_ranks(rows, ranks)
-    assert found.where("value = 1").agg(F.min("below"), F.max("ties"), F.count("*")).first() == (0, 4500, 4500)
-    assert found.count() == 5000 and found.where("value <> 1").agg(F.min("below")).first()[0] == 4500
+def test_a_tie_over_many_ranges_has_one_place(skewed, ranges):
+    """The value 7 fills whole ranges; every cell of it has the same rows below and ties."""
+    cells = ranking.cell_ranks(skewed, ["id"], ["v", "u"]).toPandas()
+    pdf = skewed.toPandas()
+    for column in ("v", "u"):
+        known = pdf[["id", column]].dropna()
+        got = cells[cells.metric == column].set_index("id").sort_index()
+        want = known.set_index("id")[column].sort_index()
+        assert (got.value == want).all() and (got.total == len(known)).all()
+        assert (got.below == want.rank(method="min") - 1).all()
+        assert (got.ties == want.groupby(want).transform("size")).all()
+    probes = {"a": ("v", 0.37), "b": ("v", 0.5), "c": ("u", 0.9)}
+    row = ranking.quantiles_of(ranking.cell_ranks(skewed, ["id"], ["v", "u"]), probes).first()
+    assert [row[n] for n in probes] == [pdf[c].quantile(p) for c, p in probes.values()]
+
+
+def test_ranked_rows_rank_and_add_up_at_once(skewed, ranges):
+    got = ranking.ranked_rows(skewed.where("v is not null"), -F.col("v"), ["id"], {"s": F.col("id")}).toPandas().sort_values("id")
+    pdf = skewed.where("v is not null").toPandas().sort_values(["v", "id"], ascending=[False, True])
+    pdf["s"], pdf["below"] = pdf.id.cumsum(), pdf.v.rank(method="min", ascending=False) - 1
+    pdf = pdf.sort_values("id")
+    assert got.s.tolist() == pdf.s.tolist() and got.below.tolist() == pdf.below.tolist()
+    assert set(got.s_total) == {pdf.id.sum()} and set(got.total) == {len(pdf)}
+
+
+def test_scores_in_order_give_their_own_percentiles(skewed, ranges):
+    held = ranking.with_range(skewed, ["v", "id"])
+    row = ranking.quantiles_of(ranking.ranks_in(held, "v"), {"q": ("v", 0.75)}).first()
+    assert row.q == skewed.toPandas().v.quantile(0.75)
+
+
+def test_sums_before_a_row_in_its_group(spark, ranges):
+    """One group has a third of all rows and fills whole ranges; one has a NULL key."""
+    group = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 != 1, F.col("id") % 20)
+    df = spark.range(2000).select("id", group.alias("g"), (F.col("id") % 5).alias("x"))
+    got = ranking.earlier_in_group(df, ["g"], ["id"], F.col("x"), "s")
+    plain = W.partitionBy("g").orderBy("id").rowsBetween(W.unboundedPreceding, -1)
+    want = df.withColumn("s", F.coalesce(F.sum("x").over(plain), F.lit(0)))
+    assert sorted(map(str, got.select("id", "g", "s").collect())) == sorted(map(str, want.select("id", "g", "s").collect()))

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
+import random
+import subprocess
+import sys
 from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
@@ -11,8 +15,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from supplylens.operators.quality import DataQualityError
-from supplylens.sources import catalog
+from supplylens.sources import catalog, files
 from supplylens.sources.csv_source import CsvSources, parsed_date, read_source, require_sources
+from supplylens.sources.quoted_lines import quoted_records
 from supplylens.sources.schemas import SOURCE_COLUMNS, SOURCE_TABLES
 from supplylens.sources.store import TableStore, export_csv, ingest, write_report
 
@@ -127,7 +132,7 @@ def test_whole_numbers_may_have_a_decimal_point(spark, extracts):
         ingest(spark, str(extracts), TableStore(spark, str(extracts / "store")))
 
 
-@pytest.mark.parametrize("more", [",EXTRA", ",a,b"])
+@pytest.mark.parametrize("more", [",EXTRA", ",a,b", ",,EXTRA", ',"",,"x,y"', ","])
 def test_surplus_fields_fail(spark, extracts, more):
     path = extracts / "sales.csv"
     path.write_text(path.read_text().rstrip("\n") + more + "\n")
@@ -169,15 +174,155 @@ def test_writers_of_different_tables_keep_each_other(spark, tmp_path):
     assert {n: store.table(n).count() for n in store.published()} == {f"t{k}": k + 1 for k in range(12)}
 
 
-def test_replaced_copies_are_deleted(spark, tmp_path):
+def _publish(spark, store, n: int, name: str = "t") -> int:
+    path, _ = store.stage(spark.range(n), name, store.new_run())
+    return store.publish({name: path})
+
+
+def test_frames_outlive_later_publishes(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    first = _publish(spark, store, 2)
+    frame, pinned = store.table("t"), store.snapshot()
+    _publish(spark, store, 5)
+    _publish(spark, store, 7, "other")
+    assert frame.count() == 2 and pinned.table("t").count() == 2 and store.table("t").count() == 5
+    assert store.table("t", at=first).count() == 2 and store.snapshots() == [1, 2, 3]
+    with pytest.raises(KeyError):
+        pinned.table("other")
+    with pytest.raises(KeyError):
+        store.snapshot(9)
+
+
+def test_expire_removes_what_no_kept_snapshot_names(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "store"))
-    for n in (2, 5):
-        path, _ = store.stage(spark.range(n), "t", store.new_run())
-        store.publish({"t": path})
-    assert store.table("t").count() == 5
-    assert len(list((tmp_path / "store").glob("runs/*/t"))) == 1
+    kept_by_all, _ = store.stage(spark.range(1), "same", store.new_run())
+    store.publish({"same": kept_by_all})
+    for n in (2, 5, 9):
+        _publish(spark, store, n)
+    unpublished, _ = store.stage(spark.range(3), "later", store.new_run())
+    assert store.expire(keep=1, older_than=3600) == [] and len(store.snapshots()) == 4
+    old = [store.snapshot(n).tables["t"] for n in (2, 3)]
+    assert store.expire(keep=2) == [old[0]] and store.snapshots() == [3, 4]
+    assert store.expire() == [old[1]] and store.expire() == [] and store.snapshots() == [4]
+    assert {store.table("t").count(), store.table("same").count()} == {9, 1}
+    assert sorted(str(p) for p in (tmp_path / "store").glob("runs/*/*")) == sorted(
+        [kept_by_all, store.published()["t"], unpublished]
+    )
+    assert {p.name for p in (tmp_path / "store").glob("*.json")} == {"MANIFEST-000000004.json", "CLAIM-000000004.json"}
+    with pytest.raises(ValueError, match="newest"):
+        store.expire(keep=0)
+    assert _publish(spark, store, 3) == 5
+
+
+def test_a_dead_writer_is_passed_by(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"), patience=0.3)
+    _publish(spark, store, 2)
+    assert files.claim(spark, store._path("CLAIM", 2), "dead") and not files.claim(spark, store._path("CLAIM", 2), "late")
+    (tmp_path / "store" / "MANIFEST-000000002.json").write_text('{"base": 1, "tab')  # died while writing
+    assert store.table("t").count() == 2
+    assert _publish(spark, store, 4, "other") == 3 and store.snapshots() == [1, 3]
+    assert set(store.published()) == {"t", "other"}
+
+
+def test_a_writer_that_was_passed_by_publishes_again(spark, tmp_path, monkeypatch):
+    slow, quick = (TableStore(spark, str(tmp_path / "store"), patience=0.2) for _ in range(2))
+    paths = {n: slow.stage(spark.range(1), n, slow.new_run())[0] for n in ("a", "b")}
+    write, first = files.write_text, []
+
+    def paused(spark, path, text):
+        if not first:  # the slow writer stops after its claim, longer than anyone waits
+            first.append(path)
+            assert quick.publish({"b": paths["b"]}) == 2
+        write(spark, path, text)
+
+    monkeypatch.setattr(files, "write_text", paused)
+    assert slow.publish({"a": paths["a"]}) == 3
+    assert slow.published() == paths
+
+
+_RACER = """
+import sys
+from pyspark.sql import SparkSession
+from supplylens.sources.store import TableStore
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.sql.warehouse.dir", sys.argv[1] + "/warehouse-" + sys.argv[2]).getOrCreate())
+store = TableStore(spark, sys.argv[1])
+for k in range(50):
+    store.publish({f"{sys.argv[2]}-{k}": "somewhere"})
+"""
+
+
+def test_two_processes_race_and_lose_no_table(spark, tmp_path):
+    repo = str(Path(__file__).resolve().parents[1])
+    env = os.environ | {"PYTHONPATH": f"{repo}:{os.environ.get('PYTHONPATH', '')}"}
+    root = str(tmp_path / "store")
+    racers = [
+        subprocess.Popen([sys.executable, "-c", _RACER, root, name], env=env, cwd=repo, stderr=subprocess.DEVNULL)
+        for name in ("a", "b")
+    ]
+    assert [r.wait(240) for r in racers] == [0, 0]
+    store = TableStore(spark, root)
+    assert set(store.published()) == {f"{name}-{k}" for name in ("a", "b") for k in range(50)}
+    assert store.snapshots() == list(range(1, 101))
 
 
 def test_lenient_dates(spark):
     rows = spark.createDataFrame([("2024-2-3",), ("soon",), (None,)], "d string").select(parsed_date(F.col("d"))).collect()
     assert [r[0] for r in rows] == [dt.date(2024, 2, 3), None, None]
+
+
+AWKWARD = ['plain', '"a,b"', '"two\nlines"', '"say ""so"", then\n\n,next"', '""', '" "', '"\n"', '"ends ""x"""', 'é漢', '"\n""\n"']
+
+
+def _awkward_csv(path: Path, rows: int, seed: int) -> int:
+    """A file of quoted line breaks, commas and quotes, with empty lines between records."""
+    rng = random.Random(seed)
+    lines = ['x,"y\nname",z']
+    for k in range(rows):
+        lines.append(f"{k},{rng.choice(AWKWARD)},{rng.choice(AWKWARD)}")
+        if rng.random() < 0.1:
+            lines.append("")
+    path.write_text("\n".join(lines) + rng.choice(["", "\n"]))
+    return rows
+
+
+@pytest.mark.parametrize("split", [13, 50, 1 << 20])
+def test_records_with_line_breaks_load_alike_at_any_split(spark, tmp_path, split):
+    """Borders fall into records, fields, quotes and headers; several lie inside one field."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    total = sum(_awkward_csv(folder / f"{k}.csv", 30, k) for k in range(2))
+    (folder / "empty.csv").write_text("")
+    long = '"' + "one\ntwo\n" * 40 + '"'
+    (folder / "long.csv").write_text(f"x,y,z\n1,{long},2\n3,4,5\n")
+    schema = "x string, y string, z string"
+    options = {"quote": '"', "escape": '"'}
+    whole = spark.read.options(header=True, multiLine=True, **options).schema(schema).csv(str(folder)).collect()
+    conf = {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        found = quoted_records(spark, str(folder)).select(F.from_csv("record", schema, options).alias("r")).select("r.*")
+        rows = found.collect()
+        if split < 100:
+            assert spark.read.text(str(folder)).rdd.getNumPartitions() > 20
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(rows) == total + 2
+    assert sorted(rows, key=str) == sorted(whole, key=str)
+
+
+def test_line_breaks_and_surplus_fields_together(spark, extracts):
+    path = extracts / "sales.csv"
+    path.write_text(path.read_text().rstrip("\n") + ',,"more\nthan that"\n')
+    with pytest.raises(Exception, match="more fields than the header"):
+        read_source(spark, str(extracts), "sales", multi_line=True).collect()
+
+
+def test_carriage_returns_at_record_ends_go_and_inside_quotes_stay(spark, extracts):
+    path = extracts / "vendor_invoice.csv"
+    path.write_bytes(path.read_text().replace("text", '"a\nb"').replace("\n", "\r\n").encode())
+    row = read_source(spark, str(extracts), "vendor_invoice", multi_line=True).first()
+    assert row.VendorName == "a\r\nb" and row.Approval == "a\r\nb"
