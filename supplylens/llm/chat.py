@@ -9,8 +9,9 @@ lines, the latest of these if there are several. A message that quotes another i
 
 The result is the messages in reply order without their quotes. Nothing is gathered by
 conversation: quotes meet sayings in a running maximum within ranges of (conversation, hash, turn),
-joins have one row at most on one side, and the order is a sort key, so one conversation may hold a
-third of all rows.
+and the threads are numbered by doubling: sizes of the answers' trees from the bottom, places from
+the top, each in as many rounds as the logarithm of the deepest thread, and each a join with one row
+on one side. So one conversation, thread or message answered may hold a third of all rows.
 """
 
 from __future__ import annotations
@@ -19,7 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.ranking import earlier_in_group
 from ..functions.workspace import hold
+from .skew import join_keys
 
 _QUOTED = r"^[ \t]*(>[ \t]*)+"
 _BLANK_LINE = r"\n[ \t]*\n"
@@ -41,7 +44,7 @@ def parse_quotes(messages: DataFrame, text_col: str = "text") -> DataFrame:
     A line that only announces a quote ('... wrote:') right before one is dropped with it.
     """
     lines = F.transform(
-        F.split(F.translate(F.coalesce(F.col(text_col), F.lit("")), "\x1e\x1f", ""), "\r?\n"),
+        F.split(F.coalesce(F.col(text_col), F.lit("")), "\r?\n"),
         lambda x: F.struct(
             F.length(F.regexp_replace(F.regexp_extract(x, _QUOTED, 0), "[^>]", "")).alias("level"),
             F.when(x.rlike(_QUOTED), F.regexp_replace(x, _QUOTED, "")).otherwise(x).alias("line"),
@@ -53,34 +56,30 @@ def parse_quotes(messages: DataFrame, text_col: str = "text") -> DataFrame:
         return x["line"].rlike(_SAID) & (F.coalesce(F.get("_levels", i + 1), F.lit(0)) > 0)
 
     own = F.filter("_lines", lambda x, i: (x["level"] == 0) & ~announces(x, i))
-    between = F.transform(
-        "_lines", lambda x, i: F.when(x["level"] > 0, F.lit("\x1e")).when(announces(x, i), F.lit("")).otherwise(x["line"])
+    said = F.transform(
+        "_lines", lambda x, i: F.when((x["level"] == 0) & announces(x, i), F.lit("")).otherwise(x["line"])
     )
-    # lines of a passage share a level and are joined by \n; passages are set apart by \x1e
-    marked = F.transform(
-        "_lines",
-        lambda x, i: F.when(x["level"] == 0, F.lit("")).otherwise(
-            F.concat(
-                F.when(
-                    F.coalesce(F.get("_levels", i - 1), F.lit(0)) != x["level"],
-                    F.concat(F.lit("\x1e"), x["level"].cast("string"), F.lit("\x1f")),
-                ).otherwise(F.lit("\n")),
-                x["line"],
-            )
-        ),
+    # the lines at which another level begins, and the runs from each of them to the next
+    begins = F.filter(
+        F.sequence(F.lit(0), F.size("_lines") - 1),
+        lambda i: (i == 0) | (F.get("_levels", i) != F.get("_levels", i - 1)),
     )
-    quotes = F.transform(
-        F.filter(F.split(F.array_join(marked, ""), "\x1e"), lambda q: q != ""),
-        lambda q: F.struct(
-            F.substring_index(q, "\x1f", 1).cast("int").alias("level"),
-            F.regexp_replace(q, "^[0-9]+\x1f", "").alias("passage"),
+    parsed = parsed.withColumn("_said", said).withColumn("_begins", begins)
+    runs = F.transform(
+        "_begins",
+        lambda i, k: F.struct(
+            F.get("_levels", i).alias("level"),
+            F.array_join(
+                F.slice("_said", i + 1, F.coalesce(F.get("_begins", k + 1), F.size("_lines")) - i), "\n"
+            ).alias("passage"),
         ),
     )
+    parsed = parsed.withColumn("_runs", runs)
     return (
         parsed.withColumn("own", F.trim(F.array_join(F.transform(own, lambda x: x["line"]), "\n")))
-        .withColumn("runs", F.split(F.array_join(between, "\n"), "\x1e"))
-        .withColumn("quotes", F.filter(quotes, lambda q: F.trim(q["passage"]) != ""))
-        .drop("_lines", "_levels")
+        .withColumn("runs", F.transform(F.filter("_runs", lambda r: r["level"] == 0), lambda r: r["passage"]))
+        .withColumn("quotes", F.filter("_runs", lambda r: (r["level"] > 0) & (F.trim(r["passage"]) != "")))
+        .drop("_lines", "_levels", "_said", "_begins", "_runs")
     )
 
 
@@ -99,14 +98,16 @@ def _parts(q: Column) -> Column:
 def reply_order(
     messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text"
 ) -> DataFrame:
-    """One row per input row, sorted: conv, turn, role, reply_to, depth, n_quotes, n_linked, order_key, text.
+    """One row per input row, sorted: conv, turn, role, reply_to, depth, n_quotes, n_linked, thread, place, text.
 
     reply_to is the turn of the message quoted at the lowest level that links, the latest such turn
-    if there are several; null where nothing quoted is found earlier in the conversation. order_key
-    places an answer after the message it answers and before that message's later answers and the
-    next turn. text has no quotes. Null text is empty, says nothing and quotes nothing. Null
-    conversations or turns link to nothing and sort first. Rows that repeat a turn are all kept; they
-    share their order key. Columns of other names are ignored. An empty table gives no rows.
+    if there are several; null where nothing quoted is found earlier in the conversation. thread is the
+    turn of the message that the chain of answers begins with, place the message's number in the
+    thread: after the message it answers, and before that message's later answers. Rows are in the
+    order of conv, thread and place. Turns are any longs. text has no quotes. Null text is empty, says
+    nothing and quotes nothing. Null conversations or turns link to nothing and sort first. Rows that
+    repeat a turn are all kept; they share their place. Columns of other names are ignored. An empty
+    table gives no rows.
     """
     rows = messages.select(
         F.col(conv_col).alias("_conv"), F.col(turn_col).cast("long").alias("_turn"),
@@ -121,23 +122,23 @@ def reply_order(
         .select("_conv", "_turn", "_level", "_passage", F.col("p.kind").alias("_kind"), passage_hash(F.col("p.unit")).alias("_hash")),
         "quotes",
     )
-    links = _links(parsed, quoting)
-    answers = hold(links, "answers")
-    paths = _paths(answers)
-    key = F.array_join(F.transform(F.coalesce("_path", F.array("_turn")), lambda t: F.lpad(t.cast("string"), 12, "0")), "/")
+    answers = hold(_links(parsed, quoting), "answers")
+    numbered = hold(_numbered(answers), "numbered")
     out = (
-        parsed.join(paths, ["_conv", "_turn"], "left")
+        parsed.join(answers, ["_conv", "_turn"], "left")
+        .join(numbered, ["_conv", "_turn"], "left")
         .select(
             F.col("_conv").alias(conv_col), F.col("_turn").alias(turn_col), F.col("_role").alias(role_col),
             F.col("_to").alias("reply_to"),
-            F.coalesce(F.size("_path") - 1, F.lit(0)).alias("depth"),
+            F.coalesce("_depth", F.lit(0)).alias("depth"),
             F.size("quotes").alias("n_quotes"),
             F.coalesce("_linked", F.lit(0)).cast("int").alias("n_linked"),
-            F.coalesce(key, F.lit("")).alias("order_key"),
+            F.coalesce("_thread", "_turn").alias("thread"),
+            F.coalesce("_place", F.lit(0).cast("long")).alias("place"),
             F.col("own").alias(text_col),
         )
     )
-    return out.orderBy(conv_col, "order_key")
+    return out.orderBy(conv_col, "thread", "place")
 
 
 def _links(parsed: DataFrame, quoting: DataFrame) -> DataFrame:
@@ -166,10 +167,8 @@ def _links(parsed: DataFrame, quoting: DataFrame) -> DataFrame:
         parts.groupBy("_conv", "_turn", "_level", "_passage", "_kind", "_said").agg(F.count(F.lit(1)).alias("_n"))
         .groupBy("_conv", "_turn", "_level", "_passage").agg(best["_said"].alias("_said"))
     )
-    nearest = F.min(F.struct("_level", (-F.col("_said")).alias("_minus")))
-    return found.groupBy("_conv", "_turn").agg(
-        F.count(F.lit(1)).alias("_linked"), (-nearest["_minus"]).alias("_to")
-    )
+    nearest = F.max(F.struct((-F.col("_level")).alias("_minus"), "_said"))
+    return found.groupBy("_conv", "_turn").agg(F.count(F.lit(1)).alias("_linked"), nearest["_said"].alias("_to"))
 
 
 def _latest(quoting: DataFrame, said: DataFrame) -> DataFrame:
@@ -199,20 +198,64 @@ def _latest(quoting: DataFrame, said: DataFrame) -> DataFrame:
     )
 
 
-def _paths(answers: DataFrame) -> DataFrame:
-    """Turns from the first message of a thread to each answer; a round doubles the levels a path has."""
-    open_ = answers.withColumn("_path", F.array("_to", "_turn")).withColumn("_top", F.col("_to"))
-    done = open_.where(F.lit(False))
-    while True:
-        # extend each path by that of the message it begins with, if that answers any
-        up = done.unionByName(open_).select(
-            "_conv", F.col("_turn").alias("_top"), F.col("_top").alias("_next"), F.col("_path").alias("_above")
+def _node(turn: str) -> Column:
+    return F.struct("_conv", F.col(turn).alias("_turn"))
+
+
+def _up(state: DataFrame, carry: list[str]) -> DataFrame:
+    """Each open row of ``state`` with what the row that it points to holds: ``_next`` and ``up{c}``.
+
+    Rows point by ``_up``, a turn of their conversation, and are open until that is null.
+    """
+    open_ = state.where("_up is not null").withColumn("_key", _node("_up"))
+    above = state.select(_node("_turn").alias("_key"), F.col("_up").alias("_next"), *[F.col(c).alias(f"up{c}") for c in carry])
+    return join_keys(open_, above, "_key", open_.groupBy("_key").agg(F.count(F.lit(1)).alias("n"))).drop("_key")
+
+
+def _sizes(nodes: DataFrame) -> DataFrame:
+    """(conv, turn, to, size): how many messages the tree of answers under each has, itself included.
+
+    In round k a row knows those less than 2^k levels below and points 2^k levels up; what it points to
+    takes over its count.
+    """
+    state = hold(nodes.withColumns({"_up": F.col("_to"), "_size": F.lit(1).cast("long")}), "sizes")
+    while not state.where("_up is not null").isEmpty():
+        more = state.where("_up is not null").groupBy("_conv", F.col("_up").alias("_turn")).agg(F.sum("_size").alias("_more"))
+        stepped = _up(state, []).select("_conv", "_turn", "_to", F.col("_next").alias("_up"), "_size")
+        both = stepped.unionByName(state.where("_up is null"))
+        state = hold(
+            both.join(more, ["_conv", "_turn"], "left")
+            .withColumn("_size", F.col("_size") + F.coalesce("_more", F.lit(0)))
+            .drop("_more"),
+            "sizes",
         )
-        stepped = hold(open_.join(up, ["_conv", "_top"], "left"), "paths")
-        done = done.unionByName(stepped.where("_above is null").select("_conv", "_turn", "_to", "_linked", "_path", "_top"))
-        open_ = stepped.where("_above is not null").select(
-            "_conv", "_turn", "_to", "_linked",
-            F.concat("_above", F.slice("_path", 2, F.size("_path"))).alias("_path"), F.col("_next").alias("_top"),
+    return state.drop("_up")
+
+
+def _numbered(answers: DataFrame) -> DataFrame:
+    """(conv, turn, depth, thread, place) of every message that answers or is answered.
+
+    A message's place is its parent's, plus one, plus the sizes of its earlier siblings' trees; places
+    and depths are summed along the way to the top, which doubles each round.
+    """
+    answering = answers.select("_conv", "_turn", "_to")
+    asked = answering.select("_conv", F.col("_to").alias("_turn")).distinct()
+    first = asked.join(answering, ["_conv", "_turn"], "left_anti").withColumn("_to", F.lit(None).cast("long"))
+    sized = _sizes(answering.unionByName(first))
+    placed = earlier_in_group(sized.where("_to is not null"), ["_conv", "_to"], ["_turn"], F.col("_size"), "_earlier")
+    begun = placed.select(
+        "_conv", "_turn", F.col("_to").alias("_up"), (F.col("_earlier") + 1).alias("_place"), F.lit(1).alias("_depth"),
+        F.lit(None).cast("long").alias("_thread"),
+    )
+    tops = sized.where("_to is null").select(
+        "_conv", "_turn", F.col("_to").alias("_up"), F.lit(0).cast("long").alias("_place"), F.lit(0).alias("_depth"),
+        F.col("_turn").alias("_thread"),
+    )
+    state = hold(begun.unionByName(tops), "places")
+    while not state.where("_up is not null").isEmpty():
+        stepped = _up(state, ["_place", "_depth", "_thread"]).select(
+            "_conv", "_turn", F.col("_next").alias("_up"), (F.col("_place") + F.col("up_place")).alias("_place"),
+            (F.col("_depth") + F.col("up_depth")).alias("_depth"), F.col("up_thread").alias("_thread"),
         )
-        if open_.isEmpty():
-            return done.drop("_top")
+        state = hold(stepped.unionByName(state.where("_up is null")), "places")
+    return state.drop("_up")

@@ -53,7 +53,7 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_QUOTED, _BLANKS = r"'^[ \t]*(>[ \t]*)+'", r"'[ \t\n\x0B\f\r]+'"
+_QUOTED, _BLANKS, _BETWEEN = r"'^[ \t]*(>[ \t]*)+'", r"'[ \t\n\x0B\f\r]+'", r"'\n[ \t]*\n'"
 
 
 def _normal(text: str) -> str:
@@ -64,33 +64,43 @@ def _normal(text: str) -> str:
     rf"""
     WITH RECURSIVE m AS (
         SELECT row_number() OVER () AS r, conv_id, turn, role,
-            string_split_regex(translate(coalesce(text, ''), chr(30) || chr(31), ''), '\r?\n') AS lines FROM conversations),
+            string_split_regex(coalesce(text, ''), '\r?\n') AS lines FROM conversations),
     x AS (SELECT r, conv_id, turn, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM m),
     y AS (SELECT *, length(regexp_replace(regexp_extract(line, {_QUOTED}), '[^>]', '', 'g')) AS level FROM x),
-    l AS (SELECT *, coalesce(lag(level) OVER w, 0) AS before, coalesce(lead(level) OVER w, 0) AS after
+    l AS (SELECT *, level IS DISTINCT FROM lag(level) OVER w AS begins,
+                 level = 0 AND coalesce(lead(level) OVER w, 0) > 0
+                     AND regexp_matches(line, '(?i)^[ \t]*(on\b.*\bwrote|.{{1,80}}\b(wrote|writes)):[ \t]*$') AS announces
           FROM y WINDOW w AS (PARTITION BY r ORDER BY i)),
-    own AS (SELECT r, conv_id, turn, trim(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (level = 0 AND NOT (after > 0
-                AND regexp_matches(line, '(?i)^[ \t]*(on\b.*\bwrote|.{{1,80}}\b(wrote|writes)):[ \t]*$'))), ''), ' ') AS own
-            FROM l GROUP BY ALL),
-    q AS (SELECT r, conv_id, turn, level, p FROM (
-            SELECT r, conv_id, turn, level, part, string_agg(regexp_replace(line, {_QUOTED}, ''), chr(10) ORDER BY i) AS p
-            FROM (SELECT *, sum((level <> before)::int) OVER (PARTITION BY r ORDER BY i) AS part FROM l) WHERE level > 0
-            GROUP BY ALL) WHERE trim(p, ' ') <> ''),
-    said AS (SELECT DISTINCT conv_id, turn, {_normal('u')} AS u FROM (
-            SELECT conv_id, turn, unnest([own] || string_split_regex(own, '\n[ \t]*\n') || string_split(own, chr(10))) AS u FROM own)
+    own AS (SELECT r, conv_id, turn, trim(coalesce(string_agg(line, chr(10) ORDER BY i)
+                FILTER (level = 0 AND NOT announces), ''), ' ') AS own FROM l GROUP BY ALL),
+    runs AS (SELECT r, conv_id, turn, level, string_agg(CASE WHEN level > 0 THEN regexp_replace(line, {_QUOTED}, '')
+                WHEN announces THEN '' ELSE line END, chr(10) ORDER BY i) AS p
+             FROM (SELECT *, sum(begins::int) OVER (PARTITION BY r ORDER BY i) AS part FROM l) GROUP BY r, conv_id, turn, level, part),
+    q AS (SELECT * FROM runs WHERE level > 0 AND trim(p, ' ') <> ''),
+    said AS (SELECT DISTINCT conv_id, turn, {_normal('u')} AS h FROM (
+            SELECT conv_id, turn, unnest([own] || string_split_regex(own, {_BETWEEN}) || string_split(own, chr(10))) AS u FROM own
+            UNION ALL SELECT conv_id, turn, unnest([p] || string_split_regex(p, {_BETWEEN})) FROM runs WHERE level = 0)
         WHERE trim(u, ' ') <> ''),
-    found AS (SELECT q.conv_id, q.turn, q.level, {_normal('p')} AS h, max(said.turn) AS t
-        FROM q JOIN said ON said.conv_id = q.conv_id AND said.u = {_normal('p')} AND said.turn < q.turn GROUP BY ALL),
+    units AS (SELECT conv_id, turn, level, p, 0 AS kind, [p] AS us FROM q
+        UNION ALL SELECT conv_id, turn, level, p, 1, list_filter(string_split_regex(p, {_BETWEEN}), lambda u: trim(u, ' ') <> '') FROM q
+        UNION ALL SELECT conv_id, turn, level, p, 2, list_filter(string_split(p, chr(10)), lambda u: trim(u, ' ') <> '') FROM q),
+    asked AS (SELECT DISTINCT conv_id, turn, level, {_normal('p')} AS p, kind, {_normal('u')} AS h
+              FROM (SELECT *, unnest(us) AS u FROM units WHERE kind = 0 OR len(us) > 1)),
+    hits AS (SELECT asked.*, max(said.turn) AS t
+        FROM asked JOIN said ON said.conv_id = asked.conv_id AND said.h = asked.h AND said.turn < asked.turn GROUP BY ALL),
+    found AS (SELECT conv_id, turn, level, p, arg_max(t, (-kind, n, t)) AS t FROM (
+            SELECT conv_id, turn, level, p, kind, t, count(*) AS n FROM hits GROUP BY ALL) GROUP BY conv_id, turn, level, p),
     answers AS (SELECT conv_id, turn, count(*) AS linked, arg_min(t, (level, -t)) AS up FROM found GROUP BY ALL),
     paths AS (SELECT conv_id, turn, [up, turn] AS path, up AS top FROM answers
         UNION ALL SELECT p.conv_id, p.turn, [a.up] || path, a.up FROM paths p JOIN answers a ON a.conv_id = p.conv_id AND a.turn = p.top),
-    whole AS (SELECT conv_id, turn, arg_max(path, len(path)) AS path FROM paths GROUP BY ALL)
+    whole AS (SELECT conv_id, turn, arg_max(path, len(path)) AS path FROM paths GROUP BY ALL),
+    nodes AS (SELECT * FROM whole UNION SELECT conv_id, path[1], [path[1]] FROM whole),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id, path[1] ORDER BY path) - 1 AS place FROM nodes)
     SELECT m.conv_id, m.turn, role, up AS reply_to, coalesce(len(path) - 1, 0)::INTEGER AS depth,
         (SELECT count(*) FROM q WHERE q.r = m.r)::INTEGER AS n_quotes, coalesce(linked, 0)::INTEGER AS n_linked,
-        coalesce(array_to_string(list_transform(coalesce(path, [m.turn]), lambda t: lpad(t::VARCHAR, 12, '0')), '/'), '') AS order_key,
-        own AS text
+        coalesce(path[1], m.turn) AS thread, coalesce(place, 0) AS place, own AS text
     FROM m JOIN own USING (r) LEFT JOIN answers a ON a.conv_id = m.conv_id AND a.turn = m.turn
-    LEFT JOIN whole ON whole.conv_id = m.conv_id AND whole.turn = m.turn
+    LEFT JOIN placed ON placed.conv_id = m.conv_id AND placed.turn = m.turn
     """
 )
 def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
