@@ -114,8 +114,10 @@ def reply_order(
         F.col(role_col).alias("_role"), F.col(text_col).alias("_text"),
     )
     parsed = parse_quotes(rows, "_text").drop("_text")
+    # texts without a mark at the begin of a line have no quotes; the pattern finds more begins than there are
+    marked = rows.where(F.col("_text").rlike(r"(?m)^[ \t]*>"))
     quoting = hold(
-        parsed.where(F.size("quotes") > 0)
+        parse_quotes(marked, "_text").where(F.size("quotes") > 0)
         .select("_conv", "_turn", F.explode("quotes").alias("q"))
         .select("_conv", "_turn", F.col("q.level").alias("_level"), passage_hash(F.col("q.passage")).alias("_passage"),
                 F.explode(_parts(F.col("q"))).alias("p"))

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.workspace import hold
+from .names import unused
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -95,14 +96,15 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     stays = F.col("_id").eqNullSafe(F.col("_keep"))
     gone = found.where(~stays).select("_id", "_digest")
     again = found.where(stays & (F.col("_copies") > 1)).select("_id", "_digest")
-    marked = docs.withColumn("_own_digest", sha256(normalised(F.col(text_col))))
+    [own, key, mine] = unused(docs.columns, "_own_digest", "_group_id", "_group_digest")
+    marked = docs.withColumn(own, sha256(normalised(F.col(text_col))))
+    left, again = (x.withColumnsRenamed({"_id": key, "_digest": mine}) for x in (gone.unionByName(again), again))
 
     def same(side: DataFrame) -> Column:
-        return marked[id_col].eqNullSafe(side["_id"]) & (marked["_own_digest"] == side["_digest"])
+        return marked[id_col].eqNullSafe(side[key]) & (marked[own] == side[mine])
 
-    left = gone.unionByName(again)
     rest = marked.join(left, same(left), "left_anti")
     if not again.isEmpty():  # rows that repeat both id and text
-        one = marked.join(again, same(again), "left_semi").dropDuplicates([id_col, "_own_digest"])
+        one = marked.join(again, same(again), "left_semi").dropDuplicates([id_col, own])
         rest = rest.unionByName(one)
-    return rest.drop("_own_digest")
+    return rest.drop(own)

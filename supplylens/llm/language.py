@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kept
+from .names import unused
 from .shipping import ship
 from .text import slices
 
@@ -155,10 +156,14 @@ class LanguageModel:
         """``docs`` with two more columns, the predicted label and its calibrated probability.
 
         Null text, and text without a letter, is ``und`` with score 0. Repeated rows each give a
-        row; other columns pass through, whatever their names, but must not be called as ``names``;
-        an empty table gives no rows.
+        row; other columns pass through, but those called as ``names`` are replaced; an empty table
+        gives no rows.
         """
         ship(docs.sparkSession)
+        taken = {n.lower() for n in names}
+        if text_col.lower() in taken:
+            raise ValueError(f"the new columns {names} would replace the text")
+        docs = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in taken])
         at = docs.columns.index(text_col)
         schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
 
@@ -207,21 +212,36 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
         F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.element_at(chance, F.col("lang")) * float(1 << 30)
     ).dropDuplicates(["text", "lang"])
 
+    def vectors(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (part for whole in table for part in slices(whole, "text")):
+            found = [
+                (zlib.crc32(text.encode("utf-8", errors="replace")), lang, *vector(text, idf))
+                for text, lang in zip(part.column("text").to_pylist(), part.column("lang").to_pylist(), strict=True)
+                if has_letter(text)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.string()),
+                    pa.array([x[2].astype("<i4").tobytes() for x in found], pa.binary()),
+                    pa.array([x[3].astype("<f4").tobytes() for x in found], pa.binary()),
+                ],
+                names=["place", "lang", "features", "values"],
+            )
+
     def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = []
-        for batch in table:
-            for part in slices(batch, "text"):
-                for text, lang in zip(part.column("text").to_pylist(), part.column("lang").to_pylist(), strict=True):
-                    if has_letter(text):
-                        found.append((lang, text))
-        found.sort(key=lambda x: (zlib.crc32(x[1].encode("utf-8", errors="replace")), x))
+        found = sorted(
+            row for batch in table for row in zip(*[batch.column(c).to_pylist() for c in batch.schema.names], strict=True)
+        )
         where = {lang: k for k, lang in enumerate(labels)}
-        weights, heat = _fit([(*vector(text, idf), where[lang]) for lang, text in found], len(labels))
+        rows_ = [(np.frombuffer(f, dtype="<i4"), np.frombuffer(v, dtype="<f4"), where[lang]) for _, lang, f, v in found]
+        weights, heat = _fit(rows_, len(labels))
         yield pa.RecordBatch.from_arrays(
             [pa.array([weights.astype("<f4").tobytes()], pa.binary()), pa.array([heat], pa.float64())], names=["w", "heat"]
         )
 
-    fitted = drawn.coalesce(1).mapInArrow(run, "w binary, heat double").first()
+    # vectors of at most DIM features each, not texts, come together
+    sampled = drawn.mapInArrow(vectors, "place long, lang string, features binary, values binary").repartition(1)
+    fitted = sampled.mapInArrow(run, "w binary, heat double").first()
     weights = np.frombuffer(fitted["w"], dtype="<f4").reshape(DIM + 1, len(labels))
     return LanguageModel(labels, idf, weights, fitted["heat"])
 
@@ -233,5 +253,6 @@ def keep_identified(docs: DataFrame, least: float = 0.5, text_col: str = "text")
     named and no row stays.
     """
     model = train(docs.where(id_remainder("doc_id", 4) != 2), text_col)
-    judged = model.annotate(docs, text_col, ("_predicted", "_probability"))
-    return judged.where((F.col("_predicted") != UNKNOWN) & (F.col("_probability") >= least)).select(docs.columns)
+    predicted, probability = unused(docs.columns, "_predicted", "_probability")
+    judged = model.annotate(docs, text_col, (predicted, probability))
+    return judged.where((F.col(predicted) != UNKNOWN) & (F.col(probability) >= least)).select(docs.columns)

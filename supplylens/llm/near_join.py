@@ -12,9 +12,14 @@ Two texts link if their sets of word n-grams have a Jaccard similarity of at lea
    n-grams, so it is closest to what the others have in common. All others are joined to it, under
    the length and the positional filter.
 4. Rest. With the components that these links give, only texts of different components are still
-   of interest: for each n-gram, those outside the centre's component meet the others, under the
-   same filters. A large group of near copies is thus linked through its centres, not pair by pair.
-5. Each candidate pair is verified once on whole texts, after the suffix filter.
+   of interest. The texts of an n-gram meet in blocks of about ``PER_BLOCK``, every two blocks in one
+   place, and are compared there under the same filters and by their sketches; only what passes
+   leaves the task. A large group of near copies is linked through its centres and needs none of it;
+   texts of one template that stay under the threshold are told apart here, without their texts.
+5. Each candidate pair is verified once on whole texts, after the sketch and the suffix filter.
+
+A sketch adds up the n-grams' fingerprints in ``CELLS`` bytes. Two sets that differ in d n-grams differ in
+d cells at most, so pairs with more differing cells than the threshold allows n-grams cannot link.
 
 N-grams are 64-bit fingerprints; sets are matched by a 128-bit digest. Hot n-grams are split by a
 salt that follows their counter.
@@ -27,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,12 +40,16 @@ from pyspark.sql import functions as F
 from ..functions.workspace import hold
 from . import kept
 from .components import connected_components
+from .names import unused
 from .shipping import ship
+from .skew import join_keys
 from .text import raw_texts, shingles, slices
 
 BITS = 20
 BLOCK = 4096
 SALT_ROWS = 200_000  # an n-gram with a larger counter is dealt to several tasks
+CELLS = 128
+PER_BLOCK = 256
 _KEPT_SETS = 500_000  # set digests that a task remembers to leave out its own copies
 
 
@@ -47,39 +57,45 @@ def _digest(grams: np.ndarray) -> bytes:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
 
 
+def _sketch(grams: np.ndarray) -> bytes:
+    cells = np.bincount((grams >> np.uint64(57)).astype(np.int64), weights=grams & np.uint64(255), minlength=CELLS)
+    return cells.astype(np.int64).astype(np.uint8).tobytes()
+
+
 def _measured(rows: DataFrame, size: int) -> DataFrame:
-    """(id, n, key) of every row, and the tasks' counters as (block, counts) rows."""
+    """(id, n, key, sketch) of every row, and the tasks' counters as (block, counts) rows."""
 
     def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept.only("near_join")
         total = np.zeros(1 << BITS, dtype=np.int64)
         for batch in (part for whole in table for part in slices(whole, "text")):
-            n, keys = [], []
+            n, keys, sketches = [], [], []
             for raw in raw_texts(batch.column("text")):
                 grams = shingles(raw, size)
                 np.add.at(total, (grams >> np.uint64(64 - BITS)).astype(np.int64), 1)
                 n.append(len(grams))
                 keys.append(_digest(grams) if len(grams) else None)
+                sketches.append(_sketch(grams))
             nothing = pa.nulls(batch.num_rows)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
+                    batch.column("id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary()),
                     nothing.cast(pa.int32()), nothing.cast(pa.binary()),
                 ],
-                names=["id", "n", "key", "block", "counts"],
+                names=["id", "n", "key", "sketch", "block", "counts"],
             )
         blocks = [k for k in range(0, 1 << BITS, BLOCK) if total[k : k + BLOCK].any()]
         empty = pa.nulls(len(blocks))
         yield pa.RecordBatch.from_arrays(
             [
-                empty.cast(pa.int64()), empty.cast(pa.int64()), empty.cast(pa.binary()),
+                empty.cast(pa.int64()), empty.cast(pa.int64()), empty.cast(pa.binary()), empty.cast(pa.binary()),
                 pa.array([k // BLOCK for k in blocks], pa.int32()),
                 pa.array([total[k : k + BLOCK].astype("<i8").tobytes() for k in blocks], pa.binary()),
             ],
-            names=["id", "n", "key", "block", "counts"],
+            names=["id", "n", "key", "sketch", "block", "counts"],
         )
 
-    return rows.mapInArrow(run, "id long, n long, key binary, block int, counts binary")
+    return rows.mapInArrow(run, "id long, n long, key binary, sketch binary, block int, counts binary")
 
 
 def _counters(blocks: DataFrame) -> np.ndarray:
@@ -219,6 +235,79 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, num: int, den: int)
     return joined.mapInArrow(run, "x long, y long").distinct()
 
 
+def _cells(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The sketches as rows of ``CELLS`` bytes, and which rows have one."""
+    known = pc.is_valid(column).to_numpy(zero_copy_only=False)
+    raw = b"".join(x if x is not None else bytes(CELLS) for x in column.to_pylist())
+    return np.frombuffer(raw, dtype=np.uint8).reshape(-1, CELLS), known
+
+
+def _most_apart(xn: np.ndarray, yn: np.ndarray, num: int, den: int) -> np.ndarray:
+    """N-grams that linked sets of these sizes can differ in."""
+    return xn + yn - 2 * -(-num * (xn + yn) // (num + den))
+
+
+def _alike(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (x, y) whose sketches do not rule a link out."""
+    x = sketches.select(F.col("id").alias("x"), F.col("n").alias("xn"), F.col("sketch").alias("xs"))
+    y = sketches.select(F.col("id").alias("y"), F.col("n").alias("yn"), F.col("sketch").alias("ys"))
+
+    def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in table:
+            (a, a_known), (b, b_known) = _cells(batch.column("xs")), _cells(batch.column("ys"))
+            xn, yn = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("xn", "yn"))
+            keep = ((a != b).sum(axis=1) <= _most_apart(xn, yn, num, den)) | ~(a_known & b_known)
+            yield batch.select(["x", "y"]).filter(pa.array(keep))
+
+    return pairs.join(x, "x").join(y, "y").select("x", "y", "xn", "yn", "xs", "ys").mapInArrow(run, "x long, y long")
+
+
+def _between(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """(x, y): pairs of different groups that share an n-gram and pass the filters.
+
+    ``rows``: (gram, id, n, at, group, sketch, blocks). Every two blocks of an n-gram are one bounded list;
+    a row is in as many lists as its n-gram has blocks.
+    """
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
+    lists = dealt.groupBy("gram", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")).agg(
+        F.collect_list(F.struct("id", "n", "at", "group", "own", "sketch")).alias("members")
+    ).where(F.size("members") > 1)
+
+    def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in table:
+            lists = batch.column("members")
+            sizes = lists.value_lengths().to_numpy()
+            flat = lists.flatten()
+            ids, n, at, group, own = (
+                flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("id", "n", "at", "group", "own")
+            )
+            cells, known = _cells(flat.field("sketch"))
+            ends = np.repeat(np.cumsum(sizes), sizes)
+            crossing = np.repeat(batch.column("lo").to_numpy() != batch.column("hi").to_numpy(), sizes)
+            i, step, found = np.arange(len(ids)), 0, []
+            while True:
+                step += 1
+                i = i[i + step < ends[i]]
+                if not len(i):
+                    break
+                j = i + step
+                most = np.minimum(n[i] - at[i], n[j] - at[j])
+                may = (group[i] != group[j]) & (~crossing[i] | (own[i] != own[j])) & (ids[i] != ids[j])
+                may &= (den * np.minimum(n[i], n[j]) >= num * np.maximum(n[i], n[j])) & ((num + den) * most >= num * (n[i] + n[j]))
+                a = i[may]
+                b = a + step
+                apart = (cells[a] != cells[b]).sum(axis=1)
+                near = (apart <= _most_apart(n[a], n[b], num, den)) | ~(known[a] & known[b])
+                if near.any():
+                    found.append((ids[a[near]], ids[b[near]]))
+            if found:
+                x, y = (np.concatenate(part) for part in zip(*found, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["x", "y"])
+
+    return lists.select("lo", "hi", "members").mapInArrow(run, "x long, y long").distinct()
+
+
 def _pairs(candidates: DataFrame) -> DataFrame:
     return candidates.select(F.least("xid", "yid").alias("x"), F.greatest("xid", "yid").alias("y")).where("x < y").distinct()
 
@@ -237,11 +326,19 @@ def near_components(
     ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     measured = hold(_measured(texts, size), "measured")
-    sets = measured.where("block is null").select("id", "n", "key")
+    sets = measured.where("block is null").select("id", "n", "key", "sketch")
     counters = _counters(measured.where("block is not null").select("block", "counts"))
 
-    named = sets.where("id is not null and key is not null")
-    members = hold(named.join(named.groupBy("key").agg(F.min("id").alias("rep")), "key").select("id", "rep").distinct(), "members")
+    named = sets.where("id is not null and key is not null").select("id", "key")
+    reps = hold(named.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")), "representatives")
+    members = hold(join_keys(named, reps.select("key", "rep"), "key", reps).select("id", "rep").distinct(), "members")
+    # an id with several texts has no sketch
+    one = F.min("key") == F.max("key")
+    sketches = hold(
+        sets.where("id is not null and key is not null").groupBy("id")
+        .agg(F.max("n").alias("n"), F.when(one, F.max("sketch")).alias("sketch")),
+        "sketches",
+    )
     prefixes = _prefixes(texts.where("id is not null"), size, num, den, counters)
     # copies of a set in different tasks become one representative here
     shared = hold(
@@ -252,7 +349,8 @@ def near_components(
     near = _as(shared, "x", "id", "n", "at").join(centres, "gram").where(_may_link(num, den))
     first = hold(_pairs(near), "centre-pairs")
     known = texts.where("id is not null")
-    links = hold(_verified(first, known, size, num, den), "centre-links")
+    alike = hold(_alike(first, sketches, num, den), "alike-centre-pairs")
+    links = hold(_verified(alike, known, size, num, den), "centre-links")
 
     same = members.where("id <> rep").select(F.col("id").alias("x"), F.col("rep").alias("y"))
     groups = hold(connected_components(links.union(same), "x", "y"), "groups")
@@ -260,18 +358,12 @@ def near_components(
         "gram", "id", "n", "at", F.coalesce("component", "id").alias("group")
     )
     placed = hold(placed, "placed")
-    middle = placed.groupBy("gram").agg(
-        F.min(F.struct("at", "id", "group")).alias("c"), F.min("group").alias("_lo"), F.max("group").alias("_hi")
-    ).where("_lo < _hi").select("gram", F.col("c.group").alias("middle"))
-    mixed = placed.join(middle, "gram")
-    outside = _as(mixed.where("group <> middle"), "x", "id", "n", "at", "group")
-    others = _as(mixed, "y", "id", "n", "at", "group", "middle")
-    rest = outside.join(others, "gram").where(
-        (F.col("xgroup") != F.col("ygroup"))
-        & ((F.col("ygroup") == F.col("ymiddle")) | (F.col("xid") < F.col("yid")))
-        & _may_link(num, den)
-    )
-    more = hold(_pairs(rest).join(first, ["x", "y"], "left_anti"), "other-pairs")
+    mixed = placed.groupBy("gram").agg(
+        F.min("group").alias("_lo"), F.max("group").alias("_hi"), F.ceil(F.count(F.lit(1)) / PER_BLOCK).alias("blocks")
+    ).where("_lo < _hi").select("gram", "blocks")
+    apart = placed.join(mixed, "gram").join(sketches.select("id", "sketch"), "id")
+    rest = _between(apart, num, den)
+    more = hold(rest.join(first, ["x", "y"], "left_anti"), "other-pairs")
     late = hold(_verified(more, known, size, num, den), "other-links")
     final = connected_components(groups.select(F.col("node").alias("x"), F.col("component").alias("y")).union(late), "x", "y")
 
@@ -290,5 +382,6 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The row with the smallest id of each component, all columns; a null id links nothing and stays."""
     found = near_components(docs, size, num, den, id_col, text_col)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    [key] = unused(docs.columns, "_gone")
+    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(key)).distinct()
+    return docs.join(gone, docs[id_col] == gone[key], "left_anti")

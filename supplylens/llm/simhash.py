@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.workspace import hold
 from .components import connected_components
+from .names import unused
 from .shipping import ship
 from .skew import join_keys
 from .text import LOWER, raw_texts, slices
@@ -198,5 +199,6 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The rows with the smallest id of each component, all columns; rows with a null id stay."""
     found = near_duplicates(docs, size, most, id_col, text_col)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    [key] = unused(docs.columns, "_gone")
+    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(key)).distinct()
+    return docs.join(gone, docs[id_col] == gone[key], "left_anti")

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ..functions.workspace import hold
 from . import kept
+from .names import unused
 from .shipping import ship
 from .text import LOWER, raw_texts, slices, span_hashes, window_hashes, word_bounds, word_hashes
 
@@ -262,7 +263,7 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id
     passages: word ranges (start, end exclusive) that stand in another document too, and the smallest
     id that any part of them stands in. cuts: the part of them that stands in a document of smaller
     id, so that taking out all cuts leaves every passage in one place. Repeats inside one document
-    alone are none. Null ids take no part; null, empty and shorter texts have no passages. Rows that
+    alone are none. Ids must be whole numbers. Null ids take no part; null, empty and shorter texts have no passages. Rows that
     repeat an id with the same text count as one document. Columns of other names are ignored; an
     empty table gives no rows.
     """
@@ -317,13 +318,14 @@ def cut_repeats(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id", tex
     Texts without cuts stay as they are; a document with no word left goes.
     """
     cuts = repeated_passages(docs, least, id_col, text_col).where(F.size("cuts") > 0)
-    cuts = hold(cuts.select(F.col(id_col).alias("_doc"), F.col("cuts").alias("_cuts")), "cuts")
+    [doc, own] = unused(docs.columns, "_doc", "_cuts")
+    cuts = hold(cuts.select(F.col(id_col).alias(doc), F.col("cuts").alias(own)), "cuts")
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, ranges: pd.Series) -> pd.Series:
         return pd.Series([t if r is None else without(t, list(r)) for t, r in zip(texts, ranges, strict=True)])
 
-    touched = docs.join(cuts, docs[id_col] == cuts["_doc"]).withColumn(text_col, cut(F.col(text_col), F.col("_cuts")))
+    touched = docs.join(cuts, docs[id_col] == cuts[doc]).withColumn(text_col, cut(F.col(text_col), F.col(own)))
     touched = touched.where(F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(docs.columns)
-    untouched = docs.join(cuts, docs[id_col] == cuts["_doc"], "left_anti")
+    untouched = docs.join(cuts, docs[id_col] == cuts[doc], "left_anti")
     return untouched.unionByName(touched)

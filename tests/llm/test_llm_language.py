@@ -1,12 +1,13 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
 import numpy as np
 from awkward import SCHEMA, frame
 
-from supplylens.llm import language
+from supplylens.llm import exact_dedup, language, near_join, simhash, suffix_dedup
 from supplylens.llm.queries import QUERIES
 
 
@@ -22,8 +23,9 @@ def test_held_out_accuracy_and_calibration(spark, small):
 
 def test_every_row_is_answered(spark, awkward, rows):
     model = language.train(awkward)
-    found = model.annotate(awkward)
-    assert found.columns == [*awkward.columns, "lang_pred", "score"] if "score" not in awkward.columns else True
+    found = model.annotate(awkward)  # has a column called score, which is replaced
+    assert found.columns == [*[c for c in awkward.columns if c != "score"], "lang_pred", "score"]
+    assert found.schema["score"].dataType.simpleString() == "double" and found.count() == len(rows)
     judged = model.annotate(awkward, names=("guess", "sure")).collect()
     assert len(judged) == len(rows)
     for r in judged:
@@ -48,6 +50,58 @@ def test_counts_against_a_loop():
     assert [x.tolist() for x in language.counts("")] == [[], []]
 
 
+def test_predictions_equal_brute_force(spark, small):
+    """Every n-gram in a loop, every weight by itself, from the fitted model's numbers."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    model = language.train(docs.where(language.id_remainder("doc_id", 4) != 2))
+    factors = [int(x) for x in language._FACTORS]
+
+    def slot(points):
+        h = len(points) * 0x27D4EB2F % 2**32
+        for p, factor in zip(points, factors, strict=False):
+            h = (h ^ p * factor % 2**32) * 0x2C1B3C6D % 2**32
+            h ^= h >> 15
+        return h >> 17
+
+    def predict(text):
+        if text is None or not any(c.isalpha() for c in text):
+            return "und", 0.0
+        points, tf = [ord(c) for c in text.lower()], {}
+        for n in (1, 2, 3):
+            for k in range(len(points) - n + 1):
+                f = slot(points[k : k + n])
+                tf[f] = tf.get(f, 0) + 1
+        values = {f: (1 + math.log(n)) * model.idf[f] for f, n in tf.items()}
+        norm = math.sqrt(sum(v * v for v in values.values()))
+        logits = [
+            (float(model.weights[language.DIM][c]) + sum(v / norm * float(model.weights[f][c]) for f, v in values.items())) / model.heat
+            for c in range(len(model.labels))
+        ]
+        p = [math.exp(x - max(logits)) for x in logits]
+        best = max(range(len(p)), key=lambda c: p[c])
+        return model.labels[best], p[best] / sum(p)
+
+    texts = [r.text for r in docs.limit(60).collect()] + [None, "", "1 2", "İstanbul ǅ é", "a"]
+    for text in texts:
+        text = text and text[:3000]
+        label, sure = predict(text)
+        got = model.predict(text)
+        assert got[0] == label and abs(got[1] - sure) < 1e-4
+
+
+def test_a_clash_of_every_private_name(spark):
+    """Columns called as the operators' own, in any case, pass through the stages unchanged."""
+    names = ["_predicted", "_Probability", "_own_digest", "_group_id", "_gone", "_doc", "_cuts", "_key", "group"]
+    rows = [(k, f"some words of text number {k} and more of them here", "en", "s", 9, *["x"] * len(names)) for k in range(12)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame([*rows, (99, *rows[3][1:])], schema)
+    for stage in (lambda d: language.keep_identified(d, 0.0), exact_dedup.drop_exact_duplicates, near_join.drop_near_duplicates,
+                  suffix_dedup.cut_repeats, simhash.drop_near_duplicates):
+        kept = stage(docs)
+        assert kept.columns == docs.columns
+        assert {r[names[0]] for r in kept.collect()} == {"x"} and kept.count() in (12, 13)
+
+
 def test_follower_separates_and_stays_sparse():
     rng = random.Random(1)
     model, idf = language.Follower(2), np.ones(language.DIM)

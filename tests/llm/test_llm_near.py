@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from awkward import frame, prose, words
 
@@ -64,6 +65,40 @@ def test_edited_copies(spark, monkeypatch):
         assert found(frame(spark, rows).repartition(4), size, num, den) == expected(rows, size, num, den)
 
 
+def template(n: int, seed: int = 2, length: int = 200, changed: int = 3) -> list[tuple[int, str]]:
+    """Texts of one template, each with a few words replaced: nearly all stay under the threshold."""
+    rng = random.Random(seed)
+    base = [f"t{k}" for k in range(length)]
+    rows = []
+    for k in range(n):
+        words_ = list(base)
+        for at in rng.sample(range(length), changed):
+            words_[at] = f"own{k}at{at}"
+        rows.append((k, " ".join(words_)))
+    return rows
+
+
+def test_texts_of_one_template_are_told_apart_without_their_texts(spark, monkeypatch):
+    held = {}
+    monkeypatch.setattr(near_join, "PER_BLOCK", 100)  # several blocks an n-gram
+    monkeypatch.setattr(near_join, "hold", lambda df, label="table", hold=near_join.hold: held.setdefault(label, hold(df, label)))
+    rows = template(600) + [(1000 + k, t + " end") for k, t in template(20)]
+    assert found(frame(spark, rows).repartition(4), 3, 9, 10) == expected(rows, 3, 9, 10)
+    links = held["centre-links"].count() + held["other-links"].count()
+    sent = held["alike-centre-pairs"].count() + held["other-pairs"].count()
+    assert links >= 20 and sent <= 10 * links + len(rows)
+
+
+def test_a_sketch_never_differs_in_more_cells_than_the_sets_in_grams():
+    rng = np.random.default_rng(4)
+    for n in (3, 50, 1000):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
+        for d in (0, 1, 7, n // 2):
+            b = np.union1d(a[d:], rng.integers(0, 2**63, d).astype(np.uint64))
+            x, y = (np.frombuffer(near_join._sketch(g), dtype=np.uint8) for g in (a, b))
+            assert (x != y).sum() <= len(np.setxor1d(a, b)) and (d > 0 or (x == y).all())
+
+
 def test_one_of_each_group_stays(awkward, rows):
     kept = near_join.drop_near_duplicates(awkward)
     assert kept.columns == awkward.columns
