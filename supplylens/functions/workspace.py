@@ -35,9 +35,9 @@ def written() -> int:
     return len(_FOLDERS)
 
 
-def release_since(spark: SparkSession, mark: int) -> None:
-    """Delete the intermediates named after ``mark``; nothing else may be using them any more."""
-    for path in _FOLDERS[mark:]:
+def release_since(spark: SparkSession, mark: int, keep: int = 0) -> None:
+    """Delete the intermediates named after ``mark``, but for the last ``keep``; nothing else may use them any more."""
+    for path in _FOLDERS[mark : len(_FOLDERS) - keep]:
         _delete(spark, path)
 
 
