@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplylens.functions.workspace import hold
+from supplylens.functions.workspace import hold, release_since, written
 from supplylens.llm import exact_dedup, language, near_join, packing, suffix_dedup
 from supplylens.llm.vocabularies import vocabulary
 
@@ -57,8 +57,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each one's rows are written and read again."""
+    """All stages over documents; each one's rows are written and read again.
+
+    What a stage has written, and what it has read from the one before, is deleted when its rows are
+    there; no other query of this process may be running meanwhile.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = written()
     for name, stage in STAGES:
         docs = hold(stage(spark, docs, sf_dir), name)
+        release_since(spark, before, keep=1)
+        before = written() - 1
     return docs

@@ -8,9 +8,11 @@ from awkward import LOWER, frame, words
 from test_llm_near import expected as near_expected
 from test_llm_suffixes import coverage
 
+from supplylens.functions import workspace
 from supplylens.functions.workspace import hold
 from supplylens.llm.vocabularies import vocabulary
 from supplylens.llm.word_tokens import word_tokens
+from supplylens.sources import files
 
 
 def stages(spark, docs, folder):
@@ -67,8 +69,12 @@ def test_columns_and_empty_documents(spark, awkward, nothing, small):
     assert made[-1].count() == 0
 
 
-def test_run(spark, small):
-    assert corpus_pipeline.run(spark, small).columns[:4] == ["doc_id", "piece", "start", "length"]
+def test_run_leaves_its_result_alone(spark, small):
+    mark = workspace.written()
+    out = corpus_pipeline.run(spark, small)
+    assert out.columns[:4] == ["doc_id", "piece", "start", "length"] and out.count() > 100
+    left = [p for p in workspace._FOLDERS[mark:] if files.exists(spark, p)]
+    assert len(left) == 1 and "best_fit_packing" in left[0]
 
 
 def test_frame_has_the_document_columns(spark):
