@@ -44,6 +44,8 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+_LOWER_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), {_WORDS})"
 
 
 @_query()
@@ -120,7 +122,20 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("text_digest", "text_sha256")
 
 
-@_query()
+@_query(
+    f"""
+    WITH RECURSIVE d AS (SELECT doc_id, {_LOWER_WORDS} AS w FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g
+          FROM d),
+    x AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s),
+    links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+    reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+    least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+    SELECT doc_id, len(g)::BIGINT AS n_shingles, coalesce(least.b, doc_id) AS component_id FROM s LEFT JOIN least ON a = doc_id
+    """
+)
 def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return near_join.near_components(_documents(spark, folder), size=3, num=9, den=10)
 
@@ -151,7 +166,18 @@ def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.score(docs, "train").withColumn("held_out", held_out)
 
 
-@_query()
+@_query(
+    f"""
+    WITH d AS (SELECT doc_id, {_LOWER_WORDS} AS w FROM documents),
+    p AS (SELECT doc_id, w, unnest(range(0, len(w) - 49)) AS pos FROM d),
+    x AS (SELECT doc_id, pos, md5(array_to_string(w[pos + 1:pos + 50], ' ')) AS win FROM p),
+    many AS (SELECT win, min(doc_id) AS first FROM x GROUP BY win HAVING count(DISTINCT doc_id) > 1),
+    hits AS (SELECT doc_id, pos, first, pos - lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) > 50 AS begins FROM x JOIN many USING (win)),
+    parts AS (SELECT *, sum(coalesce(begins, true)::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS part FROM hits)
+    SELECT doc_id, min(pos)::BIGINT AS start_word, (max(pos) + 50 - min(pos))::BIGINT AS n_words, min(first) AS first_doc_id
+    FROM parts GROUP BY doc_id, part
+    """
+)
 def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = suffix_dedup.repeated_passages(_documents(spark, folder))
     rows = found.select("doc_id", F.explode("passages").alias("p"))
@@ -181,9 +207,6 @@ def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_WORDS = r"'[^\x20\x09-\x0D]+'"
-
-
 @_query(
     rf"""
     WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
