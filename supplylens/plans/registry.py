@@ -16,7 +16,6 @@ from ..functions.ranking import quantiles
 from ..functions.workspace import hold, new_folder
 from ..operators import (
     audit,
-    charts,
     dashboard,
     dims,
     eda,
