@@ -50,6 +50,7 @@ BLOCK = 4096
 SALT_ROWS = 200_000  # an n-gram with a larger counter is dealt to several tasks
 CELLS = 128
 PER_BLOCK = 256
+SHORT = 64  # rows of a list that is compared together with others
 _KEPT_SETS = 500_000  # set digests that a task remembers to leave out its own copies
 
 
@@ -283,24 +284,36 @@ def _between(rows: DataFrame, num: int, den: int) -> DataFrame:
                 flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("id", "n", "at", "group", "own")
             )
             cells, known = _cells(flat.field("sketch"))
-            ends = np.repeat(np.cumsum(sizes), sizes)
-            crossing = np.repeat(batch.column("lo").to_numpy() != batch.column("hi").to_numpy(), sizes)
-            i, step, found = np.arange(len(ids)), 0, []
-            while True:
-                step += 1
-                i = i[i + step < ends[i]]
-                if not len(i):
-                    break
-                j = i + step
+            ends = np.cumsum(sizes)
+            crossing = batch.column("lo").to_numpy() != batch.column("hi").to_numpy()
+            found = []
+
+            def compare(i: np.ndarray, j: np.ndarray, cross: np.ndarray | bool) -> None:
                 most = np.minimum(n[i] - at[i], n[j] - at[j])
-                may = (group[i] != group[j]) & (~crossing[i] | (own[i] != own[j])) & (ids[i] != ids[j])
+                may = (group[i] != group[j]) & (ids[i] != ids[j]) & (~np.asarray(cross) | (own[i] != own[j]))
                 may &= (den * np.minimum(n[i], n[j]) >= num * np.maximum(n[i], n[j])) & ((num + den) * most >= num * (n[i] + n[j]))
-                a = i[may]
-                b = a + step
+                a, b = i[may], j[may]
                 apart = (cells[a] != cells[b]).sum(axis=1)
                 near = (apart <= _most_apart(n[a], n[b], num, den)) | ~(known[a] & known[b])
                 if near.any():
                     found.append((ids[a[near]], ids[b[near]]))
+
+            # short lists all at once: each row with the next in its list, the one after it and so on
+            last, across = np.repeat(ends, sizes), np.repeat(crossing, sizes)
+            i, step = np.flatnonzero(np.repeat(sizes <= SHORT, sizes)), 0
+            while len(i):
+                step += 1
+                i = i[i + step < last[i]]
+                compare(i, i + step, across[i])
+            # long ones one by one: all but the largest group meet the others, which spares it its own pairs
+            for lo, hi, cross in zip((ends - sizes).tolist(), ends.tolist(), crossing.tolist(), strict=True):
+                if hi - lo <= SHORT:
+                    continue
+                places = np.unique(group[lo:hi], return_inverse=True)[1]
+                main, every = np.bincount(places).argmax(), np.arange(lo, hi)
+                for i in every[places != main].tolist():
+                    j = every[(places == main) | (every > i)]
+                    compare(np.full(len(j), i), j, cross)
             if found:
                 x, y = (np.concatenate(part) for part in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["x", "y"])

@@ -80,7 +80,7 @@ def template(n: int, seed: int = 2, length: int = 200, changed: int = 3) -> list
 
 def test_texts_of_one_template_are_told_apart_without_their_texts(spark, monkeypatch):
     held = {}
-    monkeypatch.setattr(near_join, "PER_BLOCK", 100)  # several blocks an n-gram
+    monkeypatch.setattr(near_join, "PER_BLOCK", 100)  # several blocks an n-gram, short lists and long ones
     monkeypatch.setattr(near_join, "hold", lambda df, label="table", hold=near_join.hold: held.setdefault(label, hold(df, label)))
     rows = template(600) + [(1000 + k, t + " end") for k, t in template(20)]
     assert found(frame(spark, rows).repartition(4), 3, 9, 10) == expected(rows, 3, 9, 10)
