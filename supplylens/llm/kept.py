@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
+import pyarrow as pa
+
 _clear: dict[str, Callable[[], None]] = {}
 
 
@@ -13,7 +16,9 @@ def remember(owner: str, clear: Callable[[], None]) -> None:
 
 
 def only(owner: str) -> None:
-    """A task of ``owner`` begins in this process: the others' memories go."""
+    """A task of ``owner`` begins in this process: the others' memories go, back to the system."""
     for other, clear in _clear.items():
         if other != owner:
             clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
