@@ -50,7 +50,7 @@ BLOCK = 4096
 SALT_ROWS = 200_000  # an n-gram with a larger counter is dealt to several tasks
 CELLS = 128
 PER_BLOCK = 256
-SHORT = 64  # rows of a list that is compared together with others
+SHORT = 64  # rows of a list that is always compared together with others
 _KEPT_SETS = 500_000  # set digests that a task remembers to leave out its own copies
 
 
@@ -298,22 +298,27 @@ def _between(rows: DataFrame, num: int, den: int) -> DataFrame:
                 if near.any():
                     found.append((ids[a[near]], ids[b[near]]))
 
-            # short lists all at once: each row with the next in its list, the one after it and so on
-            last, across = np.repeat(ends, sizes), np.repeat(crossing, sizes)
-            i, step = np.flatnonzero(np.repeat(sizes <= SHORT, sizes)), 0
-            while len(i):
-                step += 1
-                i = i[i + step < last[i]]
-                compare(i, i + step, across[i])
-            # long ones one by one: all but the largest group meet the others, which spares it its own pairs
-            for lo, hi, cross in zip((ends - sizes).tolist(), ends.tolist(), crossing.tolist(), strict=True):
+            # lists that one group has most of: its few others meet all, which spares it its own pairs
+            together = np.ones(len(sizes), dtype=bool)
+            for k, (lo, hi) in enumerate(zip((ends - sizes).tolist(), ends.tolist(), strict=True)):
                 if hi - lo <= SHORT:
                     continue
                 places = np.unique(group[lo:hi], return_inverse=True)[1]
-                main, every = np.bincount(places).argmax(), np.arange(lo, hi)
+                members = np.bincount(places)
+                if 2 * members.max() < hi - lo:
+                    continue
+                together[k] = False
+                main, every = members.argmax(), np.arange(lo, hi)
                 for i in every[places != main].tolist():
                     j = every[(places == main) | (every > i)]
-                    compare(np.full(len(j), i), j, cross)
+                    compare(np.full(len(j), i), j, crossing[k])
+            # all others at once: each row with the next in its list, the one after it and so on
+            last, across = np.repeat(ends, sizes), np.repeat(crossing, sizes)
+            i, step = np.flatnonzero(np.repeat(together, sizes)), 0
+            while len(i):
+                step += 1
+                i = i[i + step < last[i]]
+                compare(i, i + step, across[i])
             if found:
                 x, y = (np.concatenate(part) for part in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["x", "y"])
