@@ -15,7 +15,8 @@ def star(spark, tmp_path):
     orders = [(k, None if k == 7 else k * 31 % 250, "F") for k in range(400)]
     lines = [(o, None if o == 9 else (o * 7 + n * 3) % 60) for o, _, _ in orders for n in range(5)] + [(None, 5)]
     parts = [(k, f"part {k}", k % 9, 10.0 + k) for k in range(60)]
-    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
+    dated = spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string")
+    dated.withColumn("o_orderdate", F.lit("1996-01-01").cast("date")).write.parquet(f"{tmp_path}/orders.parquet")
     rest = {c: F.lit(1) for c in readers.LINE_COLUMNS if c not in ("l_orderkey", "l_partkey")}
     spark.createDataFrame(lines, "l_orderkey long, l_partkey long").withColumns(rest).write.parquet(f"{tmp_path}/lineitem.parquet")
     spark.createDataFrame([(k,) for k in range(8)], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
