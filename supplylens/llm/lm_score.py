@@ -7,11 +7,12 @@ log P(word | history) = log P(class | history) + log P(word | class).
   are reduced to a few dimensions and clustered. Any word has a class, known or not; the end of a
   text is a class of its own.
 * The class factor is a softmax over hashed features of the words before: bigram, trigram, skipped
-  word, and the same over buckets, which also speak for rare words. Its weights are trained by a
-  distributed gradient update over all training documents: without weights the gradient is what
-  the counts of a feature's classes lack of the shares of all classes, and the update takes a part
-  of the log ratio that this stands for, smoothed. Tasks add up whole numbers, so the weights do
-  not depend on how the documents are dealt to tasks.
+  word, and the same over buckets, which also speak for rare words. Its weights are trained by
+  distributed gradient updates over all training documents. Without weights the gradient is what
+  the counts of a feature's classes lack of the shares of all classes, and the first update takes
+  a part of the log ratio that this stands for, smoothed. Each further one is a step along the
+  gradient of the model so found, each weight by its curvature. Tasks add up whole numbers, so the
+  weights do not depend on how the documents are dealt to tasks.
 * The word factor is the same model with the class as its only feature. Its best weights are known
   without training: the word's share of its class, smoothed by half a count, with one such half for
   all unknown words. So the probabilities of the words known and of one unknown sum to 1.
@@ -45,8 +46,10 @@ BLOCK_BYTES = 24_000_000
 END = np.uint64(0x5E1D5E1D5E1D5E1D)
 _STEP = 131_072  # tokens of one gradient step
 _ODD = np.random.default_rng(71).integers(1, 2**63, size=8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: Part of the log ratio that a weight takes, and the counts that stand for no evidence.
-_SHARE, _PRIOR = 0.4, 50.0
+#: The first update: part of the log ratio, and counts that stand for no evidence; later ones: step, and least curvature.
+_SHARE, _PRIOR, _RATE, _LEAST = 0.4, 50.0, 0.5, 10.0
+_UNIT = 1 << 24  # probabilities are added up in whole parts of this
+UPDATES = 2  # gradient updates that the query takes
 _PART = 1024  # rows of a weight or count table that travel as one value
 _MATRIX = "part int, sums binary"
 
@@ -243,6 +246,27 @@ def _class_counts(texts: DataFrame, class_of: np.ndarray) -> np.ndarray:
     return _received(texts.select("text").mapInArrow(run, _MATRIX), labels, "<u4")
 
 
+def _class_shares(texts: DataFrame, class_of: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """How often the model expects each feature (and, in the last row, any) to be followed by each class."""
+    shared = texts.sparkSession.sparkContext.broadcast((padded(weights), class_of))
+    labels = CLASSES + 1
+
+    def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept.only("lm_score")
+        weights, class_of = shared.value
+        total = np.zeros((labels, FEATURES + 1))  # whole numbers
+        for found, _ in _batches(table, class_of):
+            e = class_exponentials(weights, found)[1][:, :labels].T.astype(np.float64)
+            e = np.rint(e * (_UNIT / e.sum(axis=0)))
+            for parts, sums in zip(e, total, strict=True):
+                for f in found:
+                    sums[:FEATURES] += np.bincount(f, weights=parts, minlength=FEATURES)
+                sums[FEATURES] += parts.sum()
+        yield _sent(total.T, "<f8")
+
+    return _received(texts.select("text").mapInArrow(run, _MATRIX), labels, "<f8") / _UNIT
+
+
 def _sent(matrix: np.ndarray, kind: str) -> pa.RecordBatch:
     part, sums = _parts(np.vstack([matrix, np.zeros((-len(matrix) % _PART, matrix.shape[1]), dtype=matrix.dtype)]), kind)
     return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(sums, pa.binary())], names=["part", "sums"])
@@ -253,12 +277,16 @@ def _received(parts: DataFrame, width: int, kind: str) -> np.ndarray:
     return _summed(parts, rows * width, kind).reshape(rows, width)[: FEATURES + 1]
 
 
-def _trained(texts: DataFrame, class_of: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Weights of the class factor, the bias in the last row."""
+def _trained(texts: DataFrame, class_of: np.ndarray, bias: np.ndarray, updates: int) -> np.ndarray:
+    """Weights of the class factor, the bias in the last row, from this many updates over all texts."""
     counts = _class_counts(texts, class_of)
     seen = counts.sum(axis=1, keepdims=True)
     weights = _SHARE * (np.log((counts + _PRIOR * np.exp(bias)) / (seen + _PRIOR)) - bias)
     weights[FEATURES] = bias
+    for _ in range(updates - 1):
+        shares = _class_shares(texts, class_of, weights)
+        curvature = shares * (1.0 - shares / np.maximum(seen, 1.0))
+        weights = weights - _RATE * (shares - counts) / (curvature + _LEAST)
     return weights
 
 
@@ -318,14 +346,17 @@ def _scored(texts: DataFrame, counted: DataFrame, weights: np.ndarray, class_of:
     )
 
 
-def score(docs: DataFrame, train_col: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(
+    docs: DataFrame, train_col: str, id_col: str = "doc_id", text_col: str = "text", updates: int = 1
+) -> DataFrame:
     """One row per input row: id, n_tokens, n_known, train_tokens, base_score, score.
 
     ``train_col`` names the boolean column that says which rows are learnt from (null: not). Scores
     are log10 probabilities of the whole text and its end; base_score is that of single words by
     their smoothed counts. Null and empty texts are an end alone. Repeated rows each count and each
     give a row. Without any training row, every token is unknown. Columns of other names are
-    ignored; an empty table gives no rows.
+    ignored; an empty table gives no rows. ``updates``: gradient updates of the class factor, each over
+    all training rows; ``UPDATES`` are what ``op7`` takes.
     """
     ship(docs.sparkSession)
     rows = docs.select(
@@ -355,5 +386,5 @@ def score(docs: DataFrame, train_col: str, id_col: str = "doc_id", text_col: str
     weights = np.zeros((FEATURES + 1, CLASSES + 1))
     weights[FEATURES] = np.log((stats[:, 0] + 1) / (stats[:, 0] + 1).sum())
     if stats[:, 0].sum():
-        weights = _trained(texts.where("train"), class_of, weights[FEATURES])
+        weights = _trained(texts.where("train"), class_of, weights[FEATURES], updates)
     return _scored(texts, counted, weights, class_of, stats).withColumnRenamed("id", id_col)

@@ -163,7 +163,7 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     held_out = language.id_remainder("doc_id", 5) == 1
     docs = _documents(spark, folder).select("doc_id", "text", (~held_out).alias("train"))
-    return lm_score.score(docs, "train").withColumn("held_out", held_out)
+    return lm_score.score(docs, "train", updates=lm_score.UPDATES).withColumn("held_out", held_out)
 
 
 @_query(

@@ -123,3 +123,38 @@ def test_history_helps_on_held_out_text(spark):
     table = spark.createDataFrame(docs, "doc_id long, text string").withColumn("train", F.col("doc_id") < 300)
     held = lm_score.score(table, "train").where("doc_id >= 300").agg(F.sum("base_score"), F.sum("score")).first()
     assert held[1] > 0.8 * held[0]
+
+
+def test_further_updates_follow_the_gradient_of_the_model_so_found(spark):
+    rng = np.random.default_rng(11)
+    vocabulary = [f"{a}{b}" for a in ("ba", "be", "ko", "xu") for b in ("n", "ro", "sti", "x1")]
+    texts = [" ".join(rng.choice(vocabulary, rng.integers(0, 30))) for _ in range(60)]
+    table = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    class_of = np.append(np.arange(lm_score.BUCKETS) % lm_score.CLASSES, lm_score.CLASSES)
+    bias = np.log(rng.dirichlet(np.ones(lm_score.CLASSES + 1)))
+    first = lm_score._trained(table, class_of, bias, 1)
+
+    counts, shares = np.zeros_like(first), np.zeros_like(first)
+    for t in texts:
+        x, k = lm_score.tokens(t.encode())
+        for place, found in enumerate(lm_score.features(x, k).T):
+            z = first[-1] + first[found].sum(axis=0)
+            for row in (*found, -1):
+                counts[row, class_of[k[place]]] += 1
+                shares[row] += np.exp(z) / np.exp(z).sum()
+    step = lm_score._RATE * (shares - counts) / (shares * (1 - shares / np.maximum(counts.sum(axis=1, keepdims=True), 1)) + lm_score._LEAST)
+    second = lm_score._trained(table, class_of, bias, 2)
+    assert np.allclose(second, first - step, atol=1e-4) and not np.allclose(second, first, atol=1e-2)
+    other = lm_score._trained(table.repartition(7), class_of, bias, 2)
+    assert np.abs(second - other).max() <= 1e-9
+
+
+def test_the_query_trains_with_every_update(spark, small):
+    from supplylens.llm.queries import QUERIES
+
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1
+    whole = lm_score.score(docs.withColumn("train", ~held_out), "train", updates=lm_score.UPDATES)
+    whole, found = ({r.doc_id: r.score for r in df.collect()} for df in (whole, QUERIES["op7_lm_scoring"](spark, small)))
+    assert lm_score.UPDATES >= 2 and found.keys() == whole.keys()
+    assert all(math.isclose(found[k], whole[k], rel_tol=1e-6) for k in found)
