@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable
 
@@ -20,5 +21,13 @@ def only(owner: str) -> None:
     for other, clear in _clear.items():
         if other != owner:
             clear()
+    give_back()
+
+
+def give_back() -> None:
+    """What this process has freed goes back to the system: C's allocator, which numpy uses, would keep it."""
     gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+    if trim is not None:
+        trim(0)

@@ -39,6 +39,8 @@ from .text import LOWER, raw_texts, slices, span_hashes, window_hashes, word_bou
 
 LEAST = 50
 _GRAM = 16
+#: Bytes of text whose windows a task holds at once; a word may give a window of 36 bytes.
+_WINDOW_BYTES = 1_000_000
 _ORDER = ("key", "right", "left", "doc")
 _ROWS = "key long, right long, left long, doc long, lo int, hi int"
 
@@ -81,6 +83,7 @@ def _suffix_rows(texts: DataFrame, least: int) -> DataFrame:
                         out.append((key, right, span_hashes(words, lo, at), np.full(len(key), doc), lo, hi))
                 if out:
                     yield _batch(*(np.concatenate(x) for x in zip(*out, strict=True)))
+        kept.give_back()
 
     return texts.mapInArrow(run, _ROWS)
 
@@ -176,6 +179,7 @@ def _compared(rows: DataFrame, label: str) -> DataFrame:
     """The rows that have something in common with a neighbour: keys, doc, lo, hi, same, keeper, stands_for."""
 
     def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept.only("suffix_dedup")
         state, waiting = _Neighbours(), None
         for batch in table:
             if not batch.num_rows:
@@ -186,6 +190,7 @@ def _compared(rows: DataFrame, label: str) -> DataFrame:
             yield from judged.to_batches()
         if waiting is not None:
             yield from state.judge(waiting.combine_chunks(), final=True)[0].to_batches()
+        kept.give_back()
 
     schema = f"{_ROWS}, same boolean, near boolean, keeper long, edge boolean, lead boolean, stands_for boolean"
     judged = hold(rows.orderBy(*_ORDER).mapInArrow(run, schema), label)
@@ -211,7 +216,7 @@ def _windows(texts: DataFrame, partial: DataFrame, least: int) -> DataFrame:
     def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept.only("suffix_dedup")
         for whole in table:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", _WINDOW_BYTES):
                 out = []
                 columns = (batch.column("doc").to_pylist(), raw_texts(batch.column("text")), batch.column("stretches").to_pylist())
                 for doc, raw, stretches in zip(*columns, strict=True):
@@ -224,6 +229,7 @@ def _windows(texts: DataFrame, partial: DataFrame, least: int) -> DataFrame:
                     out.append((key, none, none, np.full(len(key), doc), starts, begins))
                 if out:
                     yield _batch(*(np.concatenate(x) for x in zip(*out, strict=True)))
+        kept.give_back()
 
     return texts.join(wanted, "doc").select("doc", "text", "stretches").mapInArrow(run, _ROWS)
 
@@ -257,6 +263,22 @@ def _joined(lo: np.ndarray, hi: np.ndarray, keeper: np.ndarray) -> list[dict]:
 _RANGES = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("keeper", pa.int64())]))
 
 
+def _ranges(batch: pa.RecordBatch, least: int) -> pa.RecordBatch:
+    """Passages and cuts of documents from their parts (lo, hi, keeper, first), read as arrays."""
+    passages, cuts = [], []
+    parts = batch.column("parts")
+    ends = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+    columns = [x.to_numpy(zero_copy_only=False).astype(np.int64) for x in parts.flatten().flatten()]
+    for doc, begin, end in zip(batch.column("doc").to_pylist(), ends[:-1], ends[1:], strict=True):
+        lo, hi, keeper, first = (x[begin:end] for x in columns)
+        other = keeper < doc
+        passages.append(_joined(lo, hi + least, first))
+        cuts.append(_joined(lo[other], hi[other] + least, first[other]))
+    return pa.RecordBatch.from_arrays(
+        [batch.column("doc"), pa.array(passages, _RANGES), pa.array(cuts, _RANGES)], names=["doc", "passages", "cuts"]
+    )
+
+
 def repeated_passages(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document with a repeated passage: id, passages, cuts.
 
@@ -283,18 +305,10 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id
     by_doc = found.groupBy("doc").agg(F.collect_set(F.struct("lo", "hi", "keeper", "first")).alias("parts"))  # one document's
 
     def run(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept.only("suffix_dedup")
         for batch in table:
-            passages, cuts = [], []
-            for doc, parts in zip(batch.column("doc").to_pylist(), batch.column("parts").to_pylist(), strict=True):
-                lo, hi, keeper, first = (
-                    np.array([p[c] for p in parts], dtype=np.int64) for c in ("lo", "hi", "keeper", "first")
-                )
-                other = keeper < doc
-                passages.append(_joined(lo, hi + least, first))
-                cuts.append(_joined(lo[other], hi[other] + least, first[other]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(passages, _RANGES), pa.array(cuts, _RANGES)], names=["doc", "passages", "cuts"]
-            )
+            yield _ranges(batch, least)
+        kept.give_back()
 
     ranges = "array<struct<start:int,end:int,keeper:long>>"
     return by_doc.mapInArrow(run, f"doc long, passages {ranges}, cuts {ranges}").withColumnRenamed("doc", id_col)

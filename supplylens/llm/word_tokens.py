@@ -35,6 +35,8 @@ _LATIN = re.compile("[!-~\u00c0-\u024f]+")
 #: Words and parts of words remembered by a process; a memory that is full is cleared.
 KEPT_WORDS, KEPT_PARTS = 200_000, 400_000
 KEPT_LENGTH = 48
+#: Bytes of text encoded at once; the words and ids of a text take some ten times as much.
+_SLICE_BYTES = 1_000_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -67,6 +69,7 @@ class WordTokens:
             raise ValueError("the tokenizer splits words by another pattern than this class knows")
         self._known: dict[str, bytes] = {}
         self._parts: dict[str, bytes] = {}
+        kept.give_back()  # what reading the file took
 
     def _part(self, part: str) -> bytes:
         found = self._parts.get(part)
@@ -91,16 +94,20 @@ class WordTokens:
 
     def look_up(self, words: list[str]) -> list[bytes]:
         """Each word's ids as little-endian uint32."""
-        known = self._known
+        known, parts = self._known, self._parts
         if len(known) >= KEPT_WORDS:
             known.clear()
         found = [known.get(w) for w in words]
         for k, x in enumerate(found):
             if x is None:
                 word = words[k]
-                found[k] = x = self._word(word)
-                if len(word) <= KEPT_LENGTH:
-                    known[word] = x
+                # an ASCII part is a word of that one part; other parts are written in byte letters
+                x = parts.get(word) if word.isascii() else None
+                if x is None:
+                    x = self._word(word)
+                    if len(word) <= KEPT_LENGTH and not (word in parts and word.isascii()):
+                        known[word] = x
+                found[k] = x
         return found
 
     def encode_rows(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +141,7 @@ def token_pieces(
         own = word_tokens(tokenizer_path)
         end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
         for batch in table:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", _SLICE_BYTES):
                 ids, offsets = own.encode_rows(part.column("text"))
                 row, piece, blobs = [], [], []
                 for r in range(part.num_rows):
@@ -152,6 +159,7 @@ def token_pieces(
                     ],
                     names=["id", "piece", "start", "length", "ids"],
                 )
+        kept.give_back()
 
     out = rows.mapInArrow(run, f"id {kind}, piece int, start long, length long, ids binary")
     return out.withColumnRenamed("id", id_col)

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 
 from supplylens.llm import packing
 from supplylens.llm.vocabularies import vocabulary
-from supplylens.llm.word_tokens import word_tokens
+from supplylens.llm.word_tokens import WordTokens, word_tokens
 
 WORDS = vocabulary("word_bpe_49k.json")
 
@@ -85,3 +85,12 @@ def test_latin_words_are_split_as_the_library_does():
         for word in (chr(c), "a" + chr(c), chr(c) + "B", f"é{chr(c)}1.", f"{chr(c)}{chr(c)}'s", f"Q{chr(c)}'ll", f"x{chr(c)}́"):
             want = np.array(own.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
             assert own._word(word) == want, word
+
+
+def test_a_word_that_is_one_part_is_kept_once():
+    own = WordTokens(WORDS)
+    words = ["it's", "the", "s", "'s", "é", "Ã©", "Ã", "<|", "The", "the"]
+    for _ in range(2):  # the second time from memory
+        for w, ids in zip(words, own.look_up(words), strict=True):
+            assert np.frombuffer(ids, dtype="<u4").tolist() == own.tokenizer.encode(w, add_special_tokens=False).ids
+    assert "the" in own._parts and "the" not in own._known and "'s" not in own._known

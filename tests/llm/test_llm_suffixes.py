@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from awkward import frame, prose, words
 
@@ -143,3 +145,19 @@ def test_cut_text():
 def test_empty_table(nothing):
     assert suffix_dedup.repeated_passages(nothing).count() == 0
     assert suffix_dedup.cut_repeats(nothing).count() == 0
+
+
+def test_parts_are_read_as_arrays():
+    """200,000 parts of three documents: as Python objects they took some 400 bytes each."""
+    parts = [{"lo": k, "hi": k, "keeper": 1, "first": 1} for k in range(100_000)]
+    kind = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32()), ("keeper", pa.int64()), ("first", pa.int64())]))
+    lists = pa.array([parts[:7], parts[:50_000], parts, parts[:50_000]], kind)
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 1, 2, 3]), lists], names=["doc", "parts"]).slice(1)
+    tracemalloc.start()
+    found = suffix_dedup._ranges(batch, 50).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    whole, half = ({"start": 0, "end": n + 49, "keeper": 1} for n in (100_000, 50_000))
+    assert [r["passages"] for r in found] == [[half], [whole], [half]]
+    assert [r["cuts"] for r in found] == [[], [whole], [half]]
+    assert peak < 120 * 200_000
