@@ -49,3 +49,24 @@ def test_snapshots_hold_every_position_once(spark, star):
         return b % 3 != 0 or (s is not None and (s + b) % 7 != 0)
 
     assert len(found) == len(set(found)) and {tuple(r) for r in found} == {p for p in positions if kept(*p)}
+
+
+def test_tasks_of_lines_and_their_orders_follow_the_rows(spark, star, monkeypatch):
+    monkeypatch.setattr(readers, "TASK_ROWS", 50)
+    monkeypatch.setattr(readers, "LINE_COLUMNS", ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"))
+    source = readers.StarSchemaSources(spark, star[0])
+    orders = spark.read.parquet(f"{star[0]}/orders.parquet").withColumn("o_orderdate", F.to_date(F.lit("1996-01-01")))
+    source._scans["orders"] = orders
+    bought = source.table("purchases", "Store", "Brand", "PONumber", "PODate")
+    billed = source.table("vendor_invoice", "VendorNumber", "PONumber", "Quantity")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as for orders too many to broadcast
+    try:
+        assert bought.rdd.getNumPartitions() == billed.rdd.getNumPartitions() == 41
+        # lines meet their orders and are summed by them where they were dealt, once
+        plan = billed._jdf.queryExecution().executedPlan().toString().splitlines()
+        moves = [x for x in plan if "Exchange hashpartitioning" in x]
+        assert moves and all("REPARTITION_BY_NUM" in x for x in moves)
+        assert bought.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
