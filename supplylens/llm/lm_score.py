@@ -24,6 +24,7 @@ scored with its own part of the counts. What is broadcast, weights and class map
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -45,6 +46,9 @@ FEATURES = 1 << 16
 BLOCK_BYTES = 24_000_000
 END = np.uint64(0x5E1D5E1D5E1D5E1D)
 _STEP = 131_072  # tokens of one gradient step
+_FEW = 8192  # tokens whose exponentials are taken at a time: they stay in the processor's cache
+_TOGETHER = 64_000  # bytes of short texts that are read at a time
+_GAP = 3  # places between texts that are read together: as far back as a feature looks
 _ODD = np.random.default_rng(71).integers(1, 2**63, size=8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: The first update: part of the log ratio, and counts that stand for no evidence; later ones: step, and least curvature.
 _SHARE, _PRIOR, _RATE, _LEAST = 0.4, 50.0, 0.5, 10.0
@@ -54,17 +58,47 @@ _PART = 1024  # rows of a weight or count table that travel as one value
 _MATRIX = "part int, sums binary"
 
 
+def tokens_together(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprints and buckets of the texts' words and ends, and the place of each end.
+
+    The end's bucket is ``BUCKETS``. ``_GAP`` empty places follow each text (fingerprint 0, bucket -1),
+    so that no feature of a text sees the one before.
+    """
+    raw = b" ".join(raws).translate(LOWER)
+    starts, ends = word_bounds(raw)
+    sizes = np.fromiter(map(len, raws), dtype=np.int64, count=len(raws))
+    before = np.searchsorted(starts, np.cumsum(sizes + 1))  # words up to each text's end
+    shift = np.arange(len(raws)) * (1 + _GAP)
+    last = before + shift
+    words = np.zeros(len(starts) + len(raws) * (1 + _GAP), dtype=np.uint64)
+    buckets = np.full(len(words), -1, dtype=np.int64)
+    words[last], buckets[last] = END, BUCKETS
+    if len(starts):
+        b = np.frombuffer(raw, dtype=np.uint8).astype(np.uint64)
+        shape = b[starts] | b[np.minimum(starts + 1, ends - 1)] << np.uint64(8)
+        shape |= b[np.maximum(ends - 2, starts)] << np.uint64(16) | b[ends - 1] << np.uint64(24)
+        at = np.arange(len(starts)) + np.repeat(shift, np.diff(before, prepend=0))
+        words[at] = hashes_at(raw, starts, ends)
+        buckets[at] = mix(shape + np.uint64(1)) % np.uint64(BUCKETS)
+    return words, buckets, last
+
+
 def tokens(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Fingerprints and buckets of the text's words and its end; the end's bucket is ``BUCKETS``."""
-    raw = raw.translate(LOWER)
-    starts, ends = word_bounds(raw)
-    if not len(starts):
-        return np.array([END]), np.array([BUCKETS])
-    b = np.frombuffer(raw, dtype=np.uint8).astype(np.uint64)
-    shape = b[starts] | b[np.minimum(starts + 1, ends - 1)] << np.uint64(8)
-    shape |= b[np.maximum(ends - 2, starts)] << np.uint64(16) | b[ends - 1] << np.uint64(24)
-    buckets = (mix(shape + np.uint64(1)) % np.uint64(BUCKETS)).astype(np.int64)
-    return np.append(hashes_at(raw, starts, ends), END), np.append(buckets, BUCKETS)
+    words, buckets, _ = tokens_together([raw])
+    return words[:-_GAP], buckets[:-_GAP]
+
+
+def _together(raws: list[bytes]) -> Iterator[slice]:
+    """Texts in a row of about ``_TOGETHER`` bytes, or a single longer one."""
+    begin, size = 0, 0
+    for k, raw in enumerate(raws):
+        if size and size + len(raw) > _TOGETHER:
+            yield slice(begin, k)
+            begin, size = k, 0
+        size += len(raw) + 1
+    if begin < len(raws):
+        yield slice(begin, len(raws))
 
 
 def _earlier(x: np.ndarray, by: int) -> np.ndarray:
@@ -184,18 +218,24 @@ def _vocabularies(texts: DataFrame) -> DataFrame:
         for whole in table:
             for batch in slices(whole, "text"):
                 follow = []
-                rows = (batch.column("block").to_pylist(), raw_texts(batch.column("text")), batch.column("train").to_pylist())
-                for b, raw, learn in zip(*rows, strict=True):
-                    if b != block:
+                raws, learns = raw_texts(batch.column("text")), batch.column("train").to_numpy(zero_copy_only=False)
+                blocks = batch.column("block").to_numpy()
+                edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(raws)]
+                for lo, hi in itertools.pairwise(edges):
+                    if blocks[lo] != block:
                         if words:
                             yield counted(block, words, buckets, train)
-                        block, words, buckets, train = b, [], [], []
-                    w, k = tokens(raw)
-                    words.append(w)
-                    buckets.append(k.astype(np.int16))
-                    train.append(np.full(len(w), learn, dtype=np.int8))
-                    if learn and len(k) > 2:
-                        follow.append(k[:-2] * BUCKETS + k[1:-1])
+                        block, words, buckets, train = int(blocks[lo]), [], [], []
+                    for few in _together(raws[lo:hi]):
+                        w, k, last = tokens_together(raws[lo:hi][few])
+                        learn = np.repeat(learns[lo:hi][few], np.diff(last, prepend=-1 - _GAP))  # a text after its gap
+                        learn = np.append(learn[_GAP:], np.zeros(_GAP, dtype=bool))
+                        at, word = k >= 0, (k >= 0) & (k < BUCKETS)
+                        words.append(w[at])
+                        buckets.append(k[at].astype(np.int16))
+                        train.append(learn[at].astype(np.int8))
+                        first = np.flatnonzero(word[:-1] & word[1:] & learn[:-1])
+                        follow.append(k[first] * BUCKETS + k[first + 1])
                 if follow:
                     pairs += np.bincount(np.concatenate(follow), minlength=BUCKETS * BUCKETS)
         if words:
@@ -219,10 +259,12 @@ def _batches(table: Iterator[pa.RecordBatch], class_of: np.ndarray) -> Iterator[
     waiting, size = [], 0
     for whole in table:
         for batch in slices(whole, "text"):
-            for raw in raw_texts(batch.column("text")):
-                words, buckets = tokens(raw)
-                waiting.append((features(words, buckets), class_of[buckets]))
-                size += len(words)
+            raws = raw_texts(batch.column("text"))
+            for few in _together(raws):
+                words, buckets, _ = tokens_together(raws[few])
+                at = np.flatnonzero(buckets >= 0)
+                waiting.append((features(words, buckets)[:, at], class_of[buckets[at]]))
+                size += len(at)
                 if size >= _STEP:
                     yield np.concatenate([x[0] for x in waiting], axis=1), np.concatenate([x[1] for x in waiting])
                     waiting, size = [], 0
@@ -256,9 +298,13 @@ def _class_shares(texts: DataFrame, class_of: np.ndarray, weights: np.ndarray) -
         weights, class_of = shared.value
         total = np.zeros((labels, FEATURES + 1))  # whole numbers
         for found, _ in _batches(table, class_of):
-            e = class_exponentials(weights, found)[1][:, :labels].T.astype(np.float64)
-            e = np.rint(e * (_UNIT / e.sum(axis=0)))
-            for parts, sums in zip(e, total, strict=True):
+            shares = np.empty((labels, found.shape[1]))  # a class in a row, as its sums are taken by itself
+            for k in range(0, found.shape[1], _FEW):
+                e = class_exponentials(weights, found[:, k : k + _FEW])[1][:, :labels].astype(np.float64)
+                e *= (_UNIT / e.sum(axis=1))[:, None]
+                shares[:, k : k + _FEW] = np.rint(e, out=e).T
+            found = found.astype(np.intp)  # as bincount would for every class
+            for parts, sums in zip(shares, total, strict=True):
                 for f in found:
                     sums[:FEATURES] += np.bincount(f, weights=parts, minlength=FEATURES)
                 sums[FEATURES] += parts.sum()
@@ -306,25 +352,30 @@ def _scored(texts: DataFrame, counted: DataFrame, weights: np.ndarray, class_of:
         known, base, own, size = [], [], [], []
 
         def judge(waiting: list) -> None:
-            words = np.concatenate([x[0] for x in waiting])
-            classes = class_of[np.concatenate([x[1] for x in waiting])]
+            words, classes = (np.concatenate([x[k] for x in waiting]) for k in (0, 1))
             found = np.concatenate([x[2] for x in waiting], axis=1)
-            lengths = np.array([len(x[0]) for x in waiting])
+            lengths = np.concatenate([x[3] for x in waiting])
             begins = np.cumsum(lengths) - lengths
             at = np.searchsorted(vocabulary, words)
             log_c = log_n[at]
-            logits, _, total = class_exponentials(weights, found)
-            chosen = logits[np.arange(len(words)), classes].astype(np.float64) - np.log(total)
+            chosen = np.empty(len(words))
+            for k in range(0, len(words), _FEW):
+                logits, _, total = class_exponentials(weights, found[:, k : k + _FEW])
+                own_class = classes[k : k + _FEW]
+                chosen[k : k + _FEW] = logits[np.arange(len(own_class)), own_class].astype(np.float64) - np.log(total)
             size.append(lengths)
             known.append(np.add.reduceat(seen[at], begins))
             base.append(np.add.reduceat(log_c / math.log(10) - whole, begins))
             own.append(np.add.reduceat(chosen + log_c - spread[classes], begins) / math.log(10))
 
         waiting, held = [], 0
-        for raw in raw_texts(docs.column("text").combine_chunks()):
-            words, buckets = tokens(raw)
-            waiting.append((words, buckets, features(words, buckets)))
-            held += len(words)
+        raws = raw_texts(docs.column("text").combine_chunks())
+        for few in _together(raws):
+            words, buckets, last = tokens_together(raws[few])
+            at = np.flatnonzero(buckets >= 0)
+            lengths = np.diff(last, prepend=-1 - _GAP) - _GAP
+            waiting.append((words[at], class_of[buckets[at]], features(words, buckets)[:, at], lengths))
+            held += len(at)
             if held >= _STEP:
                 judge(waiting)
                 waiting, held = [], 0

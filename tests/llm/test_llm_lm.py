@@ -158,3 +158,26 @@ def test_the_query_trains_with_every_update(spark, small):
     whole, found = ({r.doc_id: r.score for r in df.collect()} for df in (whole, QUERIES["op7_lm_scoring"](spark, small)))
     assert lm_score.UPDATES >= 2 and found.keys() == whole.keys()
     assert all(math.isclose(found[k], whole[k], rel_tol=1e-6) for k in found)
+
+
+def test_texts_read_together_are_as_read_one_by_one(awkward, rows, monkeypatch):
+    raws = [(t or "").encode() for _, t in rows] + [b"", b" ", b"a", b"", b"b c"]
+    one = [lm_score.tokens(raw) for raw in raws]
+    words_, buckets, last = lm_score.tokens_together(raws)
+    found, begin = lm_score.features(words_, buckets), 0
+    for (w, k), end in zip(one, last, strict=True):
+        assert (words_[begin : end + 1] == w).all() and (buckets[begin : end + 1] == k).all()
+        assert (found[:, begin : end + 1] == lm_score.features(w, k)).all()  # none sees the text before
+        assert (buckets[end + 1 : end + 4] == -1).all()
+        begin = end + 4
+    assert begin == len(words_) and lm_score.tokens(b" ")[1].tolist() == [lm_score.BUCKETS]
+
+    table = awkward.withColumn("train", F.coalesce(F.col("doc_id") % 3 != 1, F.lit(False)))
+    scores = []
+    for size in (64_000, 100):  # many texts at a time, or about one; and few exponentials at a time
+        monkeypatch.setattr(lm_score, "_TOGETHER", size)
+        monkeypatch.setattr(lm_score, "_FEW", size)
+        scores.append(sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.score) for r in lm_score.score(table, "train", updates=2).collect()))
+    assert len(scores[0]) == len(scores[1]) == len(rows)
+    for a, b in zip(*scores, strict=True):
+        assert a[:3] == b[:3] and math.isclose(a[3], b[3], rel_tol=1e-5, abs_tol=1e-5)
